@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The batch project this library re-expresses has no streaming operator — no
+``readStream``/``writeStream``, watermark, event-time window or state.  Its
+"incremental" processing is date-partition gating of batch steps, which
+lives in :mod:`daybook.plans` and :mod:`daybook.operators.gating`.  Nothing
+is built here beyond what Spark already offers.
+"""
