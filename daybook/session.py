@@ -24,6 +24,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Local data is tiny: without this, adaptive coalescing packs a whole
+        # shuffle into one task (the 1 MB default minimum), which serialises
+        # partitioned writes of thousands of date folders.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
         .config("spark.driver.memory", os.environ.get("DAYBOOK_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
