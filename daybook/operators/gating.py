@@ -145,18 +145,36 @@ def unsatisfied_inputs(specs: DataFrame, datasets: DataFrame) -> DataFrame:
     return free.join(datasets.select("dataset"), "dataset", "left_anti").distinct()
 
 
-def inventory_for(spark: SparkSession, datasets: DataFrame) -> DataFrame:
+def inventory_for(spark: SparkSession, datasets: DataFrame, specs: DataFrame | None = None, processing_date=None) -> DataFrame:
     """``(dataset, d)`` for every dataset of the configuration table.
 
-    The configuration table is small (one row per declared dataset), so it is
-    read on the driver to build one listing per dataset; the listings run on
-    Spark and are unioned into one plan.
+    The configuration tables are small (one row per declared dataset / step
+    spec), so they are read on the driver to build one listing per dataset;
+    the listings run on Spark and are unioned into one plan.  With ``specs``
+    and ``processing_date`` each listing covers only the folders of that
+    dataset's windows (datasets used without a window are listed whole).
     """
-    from daybook.operators.inventory import list_partitions
-
-    rows = datasets.select("dataset", "location", "partition_column").collect()
+    from daybook.operators.inventory import list_partitions, window_glob_parts
+
+    rows = datasets.select("dataset", "kind", "location", "partition_column").collect()
+    only: dict[str, list[str] | None] = {}
+    if specs is not None and processing_date is not None:
+        kinds = {r["dataset"]: r["kind"] for r in rows}
+        for s in specs.select("dataset", "n", "unit").distinct().collect():
+            if s["dataset"] not in kinds:
+                continue
+            if s["n"] is None or s["n"] <= 0:
+                only[s["dataset"]] = None
+                continue
+            shape = SHAPE_OF_KIND.get(kinds[s["dataset"]], "contiguous")
+            parts = window_glob_parts(spark, processing_date, s["n"], s["unit"], shape)
+            if s["dataset"] in only and only[s["dataset"]] is None:
+                continue
+            only[s["dataset"]] = sorted(set(only.get(s["dataset"]) or []) | set(parts))
     frames = [
-        list_partitions(spark, r["location"], r["partition_column"]).select(F.lit(r["dataset"]).alias("dataset"), "d")
+        list_partitions(spark, r["location"], r["partition_column"], only.get(r["dataset"])).select(
+            F.lit(r["dataset"]).alias("dataset"), "d"
+        )
         for r in rows
     ]
     if not frames:

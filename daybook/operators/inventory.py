@@ -75,25 +75,62 @@ def classify(location: str) -> str:
     raise ValueError(f"unsupported dataset location {location!r}")
 
 
-def list_file_partitions(spark: SparkSession, root: str, partition_column: str | None = None) -> DataFrame:
+def window_glob_parts(spark: SparkSession, processing_date, n: int, unit: str, shape: str = "contiguous") -> list[str]:
+    """Folder-name globs that cover a window, for listing only what it needs.
+
+    Period-end windows and short day windows give their exact dates (at most
+    ``n`` / 62 names); longer contiguous windows give one ``yyyy-MM-*`` per
+    month they touch (at most ``12·n + 1``).  The list is bounded by the window
+    parameters, never by the data.
+    """
+    spec = validate_window(processing_date, n, unit)
+    d, nn, u = F.lit(spec.processing_date), F.lit(spec.n), F.lit(spec.unit)
+    if shape == "period_end" or (spec.unit == "day" and spec.n <= 62):
+        row = spark.range(1).select(
+            F.transform(window_dates(d, nn, u, F.lit(shape)), lambda x: F.date_format(x, "yyyy-MM-dd")).alias("g")
+        ).first()
+        return list(row["g"])
+    start, end = window_bounds(d, nn, u)
+    row = spark.range(1).select(
+        F.transform(
+            F.sequence(F.trunc(start, "month"), F.trunc(end, "month"), F.expr("INTERVAL 1 MONTH")),
+            lambda x: F.concat(F.date_format(x, "yyyy-MM"), F.lit("-*")),
+        ).alias("g")
+    ).first()
+    return list(row["g"])
+
+
+def list_file_partitions(
+    spark: SparkSession, root: str, partition_column: str | None = None, only: list[str] | None = None
+) -> DataFrame:
     """Dates present under a folder tree.
 
     With a partition column the child folders must be ``<col>=<date>``;
     without one (or with the text ``none``) the folder name is the date.
     A root that does not exist gives an empty inventory.
+
+    ``only`` restricts the listing to folder names matching those globs (see
+    :func:`window_glob_parts`), so a completeness check on a long-lived table
+    lists the window's folders instead of the whole tree.
     """
+    column = partition_column if partition_column and partition_column.lower() != "none" else None
+    path = root.rstrip("/")
+    if only is not None:
+        if not only:
+            return _empty_dates(spark)
+        prefix = f"{column}=" if column else ""
+        path = f"{path}/{prefix}{{{','.join(sorted(set(only)))}}}"
     try:
         listing = (
             spark.read.format("binaryFile")
             .option("recursiveFileLookup", "true")
-            .load(root)
+            .load(path)
             .select("path")
         )
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             return _empty_dates(spark)
         raise
-    column = partition_column if partition_column and partition_column.lower() != "none" else None
     text = F.regexp_extract("path", _date_folder_pattern(root, column), 1)
     d = F.try_to_date(F.nullif(text, F.lit("")), "yyyy-MM-dd")
     return listing.select(d.alias("d")).where("d IS NOT NULL").distinct()
@@ -108,13 +145,19 @@ def list_table_partitions(spark: SparkSession, table: str, partition_column: str
     return parts.select(_strict_date(text).alias("d")).where("d IS NOT NULL").distinct()
 
 
-def list_partitions(spark: SparkSession, location: str, partition_column: str | None = None) -> DataFrame:
-    """Inventory of any location: a path (any scheme) or a catalog table."""
+def list_partitions(
+    spark: SparkSession, location: str, partition_column: str | None = None, only: list[str] | None = None
+) -> DataFrame:
+    """Inventory of any location: a path (any scheme) or a catalog table.
+
+    ``only`` (folder-name globs) narrows a file listing; catalog tables are
+    answered from partition metadata and ignore it.
+    """
     if classify(location) == "table":
         if not partition_column:
             raise ValueError(f"table {location!r} needs a partition column")
         return list_table_partitions(spark, location, partition_column)
-    return list_file_partitions(spark, location, partition_column)
+    return list_file_partitions(spark, location, partition_column, only)
 
 
 def expected_dates(spark: SparkSession, processing_date, n: int, unit: str, shape: str = "contiguous") -> DataFrame:
@@ -146,7 +189,9 @@ def missing_dates(
     spec = validate_window(processing_date, n, unit)
     expected = expected_dates(spark, spec.processing_date, spec.n, spec.unit, shape)
     if inventory is None:
-        inventory = list_partitions(spark, location, partition_column)
+        inventory = list_partitions(
+            spark, location, partition_column, window_glob_parts(spark, spec.processing_date, spec.n, spec.unit, shape)
+        )
     return anti_by_window(expected, inventory, spec.processing_date, spec.n, spec.unit, shape)
 
 

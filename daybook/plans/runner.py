@@ -57,7 +57,7 @@ class GatedRunner:
         """Dry run: the decision of every step against the current data."""
         validate_window(processing_date, 1, "day")
         specs, dsets = self._tables(steps)
-        return gate_decision(specs, dsets, inventory_for(self.spark, dsets), processing_date)
+        return gate_decision(specs, dsets, inventory_for(self.spark, dsets, specs, processing_date), processing_date)
 
     # -- execution -------------------------------------------------------
     def _read(self, ds: Dataset, processing_date, n, unit) -> DataFrame:
@@ -94,7 +94,9 @@ class GatedRunner:
         for seq, step in enumerate(steps):
             t0 = _now()
             specs, dsets = self._tables([step])
-            decision = gate_decision(specs, dsets, inventory_for(self.spark, dsets), spec.processing_date).first()
+            decision = gate_decision(
+                specs, dsets, inventory_for(self.spark, dsets, specs, spec.processing_date), spec.processing_date
+            ).first()
             windows = {
                 (r["direction"], r["pos"]): r for r in specs.collect()
             }

@@ -436,6 +436,9 @@ GATE_SPECS = [
 ]
 
 
+GATE_DATE = "2024-01-15"
+
+
 def _gate_tables(spark, sf_dir):
     ev = fx.partitioned_events(spark, sf_dir)
     od = fx.folder_orders(spark, sf_dir)
@@ -452,10 +455,7 @@ def _gate_tables(spark, sf_dir):
     )
     specs = parse_specs(raw)
     dtab = datasets_table(spark, dsets)
-    return specs, dtab, gating.inventory_for(spark, dtab)
-
-
-GATE_DATE = "2024-01-15"
+    return specs, dtab, gating.inventory_for(spark, dtab, specs, GATE_DATE)
 
 
 def gate_inputs(spark, sf_dir):
