@@ -28,6 +28,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         # shuffle into one task (the 1 MB default minimum), which serialises
         # partitioned writes of thousands of date folders.
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
+        # One local listing task per partition folder costs more than the
+        # listing itself; a few dozen tasks cover thousands of folders.
+        .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", "32")
         .config("spark.driver.memory", os.environ.get("DAYBOOK_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )

@@ -42,9 +42,9 @@ def save_table(
         raise ValueError(f"unsupported mode {mode!r} for a table write")
     spark = df.sparkSession
     cols = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
-    if cols and rebalance:
-        df = df.hint("rebalance", *cols)
     if not table_exists(spark, name):
+        if cols and rebalance:
+            df = df.hint("rebalance", *cols)
         writer = df.writeTo(name).using(provider)
         if location:
             writer = writer.option("path", location)
@@ -52,6 +52,11 @@ def save_table(
             writer = writer.partitionedBy(*[F.col(c) for c in cols])
         writer.create()
         return "create"
+    # An existing table is written with *its* partition columns, whatever
+    # the caller passed; the rebalance follows them too.
+    part_cols = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    if part_cols and rebalance:
+        df = df.hint("rebalance", *part_cols)
     existing = table_provider(spark, name) or ""
     if existing in _V2_PROVIDERS:
         if mode == "append":
@@ -63,7 +68,6 @@ def save_table(
     if mode == "append":
         ordered.write.insertInto(name)
         return mode
-    part_cols = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
     if not part_cols:
         ordered.write.insertInto(name, overwrite=True)
         return mode
