@@ -72,15 +72,29 @@ def delete_files(entries: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def removed_files(entries: DataFrame, position_deletes: DataFrame | None = None) -> DataFrame:
-    """P5e ∪ P5f: files removed from the snapshot (status 2) or hit by a
-    position delete at ``pos = 0`` (the reference heuristic: a delete of the
-    first row counts the whole file as gone)."""
+def removed_files(entries: DataFrame, position_deletes: DataFrame | None = None, mode: str = "first_row") -> DataFrame:
+    """P5e ∪ P5f: files removed from the snapshot (status 2) or emptied by
+    position deletes.
+
+    ``mode="first_row"`` keeps the reference heuristic: a delete of row 0
+    counts the whole file as gone.  ``mode="exact"`` counts a file as gone
+    only when its distinct deleted positions reach its
+    ``data_file.record_count`` (a per-file aggregate, combined map-side).
+    """
+    if mode not in ("first_row", "exact"):
+        raise ValueError(f"mode must be 'first_row' or 'exact', not {mode!r}")
     removed = entries.where(F.col("status") == 2).select(F.col("data_file.file_path").alias("file_path"))
     if position_deletes is not None:
-        removed = removed.union(
-            position_deletes.where(F.col("pos") == 0).select(F.col("file_path").alias("file_path"))
-        )
+        if mode == "first_row":
+            hit = position_deletes.where(F.col("pos") == 0).select("file_path")
+        else:
+            deleted = position_deletes.groupBy("file_path").agg(F.countDistinct("pos").alias("n_deleted"))
+            records = entries.where(F.col("data_file.content") == 0).select(
+                F.col("data_file.file_path").alias("file_path"),
+                F.col("data_file.record_count").alias("record_count"),
+            ).distinct()
+            hit = deleted.join(records, "file_path").where(F.col("n_deleted") >= F.col("record_count")).select("file_path")
+        removed = removed.union(hit)
     return removed.distinct()
 
 
@@ -96,13 +110,17 @@ def read_position_deletes(spark: SparkSession, entries: DataFrame) -> DataFrame
     return spark.read.parquet(*paths)
 
 
-def live_files(entries: DataFrame, partition_column: str, position_deletes: DataFrame | None = None) -> DataFrame:
+def live_files(
+    entries: DataFrame, partition_column: str, position_deletes: DataFrame | None = None, mode: str = "first_row"
+) -> DataFrame:
     """P5g: inserted files that were not removed, ``(file_path, partition_date)``."""
     return inserted_files(entries, partition_column).join(
-        removed_files(entries, position_deletes), "file_path", "left_anti"
+        removed_files(entries, position_deletes, mode), "file_path", "left_anti"
     )
 
 
-def live_partitions(entries: DataFrame, partition_column: str, position_deletes: DataFrame | None = None) -> DataFrame:
+def live_partitions(
+    entries: DataFrame, partition_column: str, position_deletes: DataFrame | None = None, mode: str = "first_row"
+) -> DataFrame:
     """Distinct partition dates that still have a live data file, ``(partition_date)``."""
-    return live_files(entries, partition_column, position_deletes).select("partition_date").distinct()
+    return live_files(entries, partition_column, position_deletes, mode).select("partition_date").distinct()

@@ -97,7 +97,8 @@ SCANS = {
     "sink_create_partitioned": "SELECT * FROM supplier",
     "catalog_exists": """SELECT 'created' AS probe, true AS table_exists, (SELECT count(*) FROM region) AS n_rows
 UNION ALL SELECT 'absent', false, CAST(0 AS BIGINT)
-UNION ALL SELECT 'namespace_default', true, CAST(0 AS BIGINT)""",
+UNION ALL SELECT 'namespace_default', true, CAST(0 AS BIGINT)
+UNION ALL SELECT 'namespace_described', true, CAST(0 AS BIGINT)""",
 }
 
 # --- inventory, completeness, paths ------------------------------------------

@@ -21,7 +21,7 @@ from daybook.queries import fixtures as fx
 from daybook.session import scratch_path, scratch_table_name
 from daybook.sinks.catalog import save_table
 from daybook.sinks.files import write_partitioned
-from daybook.sources.catalog import list_namespaces, read_table, table_exists
+from daybook.sources.catalog import describe_namespace, list_namespaces, read_table, table_exists
 from daybook.sources.files import read_csv, read_parquet
 from daybook.sources.folder import read_folders
 from daybook.sources.partitioned import apply_window_or_filters, read_partitioned
@@ -198,10 +198,12 @@ def catalog_exists(spark, sf_dir):
     save_table(fx.table(spark, sf_dir, "region"), name, location=scratch_path(spark, "region"))
     absent = scratch_table_name("never_created")
     has_default = list_namespaces(spark).where("namespace = 'default'").count() > 0
+    described = describe_namespace(spark, "default").count() > 0
     rows = [
         ("created", table_exists(spark, name)),
         ("absent", table_exists(spark, absent)),
         ("namespace_default", has_default),
+        ("namespace_described", described),
     ]
     probes = spark.createDataFrame(rows, "probe string, table_exists boolean")
     counts = spark.read.table(name).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("created").alias("probe"), "n_rows")

@@ -100,3 +100,15 @@ def test_dataset_declaration_checks():
         Dataset("x", "weird", "/tmp/x")
     with pytest.raises(ValueError):
         Dataset("x", "partitioned", "/tmp/x")
+
+
+def test_runner_without_log_and_dry_run(spark, scratch, events_root):
+    out = scratch("out")
+    dsets = [Dataset("raw", "partitioned", events_root, "processed_date"),
+             Dataset("out", "partitioned", out, "processed_date")]
+    steps = [Step("copy", lambda df: df, "raw:2d", "out:2d")]
+    runner = GatedRunner(spark, dsets)          # logging off: no run-log writes at all
+    plan = {r["step"]: r["decision"] for r in runner.plan(steps, "2024-01-15").collect()}
+    assert plan == {"copy": "RUN"}
+    assert [r["status"] for r in runner.run(steps, "2024-01-15").collect()] == ["SUCCESS"]
+    assert {r["step"]: r["decision"] for r in runner.plan(steps, "2024-01-15").collect()} == {"copy": "SKIP"}

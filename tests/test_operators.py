@@ -127,3 +127,41 @@ def test_train_logistic_runs(spark):
     assert pred.count() > 0
     metrics = evaluate.run_metrics(emb, "embedding", "label", {"max_iter": 20}).collect()
     assert {r["metric"] for r in metrics} == {"n_features", "n_classes", "n_rows", "max_iter"}
+
+
+def test_exact_delete_mode(spark):
+    entries = spark.createDataFrame(
+        [(1, (0, "a", 2, (dt.date(2025, 1, 1),))), (1, (0, "b", 3, (dt.date(2025, 1, 2),)))],
+        "status int, data_file struct<content:int, file_path:string, record_count:bigint, partition:struct<processed_date:date>>",
+    )
+    deletes = spark.createDataFrame([("a", 0), ("a", 1), ("b", 0), ("b", 0)], "file_path string, pos bigint")
+    exact = sorted(str(r[0]) for r in table_format.live_partitions(entries, "processed_date", deletes, "exact").collect())
+    assert exact == ["2025-01-02"]  # a: 2 of 2 rows deleted; b: 1 of 3
+    assert table_format.live_partitions(entries, "processed_date", deletes).count() == 0  # first-row heuristic
+
+
+def test_metadata_json_and_delete_files(spark, scratch):
+    import os
+
+    from daybook.sources.files import read_json_metadata
+
+    folder = scratch("meta").replace("file:", "")
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/v3.metadata.json", "w") as fh:
+        fh.write('{\n  "format-version": 2,\n  "current-snapshot-id": 22,\n  "snapshots": [\n'
+                 '    {"snapshot-id": 21, "manifest-list": "s3://b/ml-21.avro"},\n'
+                 '    {"snapshot-id": 22, "manifest-list": "s3://b/ml-22.avro"}\n  ]\n}\n')
+    meta = read_json_metadata(spark, f"{folder}/v3.metadata.json")
+    assert [r["manifest_list"] for r in table_format.current_snapshot(meta).collect()] == ["s3://b/ml-22.avro"]
+    # position deletes read from the delete files the entries list
+    del_path = scratch("deletes")
+    spark.createDataFrame([("a", 0)], "file_path string, pos bigint").write.parquet(del_path)
+    entries = spark.createDataFrame(
+        [(1, (0, "a", (dt.date(2025, 1, 1),))), (1, (0, "b", (dt.date(2025, 1, 2),))), (1, (1, del_path, (dt.date(2025, 1, 2),)))],
+        "status int, data_file struct<content:int, file_path:string, partition:struct<processed_date:date>>",
+    )
+    deletes = table_format.read_position_deletes(spark, entries)
+    got = sorted(str(r[0]) for r in table_format.live_partitions(entries, "processed_date", deletes).collect())
+    assert got == ["2025-01-02"]
+    none = entries.where("data_file.content = 0")
+    assert table_format.read_position_deletes(spark, none) is None
