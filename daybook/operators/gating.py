@@ -18,7 +18,7 @@ window can never be "complete", so its step runs.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.functions.calendar import window_bounds, window_dates
@@ -66,25 +66,53 @@ def missing_by_spec(specs: DataFrame, datasets: DataFrame, inventory: DataFrame,
     return expected.join(present, ["dataset", "d"], "left_anti")
 
 
-def gate_inputs(specs: DataFrame, datasets: DataFrame, inventory: DataFrame, processing_date) -> DataFrame:
-    """Per step, the validated inputs with missing dates.
+def gate_table(specs: DataFrame, datasets: DataFrame, inventory: DataFrame, processing_date) -> DataFrame:
+    """Everything the gates need, per step, from **one** missing-dates plan.
 
-    ``(step, seq, missing_inputs array<string>, n_missing_dates bigint)``;
-    every step of ``specs`` appears, with an empty array when nothing lacks.
+    ``(step, seq, missing_inputs, n_missing_input_dates, n_outputs,
+    n_windowed_outputs, n_missing_output_dates)``.  Every step of ``specs``
+    appears; all inputs of this aggregate are bounded by configuration.
     """
-    miss = missing_by_spec(specs, datasets, inventory, processing_date).where(
-        (F.col("direction") == "input") & F.col("validate")
+    miss = missing_by_spec(specs, datasets, inventory, processing_date)
+    validated_input = (F.col("direction") == "input") & F.col("validate")
+    per_step_missing = miss.groupBy("step").agg(
+        F.array_sort(F.collect_set(F.when(validated_input, F.col("dataset")))).alias("missing_inputs"),
+        F.count(F.when(validated_input, F.lit(1))).alias("n_missing_input_dates"),
+        F.count(F.when(F.col("direction") == "output", F.lit(1))).alias("n_missing_output_dates"),
     )
-    agg = miss.groupBy("step").agg(
-        F.array_sort(F.collect_set("dataset")).alias("missing_inputs"),
-        F.count(F.lit(1)).alias("n_missing_dates"),
+    is_out = F.col("direction") == "output"
+    per_step = specs.groupBy("step", "seq").agg(
+        F.count(F.when(is_out, F.lit(1))).alias("n_outputs"),
+        F.count(F.when(is_out & (F.col("n") > 0), F.lit(1))).alias("n_windowed_outputs"),
     )
-    steps = specs.select("step", "seq").distinct()
-    return steps.join(agg, "step", "left").select(
+    zero = F.lit(0).cast("bigint")
+    return per_step.join(per_step_missing, "step", "left").select(
         "step",
         "seq",
         F.coalesce("missing_inputs", F.array().cast("array<string>")).alias("missing_inputs"),
-        F.coalesce("n_missing_dates", F.lit(0).cast("bigint")).alias("n_missing_dates"),
+        F.coalesce("n_missing_input_dates", zero).alias("n_missing_input_dates"),
+        "n_outputs",
+        "n_windowed_outputs",
+        F.coalesce("n_missing_output_dates", zero).alias("n_missing_output_dates"),
+    )
+
+
+def _outputs_complete() -> Column:
+    return (
+        (F.col("n_windowed_outputs") > 0)
+        & (F.col("n_windowed_outputs") == F.col("n_outputs"))
+        & (F.col("n_missing_output_dates") == 0)
+    )
+
+
+def gate_inputs(specs: DataFrame, datasets: DataFrame, inventory: DataFrame, processing_date) -> DataFrame:
+    """Per step, the validated inputs with missing dates.
+
+    ``(step, seq, missing_inputs array<string>, n_missing_dates bigint)``;
+    every step of ``specs`` appears, with an empty array when nothing lacks.
+    """
+    return gate_table(specs, datasets, inventory, processing_date).select(
+        "step", "seq", "missing_inputs", F.col("n_missing_input_dates").alias("n_missing_dates")
     )
 
 
@@ -94,45 +122,23 @@ def gate_outputs(specs: DataFrame, datasets: DataFrame, inventory: DataFrame, pr
     ``(step, seq, n_outputs, n_windowed_outputs, n_missing_dates, outputs_complete)``.
     ``data_validation`` is not consulted for outputs.
     """
-    outs = specs.where(F.col("direction") == "output")
-    miss = missing_by_spec(outs, datasets, inventory, processing_date).groupBy("step").agg(
-        F.count(F.lit(1)).alias("n_missing_dates")
-    )
-    counts = outs.groupBy("step").agg(
-        F.count(F.lit(1)).alias("n_outputs"),
-        F.count(F.when(F.col("n") > 0, F.lit(1))).alias("n_windowed_outputs"),
-    )
-    steps = specs.select("step", "seq").distinct()
-    out = (
-        steps.join(counts, "step", "left")
-        .join(miss, "step", "left")
-        .select(
-            "step",
-            "seq",
-            F.coalesce("n_outputs", F.lit(0).cast("bigint")).alias("n_outputs"),
-            F.coalesce("n_windowed_outputs", F.lit(0).cast("bigint")).alias("n_windowed_outputs"),
-            F.coalesce("n_missing_dates", F.lit(0).cast("bigint")).alias("n_missing_dates"),
-        )
-    )
-    complete = (
-        (F.col("n_windowed_outputs") > 0)
-        & (F.col("n_windowed_outputs") == F.col("n_outputs"))
-        & (F.col("n_missing_dates") == 0)
+    return gate_table(specs, datasets, inventory, processing_date).select(
+        "step", "seq", "n_outputs", "n_windowed_outputs",
+        F.col("n_missing_output_dates").alias("n_missing_dates"),
+        _outputs_complete().alias("outputs_complete"),
     )
-    return out.withColumn("outputs_complete", complete)
 
 
 def gate_decision(specs: DataFrame, datasets: DataFrame, inventory: DataFrame, processing_date) -> DataFrame:
     """``(step, seq, decision, reason, missing_inputs)``; inputs are checked first."""
-    ins = gate_inputs(specs, datasets, inventory, processing_date)
-    outs = gate_outputs(specs, datasets, inventory, processing_date).select("step", "outputs_complete")
-    j = ins.join(outs, "step")
+    t = gate_table(specs, datasets, inventory, processing_date)
     lacking = F.size("missing_inputs") > 0
-    return j.select(
+    done = _outputs_complete()
+    return t.select(
         "step",
         "seq",
-        F.when(lacking | F.col("outputs_complete"), F.lit("SKIP")).otherwise(F.lit("RUN")).alias("decision"),
-        F.when(lacking, F.lit("inputs")).when(F.col("outputs_complete"), F.lit("outputs")).alias("reason"),
+        F.when(lacking | done, F.lit("SKIP")).otherwise(F.lit("RUN")).alias("decision"),
+        F.when(lacking, F.lit("inputs")).when(done, F.lit("outputs")).alias("reason"),
         "missing_inputs",
     )
 

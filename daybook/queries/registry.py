@@ -194,22 +194,21 @@ def sink_create_partitioned(spark, sf_dir):
 
 
 def catalog_exists(spark, sf_dir):
+    """Probes of the session catalog around a table created from ``region``."""
     name = scratch_table_name("region")
     save_table(fx.table(spark, sf_dir, "region"), name, location=scratch_path(spark, "region"))
     absent = scratch_table_name("never_created")
     has_default = list_namespaces(spark).where("namespace = 'default'").count() > 0
     described = describe_namespace(spark, "default").count() > 0
-    rows = [
-        ("created", table_exists(spark, name)),
-        ("absent", table_exists(spark, absent)),
-        ("namespace_default", has_default),
-        ("namespace_described", described),
-    ]
-    probes = spark.createDataFrame(rows, "probe string, table_exists boolean")
-    counts = spark.read.table(name).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("created").alias("probe"), "n_rows")
-    return probes.join(counts, "probe", "left").select(
-        "probe", "table_exists", F.coalesce("n_rows", F.lit(0).cast("bigint")).alias("n_rows")
+    created = spark.read.table(name).agg(F.count(F.lit(1)).alias("n_rows")).select(
+        F.lit("created").alias("probe"), F.lit(table_exists(spark, name)).alias("table_exists"), "n_rows"
+    )
+    others = spark.createDataFrame(
+        [("absent", table_exists(spark, absent), 0), ("namespace_default", has_default, 0),
+         ("namespace_described", described, 0)],
+        "probe string, table_exists boolean, n_rows bigint",
     )
+    return created.unionByName(others)
 
 
 # --- inventory and completeness (P1-P7) ---------------------------------------
