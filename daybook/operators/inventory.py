@@ -48,9 +48,17 @@ def _strict_date(text):
 
 
 def _root_prefix(root: str) -> str:
-    """Regex matching ``root`` at the start of a listed (fully qualified) path."""
+    """Regex matching ``root`` at the start of a listed (fully qualified) path.
+
+    A relative root is resolved by the file system (working directory,
+    home directory), so it is matched as the tail of the qualified prefix.
+    """
     path = urlparse(root).path if "://" in root or root.startswith("file:") else root
-    return r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/]*)?" + re.escape(path.rstrip("/"))
+    path = path.rstrip("/")
+    scheme = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/]*)?"
+    if not path.startswith("/"):
+        return scheme + r"(?:/[^/]*)*?/" + re.escape(path)
+    return scheme + re.escape(path)
 
 
 def _date_folder_pattern(root: str, partition_column: str | None) -> str:

@@ -68,3 +68,13 @@ def test_completeness_month_needs_whole_month(spark, scratch):
     assert [str(d) for d in miss] == ["2024-01-31"]
     _, miss = completeness(spark, root, "2024-01-15", 5, "day", partition_column="processed_date")
     assert miss == []
+
+
+def test_relative_root(spark, scratch, monkeypatch):
+    root = scratch("rel")
+    _touch_parquet(spark, f"{root}/d=2025-01-01")
+    parent, leaf = os.path.split(root.replace("file:", "").rstrip("/"))
+    grand, mid = os.path.split(parent)
+    monkeypatch.chdir(grand)
+    got = [str(r["d"]) for r in list_partitions(spark, f"{mid}/{leaf}", "d").collect()]
+    assert got == ["2025-01-01"]
