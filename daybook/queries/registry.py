@@ -145,12 +145,18 @@ def scan_parquet_glob(spark, sf_dir):
     return spark.read.option("basePath", root).parquet(f"{root}/n_regionkey=*")
 
 
-def _orders_table(spark, sf_dir) -> str:
+def _new_orders_table(spark, sf_dir) -> str:
+    """All of ``orders`` as a session-catalog table partitioned by day (fresh per call)."""
     name = scratch_table_name("orders")
     save_table(fx.orders_with_date(spark, sf_dir), name, partition_by="o_date", location=scratch_path(spark, "orders_table"))
     return name
 
 
+def _orders_table(spark, sf_dir) -> str:
+    """The read-only, shared catalog copy of ``orders``."""
+    return fx.shared(spark, sf_dir, "orders_table", _new_orders_table)
+
+
 def scan_catalog_window(spark, sf_dir):
     name = _orders_table(spark, sf_dir)
     return read_table(spark, name, partition_column="o_date", processing_date=fx.ORDERS_DATE, n=1, unit="month")
@@ -170,19 +176,19 @@ def _overwrite_new(spark, sf_dir) -> DataFrame:
 
 
 def sink_overwrite_partitions(spark, sf_dir):
-    root = fx.partitioned_orders(spark, sf_dir)
+    root = fx.new_partitioned_orders(spark, sf_dir)
     write_partitioned(_overwrite_new(spark, sf_dir), root, "o_date", overwrite="dynamic")
     return spark.read.parquet(root)
 
 
 def sink_overwrite_all(spark, sf_dir):
-    root = fx.partitioned_orders(spark, sf_dir)
+    root = fx.new_partitioned_orders(spark, sf_dir)
     write_partitioned(_overwrite_new(spark, sf_dir), root, "o_date", overwrite="static")
     return spark.read.parquet(root)
 
 
 def sink_table_overwrite_partitions(spark, sf_dir):
-    name = _orders_table(spark, sf_dir)
+    name = _new_orders_table(spark, sf_dir)
     save_table(_overwrite_new(spark, sf_dir), name, mode="overwrite", partition_by="o_date")
     return spark.read.table(name)
 
@@ -551,7 +557,7 @@ def classification_metrics(spark, sf_dir):
 
 
 def train_logistic(spark, sf_dir):
-    _, pred = evaluate.train_logistic(fx.table(spark, sf_dir, "embeddings"), "embedding", "label", max_iter=100)
+    _, pred = evaluate.train_logistic(fx.table(spark, sf_dir, "embeddings"), "embedding", "label", max_iter=1000)
     return pred.select("vec_id", "label", F.col("_prediction").cast("int").alias("prediction"))
 
 
