@@ -62,7 +62,7 @@ def test_decode_tags_last_one_wins(spark):
         ("file:///tmp/a/b", "local", "b"),
         ("/tmp/a/b/", "local", "b"),
         ("data/raw", "local", "raw"),
-        ("nessie.ns.table", "table", "nessie.ns.table"),
+        ("cat.ns.table", "table", "cat.ns.table"),
         ("cat.a.b.table", "table", "cat.a.b.table"),
         ("http://example.com/x", "unsupported", "x"),
     ],
