@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from daybook.sources.catalog import table_exists, table_location, table_provider
+from daybook.sources.catalog import table_exists, table_location, table_provider, table_storage_properties
 
 _V2_PROVIDERS = ("iceberg", "delta")
 
 
+def _dynamic_table(spark, name: str) -> bool:
+    props = table_storage_properties(spark, name) or ""
+    return re.search(r"(?:^|[\[ ,])partitionOverwriteMode=dynamic(?:$|[\],])", props, re.IGNORECASE) is not None
+
+
 def save_table(
     df: DataFrame,
     name: str,
@@ -49,7 +55,8 @@ def save_table(
         if location:
             writer = writer.option("path", location)
         if cols:
-            writer = writer.partitionedBy(*[F.col(c) for c in cols])
+            # Stored with the table: later overwrites replace touched partitions only.
+            writer = writer.option("partitionOverwriteMode", "dynamic").partitionedBy(*[F.col(c) for c in cols])
         writer.create()
         return "create"
     # An existing table is written with *its* partition columns, whatever
@@ -68,13 +75,16 @@ def save_table(
     if mode == "append":
         ordered.write.insertInto(name)
         return mode
-    if not part_cols:
+    if not part_cols or _dynamic_table(spark, name):
+        # Tables created here carry partitionOverwriteMode=dynamic in their
+        # options: insertInto replaces the touched partitions and registers
+        # only the new ones in the catalog.
         ordered.write.insertInto(name, overwrite=True)
         return mode
-    # ``insertInto`` ignores a per-write partitionOverwriteMode and would
-    # follow the session setting (static: drop every partition).  Write the
-    # touched partitions straight into the table's folder with a per-write
-    # dynamic overwrite, then register any new partition folders.
+    # A table created elsewhere follows the session setting, and insertInto
+    # ignores a per-write partitionOverwriteMode (static would drop every
+    # partition).  Write the touched partitions straight into the table's
+    # folder with a per-write dynamic overwrite, then register new folders.
     location = table_location(spark, name)
     (
         ordered.write.mode("overwrite")

@@ -74,6 +74,11 @@ def table_provider(spark: SparkSession, name: str) -> str | None:
     return p.lower() if p else None
 
 
+def table_storage_properties(spark: SparkSession, name: str) -> str | None:
+    """The table's storage properties (its ``OPTIONS``) as catalog text."""
+    return _table_detail(spark, name, "Storage Properties")
+
+
 def table_location(spark: SparkSession, name: str) -> str | None:
     """The table's storage folder from the catalog."""
     return _table_detail(spark, name, "Location")

@@ -102,3 +102,16 @@ def test_catalog_table_create_append_overwrite(spark, scratch):
         save_table(new, name, mode="merge")
     with pytest.raises(TypeError):
         save_table([1, 2], name)
+
+
+def test_overwrite_of_table_created_elsewhere_stays_dynamic(spark, scratch):
+    name = scratch_table_name("foreign")
+    e = spark.read.parquet("/root/testdata/sf0.001/events.parquet").withColumn("processed_date", F.to_date("ts"))
+    e.write.partitionBy("processed_date").option("path", scratch("foreign")).saveAsTable(name)
+    n_days = e.select("processed_date").distinct().count()
+    new = e.where("processed_date = date'2024-01-03' AND event_type = 'view'")
+    save_table(new, name, mode="overwrite")
+    back = spark.table(name)
+    assert back.select("processed_date").distinct().count() == n_days
+    assert back.where("processed_date = date'2024-01-03'").count() == new.count()
+    assert back.where("processed_date = date'2024-01-04'").count() == e.where("processed_date = date'2024-01-04'").count()
