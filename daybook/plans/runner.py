@@ -107,6 +107,11 @@ class GatedRunner:
                     detail = f"skipped: outputs {step.output_specs()} already complete"
                 status, reason = "SKIP", decision["reason"]
             else:
+                if self.run_log:
+                    self.run_log.append_step(
+                        run_id=run_id, seq=seq, name=step.name, func=step.func, status="RUNNING", start_time=t0,
+                        inputs=[s for _, s in step.input_specs()], outputs=step.output_specs(), tags=step.tags,
+                    )
                 try:
                     args, kwargs = [], {}
                     for pos, (arg, _) in enumerate(step.input_specs()):
@@ -118,6 +123,10 @@ class GatedRunner:
                             kwargs[arg] = df
                     out = step.func(*args, **kwargs)
                     outs = list(out) if isinstance(out, (list, tuple)) else [out]
+                    if len(outs) != len(step.output_specs()):
+                        raise ValueError(
+                            f"step {step.name} returned {len(outs)} frame(s) for {len(step.output_specs())} output(s)"
+                        )
                     for pos, df in enumerate(outs):
                         r = windows[("output", pos)]
                         self._write(self.datasets[r["dataset"]], df, spec.processing_date)

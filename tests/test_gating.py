@@ -72,6 +72,8 @@ def test_runner_runs_skips_and_logs(spark, scratch, events_root):
     assert second == {"copy": ("SKIP", "outputs"), "month": ("SKIP", "inputs"), "clicks": ("SKIP", "outputs")}
     rep = log.report("a").collect()
     assert [r["name"] for r in rep] == ["copy", "month", "clicks"]
+    events = log.step_events().where("run_id = 'a' AND name = 'copy'").orderBy("event_seq")
+    assert [r["status"] for r in events.collect()] == ["RUNNING", "SUCCESS"]   # start and finish, folded per key
     assert {r["run_id"]: r["status"] for r in log.runs().collect()} == {"a": "SUCCESS", "b": "SUCCESS"}
 
 
@@ -89,6 +91,14 @@ def test_runner_failure_is_logged_and_raised(spark, scratch, events_root):
     assert r["status"] == "ERROR" and "bad step" in r["detail"]
 
 
+def test_wrong_number_of_outputs(spark, scratch, events_root):
+    dsets = [Dataset("raw", "partitioned", events_root, "processed_date"),
+             Dataset("a", "partitioned", scratch("a"), "processed_date"),
+             Dataset("b", "partitioned", scratch("b"), "processed_date")]
+    with pytest.raises(ValueError, match="returned 1 frame"):
+        GatedRunner(spark, dsets).run([Step("two", lambda df: df, "raw:1d", ["a:1d", "b:1d"])], "2024-01-15")
+
+
 def test_undeclared_input_rejected(spark, events_root):
     dsets = [Dataset("raw", "partitioned", events_root, "processed_date")]
     with pytest.raises(ValueError, match="ghost"):
