@@ -163,14 +163,15 @@ def window_valid(n: ColumnLike, unit: ColumnLike) -> Column:
 def is_valid_iso_date(s: ColumnLike) -> Column:
     """Does the text parse as ``%Y-%m-%d`` the way Python's ``strptime`` does?
 
-    Four-digit year (>= 1), month 1-12 and day 1-31 with optional leading
-    zero, and the day must exist in that month.  NULL or non-text gives false.
+    Four-digit year (>= 1), month 1-12 with optional leading zero, day 1-31
+    with an optional leading zero or space, and the day must exist in that
+    month.  NULL or non-text gives false.
     """
     s = _lit(s).cast("string")
-    pattern = r"^([0-9]{4})-(1[0-2]|0[1-9]|[1-9])-(3[01]|[12][0-9]|0[1-9]|[1-9])$"
+    pattern = r"^([0-9]{4})-(1[0-2]|0[1-9]|[1-9])-(3[01]|[12][0-9]|0[1-9]|[1-9]| [1-9])$"
     y = F.regexp_extract(s, pattern, 1)
     m = F.regexp_extract(s, pattern, 2)
-    dd = F.regexp_extract(s, pattern, 3)
+    dd = F.trim(F.regexp_extract(s, pattern, 3))
     padded = F.concat_ws("-", y, F.lpad(m, 2, "0"), F.lpad(dd, 2, "0"))
     ok = (
         s.rlike(pattern)

@@ -145,9 +145,20 @@ def list_file_partitions(
 
 
 def list_table_partitions(spark: SparkSession, table: str, partition_column: str) -> DataFrame:
-    """Dates present in a catalog table, from ``SHOW PARTITIONS`` (metadata only)."""
+    """Dates present in a catalog table, from partition metadata only.
+
+    Session-catalog tables answer ``SHOW PARTITIONS``.  Table-format tables
+    (Iceberg) expose a ``<table>.partitions`` metadata table with one row per
+    partition that still holds live files, which is exactly the live-partition
+    set of P5 (untested here: no such runtime in this environment).
+    """
+    from daybook.sources.catalog import table_provider
+
     if not spark.catalog.tableExists(table):
         return _empty_dates(spark)
+    if (table_provider(spark, table) or "") == "iceberg":
+        meta = spark.read.table(f"{table}.partitions")
+        return meta.select(F.col(f"partition.{partition_column}").cast("date").alias("d")).where("d IS NOT NULL").distinct()
     parts = spark.sql(f"SHOW PARTITIONS {table}")
     text = F.regexp_extract("partition", f"(?:^|/){re.escape(partition_column)}=([^/]+)", 1)
     return parts.select(_strict_date(text).alias("d")).where("d IS NOT NULL").distinct()

@@ -45,7 +45,7 @@ CAL = {
     "window_period_end_year": _period_end_sql(2, "make_date(year(processing_date) - CAST(i AS INTEGER), 12, 31)"),
 }
 
-_ISO = "([0-9]{4})-(1[0-2]|0[1-9]|[1-9])-(3[01]|[12][0-9]|0[1-9]|[1-9])"
+_ISO = "([0-9]{4})-(1[0-2]|0[1-9]|[1-9])-(3[01]|[12][0-9]|0[1-9]|[1-9]| [1-9])"
 
 VALID_ISO_DATE = f"""
 WITH t AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders),
@@ -59,7 +59,7 @@ SELECT o_orderkey, s,
   COALESCE(regexp_full_match(s, '{_ISO}')
     AND regexp_extract(s, '^{_ISO}$', 1) <> '0000'
     AND try_strptime(regexp_extract(s, '^{_ISO}$', 1) || '-' || lpad(regexp_extract(s, '^{_ISO}$', 2), 2, '0')
-                     || '-' || lpad(regexp_extract(s, '^{_ISO}$', 3), 2, '0'), '%Y-%m-%d') IS NOT NULL, false) AS valid
+                     || '-' || lpad(trim(regexp_extract(s, '^{_ISO}$', 3)), 2, '0'), '%Y-%m-%d') IS NOT NULL, false) AS valid
 FROM x"""
 
 # --- scans and sinks ----------------------------------------------------------

@@ -122,6 +122,7 @@ def test_iso_date_check_matches_strptime(spark):
         "2025-01-01", "2025-1-1", "2025-02-30", "2024-02-29", "2023-02-29", "2025-01-01x", "2025-01-01 ",
         " 2025-01-01", "", "2025/01/01", "0000-01-01", "0001-01-01", "20250-1-1", "2025-13-01", "2025-00-10",
         "2025-1-31", "2025-04-31", "2025-12-31", "abcd-ef-gh", "2025-01-1", "2025-001-01",
+        "2025-01- 5", "2025-1- 5", "2025- 1-05", "2025-01-  5", "2025-02- 9",
     ]
 
     def py(s):
