@@ -403,7 +403,10 @@ def _event_datasets(spark, sf_dir) -> DataFrame:
 
 def resolve_dataset(spark, sf_dir):
     specs = parse_io_spec(spark, sf_dir).select("event_id", F.col("name").alias("dataset"), "n", "unit")
-    return specs.join(F.broadcast(_event_datasets(spark, sf_dir)), "dataset", "left").select(
+    # The datasets table comes from the data here (distinct event types), so
+    # its size is not proven: adaptive execution picks the strategy from the
+    # measured size instead of a hint.
+    return specs.join(_event_datasets(spark, sf_dir), "dataset", "left").select(
         "event_id", "dataset", "kind", "location", "partition_column", "n", "unit"
     )
 
