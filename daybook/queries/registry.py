@@ -142,7 +142,7 @@ def scan_csv(spark, sf_dir):
 def scan_parquet_glob(spark, sf_dir):
     root = scratch_path(spark, "nation_parquet")
     write_partitioned(fx.table(spark, sf_dir, "nation"), root, "n_regionkey", overwrite="static")
-    return spark.read.option("basePath", root).parquet(f"{root}/n_regionkey=*")
+    return read_parquet(spark, f"{root}/n_regionkey=*", base_path=root)
 
 
 def _new_orders_table(spark, sf_dir) -> str:

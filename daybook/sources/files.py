@@ -15,9 +15,14 @@ def read_csv(spark: SparkSession, path: str, *, schema: StructType | str | None
     return reader.option("inferSchema", "true").csv(path)
 
 
-def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
-    """Parquet from one folder, a ``/*`` wildcard, a brace glob or many paths."""
-    return spark.read.parquet(*paths)
+def read_parquet(spark: SparkSession, *paths: str, base_path: str | None = None) -> DataFrame:
+    """Parquet from one folder, a ``/*`` wildcard, a brace glob or many paths.
+
+    ``base_path`` keeps partition columns (``col=value`` folders below it)
+    when the paths point inside a partitioned tree.
+    """
+    reader = spark.read if base_path is None else spark.read.option("basePath", base_path)
+    return reader.parquet(*paths)
 
 
 def read_json_metadata(spark: SparkSession, path: str) -> DataFrame:

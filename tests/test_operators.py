@@ -3,7 +3,6 @@
 import datetime as dt
 import random
 
-from pyspark.sql import functions as F
 
 from daybook.operators import evaluate, joins, runlog, table_format
 

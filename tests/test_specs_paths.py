@@ -1,7 +1,6 @@
 """G1/G2 spec grammar and tags; P7 location kinds."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from daybook.functions.paths import location_kind, location_name
 from daybook.functions.specs import decode_tags, parse_spec, spec_to_tag
