@@ -34,6 +34,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.driver.memory", os.environ.get("DAYBOOK_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    event_dir = os.environ.get("DAYBOOK_EVENT_LOG_DIR")
+    if event_dir:
+        # Stage/task timings for offline reading (the UI stays off).
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_dir)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
