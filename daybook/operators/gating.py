@@ -45,6 +45,13 @@ def expected_by_spec(specs: DataFrame, datasets: DataFrame, processing_date) ->
     ).withColumn("pos", F.col("pos").cast("bigint"))
 
 
+def windows(specs: DataFrame, datasets: DataFrame, processing_date) -> DataFrame:
+    """Windows as data: ``(dataset, pos, d)`` for every windowed spec, with the
+    shape (period-end for dated folders, contiguous otherwise) taken from the
+    dataset kind."""
+    return expected_by_spec(specs, datasets, processing_date).select("dataset", "pos", "d").distinct()
+
+
 def missing_by_spec(specs: DataFrame, datasets: DataFrame, inventory: DataFrame, processing_date) -> DataFrame:
     """Expected dates of every windowed spec that are absent from the inventory.
 

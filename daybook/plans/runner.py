@@ -46,7 +46,14 @@ class GatedRunner:
         return specs, datasets_table(self.spark, known)
 
     def check_inputs(self, steps: Sequence[Step]) -> None:
-        """Every free input must be a declared dataset."""
+        """Every free input must be a declared dataset; no step may
+        overwrite a dataset it reads (the plan would read what it replaces)."""
+        for step in steps:
+            ins = {s.split(":", 1)[0] for _, s in step.input_specs()}
+            outs = {s.split(":", 1)[0] for s in step.output_specs()}
+            both = sorted(ins & outs)
+            if both:
+                raise ValueError(f"step {step.name} writes {both}, which it also reads")
         specs = specs_table(self.spark, steps)
         missing = unsatisfied_inputs(specs, datasets_table(self.spark, list(self.datasets.values())))
         names = sorted(r["dataset"] for r in missing.collect())

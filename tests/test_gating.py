@@ -99,10 +99,11 @@ def test_wrong_number_of_outputs(spark, scratch, events_root):
         GatedRunner(spark, dsets).run([Step("two", lambda df: df, "raw:1d", ["a:1d", "b:1d"])], "2024-01-15")
 
 
-def test_undeclared_input_rejected(spark, events_root):
-    dsets = [Dataset("raw", "partitioned", events_root, "processed_date")]
+def test_undeclared_input_rejected(spark, scratch, events_root):
+    dsets = [Dataset("raw", "partitioned", events_root, "processed_date"),
+             Dataset("out", "partitioned", scratch("out"), "processed_date")]
     with pytest.raises(ValueError, match="ghost"):
-        GatedRunner(spark, dsets).run([Step("s", lambda a, b: a, ["raw:1d", "ghost:1d"], "raw:1d")], "2024-01-15")
+        GatedRunner(spark, dsets).run([Step("s", lambda a, b: a, ["raw:1d", "ghost:1d"], "out:1d")], "2024-01-15")
 
 
 def test_dataset_declaration_checks():
@@ -122,3 +123,18 @@ def test_runner_without_log_and_dry_run(spark, scratch, events_root):
     assert plan == {"copy": "RUN"}
     assert [r["status"] for r in runner.run(steps, "2024-01-15").collect()] == ["SUCCESS"]
     assert {r["step"]: r["decision"] for r in runner.plan(steps, "2024-01-15").collect()} == {"copy": "SKIP"}
+
+
+def test_step_may_not_overwrite_its_input(spark, events_root):
+    dsets = [Dataset("raw", "partitioned", events_root, "processed_date")]
+    with pytest.raises(ValueError, match="also reads"):
+        GatedRunner(spark, dsets).run([Step("loop", lambda df: df, "raw:1d", "raw:1d")], "2024-01-15")
+
+
+def test_windows_table(spark, scratch):
+    dsets = [Dataset("f", "folder", scratch("f")), Dataset("p", "partitioned", scratch("p"), "processed_date")]
+    steps = [Step("s", lambda a, b: a, ["f:2m", "p:3d"], "p:1d")]
+    w = gating.windows(specs_table(spark, steps), datasets_table(spark, dsets), "2024-03-15")
+    got = {(r["dataset"], r["pos"], str(r["d"])) for r in w.collect()}
+    assert got == {("f", 0, "2024-03-31"), ("f", 1, "2024-02-29"),
+                   ("p", 0, "2024-03-13"), ("p", 1, "2024-03-14"), ("p", 2, "2024-03-15")}
