@@ -136,5 +136,6 @@ def test_windows_table(spark, scratch):
     steps = [Step("s", lambda a, b: a, ["f:2m", "p:3d"], "p:1d")]
     w = gating.windows(specs_table(spark, steps), datasets_table(spark, dsets), "2024-03-15")
     got = {(r["dataset"], r["pos"], str(r["d"])) for r in w.collect()}
-    assert got == {("f", 0, "2024-03-31"), ("f", 1, "2024-02-29"),
-                   ("p", 0, "2024-03-13"), ("p", 1, "2024-03-14"), ("p", 2, "2024-03-15")}
+    assert got == {("f", 0, "2024-03-31"), ("f", 1, "2024-02-29"),                        # input f:2m
+                   ("p", 0, "2024-03-13"), ("p", 1, "2024-03-14"), ("p", 2, "2024-03-15"),  # input p:3d
+                   ("p", 0, "2024-03-15")}                                                  # output p:1d
