@@ -62,12 +62,14 @@ def join_keep_left(
         mult = n if mult is None else mult * n
     if mult is None:
         return left
-    return out.select(*[F.col(c) for c in cols], F.explode(F.sequence(F.lit(1), mult.cast("int"))).alias("_rep")).drop("_rep")
+    # bigint counts: no silent wrap-around without ANSI mode
+    reps = F.explode(F.sequence(F.lit(1).cast("bigint"), mult.cast("bigint")))
+    return out.select(*[F.col(c) for c in cols], reps.alias("_rep")).drop("_rep")
 
 
 def join_on_date(left: DataFrame, right: DataFrame, left_key: str = "processed_date", right_key: str = "created_at", **kw) -> DataFrame:
     """T1 (``processed_date = created_at``) and T2 (other key names)."""
-    return join_keep_left(left, [(right, left_key, right_key)], **kw).select(*left.columns)
+    return join_keep_left(left, [(right, left_key, right_key)], **kw)
 
 
 def join_on_two_dates(
