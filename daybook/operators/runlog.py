@@ -107,8 +107,11 @@ class RunLog:
         return f"{self.root}/runs"
 
     def _next_seq(self) -> int:
-        self._seq += 1
-        return int(_dt.datetime.now().timestamp() * 1_000_000) * 1000 + self._seq % 1000
+        """Event order: wall-clock microseconds, forced strictly increasing
+        within this writer (a clock step backwards cannot reorder a fold)."""
+        now = int(_dt.datetime.now().timestamp() * 1_000_000)
+        self._seq = max(self._seq + 1, now)
+        return self._seq
 
     def append_step(self, *, run_id, seq, name, func, status, start_time, finish_time=None,
                     inputs=None, outputs=None, tags=None, confirms=None, namespace=None, detail=None):
