@@ -113,17 +113,26 @@ class RunLog:
         self._seq = max(self._seq + 1, now)
         return self._seq
 
-    def append_step(self, *, run_id, seq, name, func, status, start_time, finish_time=None,
-                    inputs=None, outputs=None, tags=None, confirms=None, namespace=None, detail=None):
+    def _step_row(self, *, run_id, seq, name, func, status, start_time, finish_time=None,
+                  inputs=None, outputs=None, tags=None, confirms=None, namespace=None, detail=None) -> tuple:
         if status not in STATUSES:
             raise ValueError(f"unknown status {status!r}")
         func_name = func if isinstance(func, str) or func is None else getattr(func, "__name__", str(func))
-        row = (
+        return (
             str(run_id), int(seq), name, func_name, start_time[:10], start_time, finish_time,
             _text_list(inputs), _text_list(outputs), _text_list(tags), _text_list(confirms),
             namespace, status, detail, self._next_seq(),
         )
-        self.spark.createDataFrame([row], STEP_LOG_SCHEMA).write.mode("append").parquet(self.steps_path)
+
+    def append_step(self, **event) -> None:
+        """L1, single form: one step event (one small append)."""
+        self.append_steps([event])
+
+    def append_steps(self, events: list[dict]) -> None:
+        """L1, batch form: many step events in one append job."""
+        rows = [self._step_row(**e) for e in events]
+        if rows:
+            self.spark.createDataFrame(rows, STEP_LOG_SCHEMA).write.mode("append").parquet(self.steps_path)
 
     def append_run(self, *, run_id, status, start_time, finish_time=None, nodes=None, dag_name=None,
                    inputs=None, outputs=None, parameters=None, tags=None, namespace=None):
@@ -134,6 +143,20 @@ class RunLog:
         )
         self.spark.createDataFrame([row], RUN_LOG_SCHEMA).write.mode("append").parquet(self.runs_path)
 
+    @property
+    def metrics_path(self) -> str:
+        return f"{self.root}/metrics"
+
+    def record_metrics(self, run_id: str, metrics: DataFrame) -> None:
+        """M3: append a run's ``(metric, value)`` rows, tagged with the run id."""
+        metrics.select(F.lit(str(run_id)).alias("run_id"), "metric", F.col("value").cast("double").alias("value")).write.mode(
+            "append"
+        ).parquet(self.metrics_path)
+
+    def metrics(self, run_id: str | None = None) -> DataFrame:
+        df = self.spark.read.schema("run_id string, metric string, value double").parquet(self.metrics_path)
+        return df if run_id is None else df.where(F.col("run_id") == run_id)
+
     def step_events(self) -> DataFrame:
         return self.spark.read.schema(STEP_LOG_SCHEMA).parquet(self.steps_path)
 

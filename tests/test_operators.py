@@ -164,3 +164,18 @@ def test_metadata_json_and_delete_files(spark, scratch):
     assert got == ["2025-01-02"]
     none = entries.where("data_file.content = 0")
     assert table_format.read_position_deletes(spark, none) is None
+
+
+def test_run_log_batch_and_metrics(spark, scratch):
+    log = runlog.RunLog(spark, scratch("log"))
+    log.append_steps([
+        dict(run_id="r", seq=0, name="a", func="f", status="RUNNING", start_time="2025-01-01 00:00:00"),
+        dict(run_id="r", seq=1, name="b", func="g", status="SKIP", start_time="2025-01-01 00:00:01", detail="lack"),
+        dict(run_id="r", seq=0, name="a", func="f", status="SUCCESS", start_time="2025-01-01 00:00:00",
+             finish_time="2025-01-01 00:00:09"),
+    ])
+    assert {r["name"]: r["status"] for r in log.steps().collect()} == {"a": "SUCCESS", "b": "SKIP"}
+    emb = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    log.record_metrics("r", evaluate.run_metrics(emb, "embedding", "label", {"max_iter": 1000}))
+    got = {r["metric"]: r["value"] for r in log.metrics("r").collect()}
+    assert got["n_features"] == 64.0 and got["max_iter"] == 1000.0
