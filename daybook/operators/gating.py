@@ -167,23 +167,24 @@ def inventory_for(spark: SparkSession, datasets: DataFrame, specs: DataFrame | N
     and ``processing_date`` each listing covers only the folders of that
     dataset's windows (datasets used without a window are listed whole).
     """
-    from daybook.operators.inventory import list_partitions, window_glob_parts
+    from daybook.operators.inventory import glob_parts, list_partitions
 
     rows = datasets.select("dataset", "kind", "location", "partition_column").collect()
     only: dict[str, list[str] | None] = {}
     if specs is not None and processing_date is not None:
-        kinds = {r["dataset"]: r["kind"] for r in rows}
-        for s in specs.select("dataset", "n", "unit").distinct().collect():
-            if s["dataset"] not in kinds:
-                continue
-            if s["n"] is None or s["n"] <= 0:
-                only[s["dataset"]] = None
-                continue
-            shape = SHAPE_OF_KIND.get(kinds[s["dataset"]], "contiguous")
-            parts = window_glob_parts(spark, processing_date, s["n"], s["unit"], shape)
-            if s["dataset"] in only and only[s["dataset"]] is None:
-                continue
-            only[s["dataset"]] = sorted(set(only.get(s["dataset"]) or []) | set(parts))
+        d = F.to_date(F.lit(str(processing_date)))
+        kinds = datasets.select("dataset", _shape(F.col("kind")).alias("shape"))
+        # Every listed dataset starts as "whole"; windowed specs narrow it.
+        used = specs.select("dataset", "n", "unit").distinct().join(kinds, "dataset")
+        parts = used.select(
+            "dataset",
+            F.when(F.col("n") > 0, glob_parts(d, F.col("n"), F.col("unit"), F.col("shape"))).alias("g"),
+        ).groupBy("dataset").agg(
+            F.max(F.col("g").isNull().cast("int")).alias("whole"),
+            F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.coalesce("g", F.array().cast("array<string>")))))).alias("g"),
+        ).collect()  # one small job: one row per dataset of the configuration
+        for p in parts:
+            only[p["dataset"]] = None if p["whole"] else list(p["g"])
     frames = [
         list_partitions(spark, r["location"], r["partition_column"], only.get(r["dataset"])).select(
             F.lit(r["dataset"]).alias("dataset"), "d"

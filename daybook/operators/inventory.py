@@ -24,7 +24,7 @@ import re
 from urllib.parse import urlparse
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.functions.calendar import (
@@ -83,27 +83,28 @@ def classify(location: str) -> str:
     raise ValueError(f"unsupported dataset location {location!r}")
 
 
-def window_glob_parts(spark: SparkSession, processing_date, n: int, unit: str, shape: str = "contiguous") -> list[str]:
-    """Folder-name globs that cover a window, for listing only what it needs.
+def glob_parts(d, n, unit, shape) -> Column:
+    """``array<string>`` of folder-name globs covering a window (Column form).
 
-    Period-end windows and short day windows give their exact dates (at most
-    ``n`` / 62 names); longer contiguous windows give one ``yyyy-MM-*`` per
-    month they touch (at most ``12·n + 1``).  The list is bounded by the window
-    parameters, never by the data.
+    Period-end windows and day windows of at most 62 days give their exact
+    dates; longer contiguous windows give one ``yyyy-MM-*`` per month they
+    touch (at most ``12·n + 1``).  Bounded by the window parameters, never by
+    the data.
     """
+    exact = F.transform(window_dates(d, n, unit, shape), lambda x: F.date_format(x, "yyyy-MM-dd"))
+    start, end = window_bounds(d, n, unit)
+    months = F.transform(
+        F.sequence(F.trunc(start, "month"), F.trunc(end, "month"), F.expr("INTERVAL 1 MONTH")),
+        lambda x: F.concat(F.date_format(x, "yyyy-MM"), F.lit("-*")),
+    )
+    return F.when((shape == "period_end") | ((unit == "day") & (n <= 62)), exact).otherwise(months)
+
+
+def window_glob_parts(spark: SparkSession, processing_date, n: int, unit: str, shape: str = "contiguous") -> list[str]:
+    """:func:`glob_parts` for one window, evaluated once on a one-row frame."""
     spec = validate_window(processing_date, n, unit)
-    d, nn, u = F.lit(spec.processing_date), F.lit(spec.n), F.lit(spec.unit)
-    if shape == "period_end" or (spec.unit == "day" and spec.n <= 62):
-        row = spark.range(1).select(
-            F.transform(window_dates(d, nn, u, F.lit(shape)), lambda x: F.date_format(x, "yyyy-MM-dd")).alias("g")
-        ).first()
-        return list(row["g"])
-    start, end = window_bounds(d, nn, u)
     row = spark.range(1).select(
-        F.transform(
-            F.sequence(F.trunc(start, "month"), F.trunc(end, "month"), F.expr("INTERVAL 1 MONTH")),
-            lambda x: F.concat(F.date_format(x, "yyyy-MM"), F.lit("-*")),
-        ).alias("g")
+        glob_parts(F.lit(spec.processing_date), F.lit(spec.n), F.lit(spec.unit), F.lit(shape)).alias("g")
     ).first()
     return list(row["g"])
 
