@@ -18,11 +18,15 @@ window can never be "complete", so its step runs.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.functions.calendar import window_bounds, window_dates
 
+_log = logging.getLogger(__name__)
+
 SHAPE_OF_KIND = {"folder": "period_end", "partitioned": "contiguous", "table": "contiguous"}
 
 
@@ -158,7 +162,13 @@ def unsatisfied_inputs(specs: DataFrame, datasets: DataFrame) -> DataFrame:
     return free.join(datasets.select("dataset"), "dataset", "left_anti").distinct()
 
 
-def inventory_for(spark: SparkSession, datasets: DataFrame, specs: DataFrame | None = None, processing_date=None) -> DataFrame:
+def inventory_for(
+    spark: SparkSession,
+    datasets: DataFrame,
+    specs: DataFrame | None = None,
+    processing_date=None,
+    lenient: set[str] | frozenset[str] = frozenset(),
+) -> DataFrame:
     """``(dataset, d)`` for every dataset of the configuration table.
 
     The configuration tables are small (one row per declared dataset / step
@@ -166,6 +176,10 @@ def inventory_for(spark: SparkSession, datasets: DataFrame, specs: DataFrame | N
     the listings run on Spark and are unioned into one plan.  With ``specs``
     and ``processing_date`` each listing covers only the folders of that
     dataset's windows (datasets used without a window are listed whole).
+
+    A listing that fails for a dataset in ``lenient`` (the runner passes the
+    datasets used only as outputs) yields an empty inventory, so the output
+    counts as incomplete and the step runs; any other failure propagates.
     """
     from daybook.operators.inventory import glob_parts, list_partitions
 
@@ -185,12 +199,17 @@ def inventory_for(spark: SparkSession, datasets: DataFrame, specs: DataFrame | N
         ).collect()  # one small job: one row per dataset of the configuration
         for p in parts:
             only[p["dataset"]] = None if p["whole"] else list(p["g"])
-    frames = [
-        list_partitions(spark, r["location"], r["partition_column"], only.get(r["dataset"])).select(
-            F.lit(r["dataset"]).alias("dataset"), "d"
-        )
-        for r in rows
-    ]
+    def listing(r):
+        try:
+            inv = list_partitions(spark, r["location"], r["partition_column"], only.get(r["dataset"]))
+        except Exception as err:  # noqa: BLE001 - output checks degrade to "incomplete"
+            if r["dataset"] not in lenient:
+                raise
+            _log.warning("output %s could not be listed (%s); treated as incomplete", r["dataset"], err)
+            inv = spark.createDataFrame([], "d date")
+        return inv.select(F.lit(r["dataset"]).alias("dataset"), "d")
+
+    frames = [listing(r) for r in rows]
     if not frames:
         return spark.createDataFrame([], "dataset string, d date")
     out = frames[0]

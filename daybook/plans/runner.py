@@ -64,7 +64,15 @@ class GatedRunner:
         """Dry run: the decision of every step against the current data."""
         validate_window(processing_date, 1, "day")
         specs, dsets = self._tables(steps)
-        return gate_decision(specs, dsets, inventory_for(self.spark, dsets, specs, processing_date), processing_date)
+        inv = inventory_for(self.spark, dsets, specs, processing_date, lenient=self._output_only(steps))
+        return gate_decision(specs, dsets, inv, processing_date)
+
+    @staticmethod
+    def _output_only(steps: Sequence[Step]) -> set[str]:
+        """Datasets no step reads: a failure to list them means "incomplete"."""
+        ins = {s.split(":", 1)[0] for st in steps for _, s in st.input_specs()}
+        outs = {s.split(":", 1)[0] for st in steps for s in st.output_specs()}
+        return outs - ins
 
     # -- execution -------------------------------------------------------
     def _read(self, ds: Dataset, processing_date, n, unit) -> DataFrame:
@@ -101,9 +109,8 @@ class GatedRunner:
         for seq, step in enumerate(steps):
             t0 = _now()
             specs, dsets = self._tables([step])
-            decision = gate_decision(
-                specs, dsets, inventory_for(self.spark, dsets, specs, spec.processing_date), spec.processing_date
-            ).first()
+            inv = inventory_for(self.spark, dsets, specs, spec.processing_date, lenient=self._output_only([step]))
+            decision = gate_decision(specs, dsets, inv, spec.processing_date).first()
             windows = {
                 (r["direction"], r["pos"]): r for r in specs.collect()
             }

@@ -177,3 +177,13 @@ def test_runner_across_folder_partitioned_and_table(spark, scratch):
     early = [Step("raw_to_intermediate", lambda df: df, "raw:5d", "intermediate:5d")]
     r = runner.run(early, "2025-01-01").first()
     assert (r["status"], r["reason"]) == ("SKIP", "inputs")
+
+
+def test_output_check_error_means_incomplete_input_error_raises(spark, events_root):
+    dsets = [Dataset("raw", "partitioned", events_root, "processed_date"),
+             Dataset("broken", "partitioned", "nosuchfs://bucket/out", "processed_date")]
+    runner = GatedRunner(spark, dsets)
+    plan = {r["step"]: r["decision"] for r in runner.plan([Step("s", lambda df: df, "raw:1d", "broken:1d")], "2024-01-15").collect()}
+    assert plan == {"s": "RUN"}
+    with pytest.raises(Exception):
+        runner.plan([Step("t", lambda df: df, "broken:1d", "raw:1d")], "2024-01-15").collect()
