@@ -115,3 +115,9 @@ def test_overwrite_of_table_created_elsewhere_stays_dynamic(spark, scratch):
     assert back.select("processed_date").distinct().count() == n_days
     assert back.where("processed_date = date'2024-01-03'").count() == new.count()
     assert back.where("processed_date = date'2024-01-04'").count() == e.where("processed_date = date'2024-01-04'").count()
+
+
+def test_existence_check_only_not_found_is_absent(spark):
+    assert table_exists(spark, scratch_table_name("nothing_here")) is False
+    with pytest.raises(Exception):
+        table_exists(spark, "bad..name")      # a malformed name is an error, not "absent"
