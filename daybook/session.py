@@ -27,7 +27,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         # Local data is tiny: without this, adaptive coalescing packs a whole
         # shuffle into one task (the 1 MB default minimum), which serialises
         # partitioned writes of thousands of date folders.
-        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         # One local listing task per partition folder costs more than the
         # listing itself; a few dozen tasks cover thousands of folders.
         .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", "32")
