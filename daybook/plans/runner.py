@@ -15,9 +15,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from daybook.functions.calendar import validate_window
-from daybook.operators.gating import gate_decision, inventory_for, unsatisfied_inputs
+from daybook.operators.gating import gate_decision, inventory_for
 from daybook.operators.runlog import RunLog
-from daybook.plans.steps import Dataset, Step, datasets_table, specs_table
+from daybook.plans.steps import PARSED_SPECS_SCHEMA, Dataset, Step, datasets_table, specs_table
 from daybook.sinks.catalog import save_table
 from daybook.sinks.files import write_folder, write_partitioned
 from daybook.sources.catalog import read_table
@@ -39,31 +39,48 @@ class GatedRunner:
         self.run_log = run_log
 
     # -- decisions -------------------------------------------------------
-    def _tables(self, steps: Sequence[Step]):
-        specs = specs_table(self.spark, steps)
-        used = {r["dataset"] for r in specs.select("dataset").distinct().collect()}
+    def _tables(self, steps: Sequence[Step], parsed: list | None = None):
+        """Specs and datasets tables for ``steps``.
+
+        ``parsed`` are spec rows already parsed by Spark (one small job per
+        run); without them the specs are parsed here.  The rows are
+        configuration, bounded by the number of declared inputs/outputs.
+        """
+        if parsed is None:
+            parsed = specs_table(self.spark, steps).collect()
+        names = {s.name for s in steps}
+        rows = [r for r in parsed if r["step"] in names]
+        specs = self.spark.createDataFrame(rows, PARSED_SPECS_SCHEMA)
+        used = {r["dataset"] for r in rows}
         known = [d for n, d in self.datasets.items() if n in used]
-        return specs, datasets_table(self.spark, known)
+        return specs, datasets_table(self.spark, known), rows
 
-    def check_inputs(self, steps: Sequence[Step]) -> None:
+    def check_inputs(self, steps: Sequence[Step], parsed: list | None = None) -> None:
         """Every free input must be a declared dataset; no step may
-        overwrite a dataset it reads (the plan would read what it replaces)."""
+        overwrite a dataset it reads (the plan would read what it replaces).
+
+        The parsed spec rows are configuration already on the driver, so the
+        check is a set difference there (the same rule as the
+        :func:`daybook.operators.gating.unsatisfied_inputs` table operator).
+        """
         for step in steps:
             ins = {s.split(":", 1)[0] for _, s in step.input_specs()}
             outs = {s.split(":", 1)[0] for s in step.output_specs()}
             both = sorted(ins & outs)
             if both:
                 raise ValueError(f"step {step.name} writes {both}, which it also reads")
-        specs = specs_table(self.spark, steps)
-        missing = unsatisfied_inputs(specs, datasets_table(self.spark, list(self.datasets.values())))
-        names = sorted(r["dataset"] for r in missing.collect())
+        if parsed is None:
+            parsed = specs_table(self.spark, steps).collect()
+        produced = {r["dataset"] for r in parsed if r["direction"] == "output"}
+        free = {r["dataset"] for r in parsed if r["direction"] == "input"} - produced
+        names = sorted(free - set(self.datasets))
         if names:
             raise ValueError(f"step input(s) {names} are not declared datasets")
 
     def plan(self, steps: Sequence[Step], processing_date) -> DataFrame:
         """Dry run: the decision of every step against the current data."""
         validate_window(processing_date, 1, "day")
-        specs, dsets = self._tables(steps)
+        specs, dsets, _ = self._tables(steps)
         inv = inventory_for(self.spark, dsets, specs, processing_date, lenient=self._output_only(steps))
         return gate_decision(specs, dsets, inv, processing_date)
 
@@ -101,19 +118,18 @@ class GatedRunner:
         """Run the steps; returns ``(step, seq, status, reason, detail)`` rows."""
         spec = validate_window(processing_date, 1, "day")
         run_id = run_id or uuid.uuid4().hex
-        self.check_inputs(steps)
+        parsed = specs_table(self.spark, steps).collect()  # every spec parsed in one small job
+        self.check_inputs(steps, parsed)
         started = _now()
         if self.run_log:
             self.run_log.append_run(run_id=run_id, status="RUNNING", start_time=started, nodes=[s.name for s in steps])
         results = []
         for seq, step in enumerate(steps):
             t0 = _now()
-            specs, dsets = self._tables([step])
+            specs, dsets, rows = self._tables([step], parsed)
             inv = inventory_for(self.spark, dsets, specs, spec.processing_date, lenient=self._output_only([step]))
             decision = gate_decision(specs, dsets, inv, spec.processing_date).first()
-            windows = {
-                (r["direction"], r["pos"]): r for r in specs.collect()
-            }
+            windows = {(r["direction"], r["pos"]): r for r in rows}
             if decision["decision"] == "SKIP":
                 if decision["reason"] == "inputs":
                     detail = f"skipped: inputs lack data: {list(decision['missing_inputs'])}"

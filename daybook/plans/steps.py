@@ -84,6 +84,11 @@ def specs_rows(steps: Sequence[Step]) -> list[tuple]:
     return rows
 
 
+PARSED_SPECS_SCHEMA = (
+    "step string, seq int, direction string, arg string, pos int, spec string, dataset string, n int, unit string"
+)
+
+
 def parse_specs(raw: DataFrame) -> DataFrame:
     """Spec texts → ``(step, seq, direction, arg, pos, spec, dataset, n, unit)``."""
     return raw.select("*", parse_spec("spec").alias("_p")).select(
