@@ -128,7 +128,9 @@ class GatedRunner:
             t0 = _now()
             specs, dsets, rows = self._tables([step], parsed)
             inv = inventory_for(self.spark, dsets, specs, spec.processing_date, lenient=self._output_only([step]))
-            decision = gate_decision(specs, dsets, inv, spec.processing_date).first()
+            decision = gate_decision(specs, dsets, inv, spec.processing_date).first() if rows else None
+            if decision is None:  # a step with no declared inputs or outputs always runs
+                decision = {"decision": "RUN", "reason": None, "missing_inputs": []}
             windows = {(r["direction"], r["pos"]): r for r in rows}
             if decision["decision"] == "SKIP":
                 if decision["reason"] == "inputs":
@@ -152,7 +154,10 @@ class GatedRunner:
                         else:
                             kwargs[arg] = df
                     out = step.func(*args, **kwargs)
-                    outs = list(out) if isinstance(out, (list, tuple)) else [out]
+                    if out is None:
+                        outs = []
+                    else:
+                        outs = list(out) if isinstance(out, (list, tuple)) else [out]
                     if len(outs) != len(step.output_specs()):
                         raise ValueError(
                             f"step {step.name} returned {len(outs)} frame(s) for {len(step.output_specs())} output(s)"

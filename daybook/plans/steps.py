@@ -56,11 +56,13 @@ class Step:
 
     name: str
     func: Callable[..., DataFrame | Sequence[DataFrame]]
-    inputs: str | Sequence[str] | Mapping[str, str]
-    outputs: str | Sequence[str]
+    inputs: str | Sequence[str] | Mapping[str, str] | None
+    outputs: str | Sequence[str] | None
     tags: Sequence[str] = field(default_factory=tuple)
 
     def input_specs(self) -> list[tuple[str | None, str]]:
+        if self.inputs is None:
+            return []
         if isinstance(self.inputs, str):
             return [(None, self.inputs)]
         if isinstance(self.inputs, Mapping):
@@ -68,6 +70,8 @@ class Step:
         return [(None, s) for s in self.inputs]
 
     def output_specs(self) -> list[str]:
+        if self.outputs is None:
+            return []
         return [self.outputs] if isinstance(self.outputs, str) else list(self.outputs)
 
 

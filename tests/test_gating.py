@@ -187,3 +187,18 @@ def test_output_check_error_means_incomplete_input_error_raises(spark, events_ro
     assert plan == {"s": "RUN"}
     with pytest.raises(Exception):
         runner.plan([Step("t", lambda df: df, "broken:1d", "raw:1d")], "2024-01-15").collect()
+
+
+def test_step_without_inputs_or_outputs(spark, scratch, events_root):
+    out = scratch("gen")
+    dsets = [Dataset("raw", "partitioned", events_root, "processed_date"),
+             Dataset("gen", "partitioned", out, "processed_date")]
+    seen = []
+    steps = [
+        Step("generate", lambda: spark.read.parquet(events_root).where("processed_date = date'2024-01-15'"), None, "gen:1d"),
+        Step("inspect", lambda df: seen.append(df.count()), "gen:1d", None),
+        Step("side_effect_only", lambda: seen.append(-1), None, None),
+    ]
+    got = {r["step"]: r["status"] for r in GatedRunner(spark, dsets).run(steps, "2024-01-15").collect()}
+    assert got == {"generate": "SUCCESS", "inspect": "SUCCESS", "side_effect_only": "SUCCESS"}
+    assert seen and seen[0] > 0
