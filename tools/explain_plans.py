@@ -17,6 +17,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def summary(plan: str) -> dict:
+    # An adaptive plan prints the final plan, then the initial one: count the final only.
+    plan = plan.split("== Initial Plan ==")[0]
     return {
         "exchanges": len(re.findall(r"Exchange hashpartitioning|Exchange rangepartitioning|Exchange SinglePartition|Exchange RoundRobin", plan)),
         "broadcast_exchanges": plan.count("BroadcastExchange"),
