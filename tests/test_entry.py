@@ -40,3 +40,27 @@ def test_sample_queries_match_oracle_small(spark):
         orows = [dict(zip(cols, r)) for r in cur.fetchall()]
         want = sorted(tuple(str(r[c]) for c in sorted(cols)) for r in orows)
         assert rows == want, name
+
+
+def test_query_keys_are_descriptive():
+    import re
+
+    for key in ent.queries():
+        assert re.fullmatch(r"[a-z][a-z0-9_]*", key), key
+        assert "pipeline" not in key and not re.match(r"op\d+_", key), key
+
+
+def test_bench_prints_one_json_line():
+    import json
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, BENCH_SF_DIR="/root/testdata/sf0.001", BENCH_QUERIES="valid_iso_date,runlog_max_id", BENCH_CPUS="2")
+    out = subprocess.run([sys.executable, os.path.join(repo, "bench.py")], capture_output=True, text=True, env=env,
+                         timeout=600, check=True).stdout.strip().splitlines()
+    assert len(out) == 1
+    d = json.loads(out[0])
+    assert {"metric", "value", "unit", "queries", "sf"} <= set(d)
+    assert d["unit"] == "sec" and set(d["queries"]) == {"valid_iso_date", "runlog_max_id"} and d["sf"] == 0.001
