@@ -4,18 +4,20 @@ The incidence matrix has a row per distinct shingle set and a column per
 shingle. Columns are ordered from rare to frequent (by a fixed-size count
 sketch over all documents), and the product is taken block by block:
 
-1. Only a row's first ``n - ceil(0.75 n) + 1`` columns can be its first one in
-   common with a row it links to, so only those enter the product. Rows are
-   exchanged as packed column blocks.
-2. Within a column, every row first meets the column's smallest row of its size
-   class; map tasks do that within their own block before the exchange, so a
-   column that a third of the rows share sends one row per task. Pairs below the size-derived bounds
-   (length ratio; overlap still possible from this column on) are discarded; the overlap of
-   the others is accumulated over the whole rows.
+1. Two rows that link share their first ``l`` common columns, and those lie
+   among the first ``n - ceil(0.75 n) + l`` columns of both, with ``l`` the
+   smaller of ``1 + n div 16``. Only these enter the product. Rows are exchanged
+   as packed blocks of columns.
+2. In a column every row meets the most central one (whose shingles are the most
+   frequent); overlaps are accumulated over the blocks, and pairs below the
+   size-derived bound ``l`` or length ratio are discarded. The rest is compared over the whole rows.
+   Where a map task holds many rows of a column it does this itself and sends
+   on one row, so a column that a third of the rows share is never gathered.
+   A row that meets others in fewer than ``l`` columns links with nothing.
 3. Rows linked so far form components. Columns that still hold rows of several
    components are multiplied in full, across components only, under the same
    bounds. A pair inside a component cannot change it, so no link between
-   components is lost and a group of copies is never expanded into all pairs.
+   components is lost and a group of copies is not expanded into all pairs.
 
 Shingles are 64-bit hashes; a wrong overlap needs two of them to collide within one pair.
 """
@@ -36,8 +38,10 @@ from daybook.llm.words import column_shingles, mix64, text_slices, window_hashes
 #: Counters of the frequency sketch: 4 MB, whatever the input.
 SKETCH_BITS = 20
 _SKETCH_BLOCKS = 64
-#: Postings (24 bytes each) that one block of columns should hold.
-BLOCK_POSTINGS = 400_000
+#: Postings (28 bytes each) that one block of columns should hold.
+BLOCK_POSTINGS = 50_000
+#: Rows of a column above which a map task sends on the most central one alone.
+LOCAL_ROWS = 64
 #: Postings that a map task packs at once.
 PACK_POSTINGS = 1_000_000
 
@@ -72,43 +76,49 @@ def column_sketch(docs: DataFrame, text: str) -> np.ndarray:
     return found
 
 
+def shared_columns(n):
+    """``l``: columns that a row of ``n`` shares with any row it links to, within both rows' prefixes."""
+    return 1 + n // 16
+
+
 def prefix_length(n: int) -> int:
-    """How many of a row's first columns must be looked at: ``n - ceil(0.75 n) + 1``."""
-    return n - -(-3 * n // 4) + 1 if n else 0
+    """How many of a row's first columns are looked at: ``n - ceil(0.75 n) + l``."""
+    return min(n, n - -(-3 * n // 4) + shared_columns(n)) if n else 0
 
 
 def _rows(docs: DataFrame, id_col: str, text: str, sketch: np.ndarray) -> DataFrame:
-    """``(doc_id, n, sig, prefix)``: set size, digest of the set, its first columns."""
+    """``(doc_id, n, sig, score, prefix)``: set size, digest of the set, how frequent its shingles are, its first columns."""
     import hashlib
 
     counts = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, sigs, prefixes = [], [], []
+            sizes, sigs, scores, prefixes = [], [], [], []
             for s in column_shingles(batch.column(1)):
-                order = np.argsort(counts.value[s >> np.uint64(64 - SKETCH_BITS)], kind="stable")
+                seen = counts.value[s >> np.uint64(64 - SKETCH_BITS)]
+                order = np.argsort(seen, kind="stable")
+                scores.append(float(seen.mean()) if len(s) else 0.0)
                 sizes.append(len(s))
                 sigs.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                 prefixes.append(s[order[: prefix_length(len(s))]].tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(sigs, pa.binary()), pa.array(prefixes, pa.binary())],
-                names=["doc_id", "n", "sig", "prefix"],
+                [batch.column(0).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(sigs, pa.binary()), pa.array(scores, pa.float32()), pa.array(prefixes, pa.binary())],
+                names=["doc_id", "n", "sig", "score", "prefix"],
             )
 
-    return docs.select(id_col, text).mapInArrow(row, "doc_id long, n long, sig binary, prefix binary")
+    return docs.select(id_col, text).mapInArrow(row, "doc_id long, n long, sig binary, score float, prefix binary")
 
 
-_POSTING = np.dtype([("col", "<u8"), ("id", "<i8"), ("n", "<i4"), ("pos", "<i4")])
+_POSTING = np.dtype([("col", "<u8"), ("id", "<i8"), ("n", "<i4"), ("score", "<f4")])
 
 
-def _postings(ids, sizes, prefixes) -> np.ndarray:
+def _postings(ids, sizes, scores, prefixes) -> np.ndarray:
     lengths = np.array([len(p) // 8 for p in prefixes], dtype=np.int64)
     out = np.empty(int(lengths.sum()), dtype=_POSTING)
     out["col"] = np.frombuffer(b"".join(prefixes), dtype=np.uint64)
-    out["id"] = np.repeat(np.asarray(ids, dtype=np.int64), lengths)
-    out["n"] = np.repeat(np.asarray(sizes, dtype=np.int64), lengths)
-    out["pos"] = np.arange(len(out)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    for name, values in (("id", ids), ("n", sizes), ("score", scores)):
+        out[name] = np.repeat(np.asarray(values), lengths)
     return out
 
 
@@ -116,45 +126,55 @@ def _size_class(n: np.ndarray) -> np.ndarray:
     return np.floor(np.log(np.maximum(n, 1)) / np.log(4 / 3)).astype(np.uint64)
 
 
-def _possible(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """The size-derived bounds, for rows that have this column as their first one in common."""
-    nx, ny = x["n"].astype(np.int64), y["n"].astype(np.int64)
-    least = -(-3 * (nx + ny) // 7)
-    return (4 * np.minimum(nx, ny) >= 3 * np.maximum(nx, ny)) & (np.minimum(nx - x["pos"], ny - y["pos"]) >= least)
+class _Meets:
+    """Overlaps of pairs ``(a, b)``, and the columns in which a row ``a`` meets others as ``(a, a)``."""
 
+    def __init__(self):
+        self.parts = []
 
-def _stars(p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """In each column and size class: the first row, and the pairs it makes with the others.
+    def add(self, a, b, need):
+        self.parts.append(np.stack([a, b, need], axis=1).astype(np.int64))
 
-    A row that meets others here but makes no pair comes back as a pair with itself, for step 3.
-    """
+    def sums(self) -> list[np.ndarray]:
+        rows = np.concatenate(self.parts) if self.parts else np.zeros((0, 3), dtype=np.int64)
+        rows, count = np.unique(rows, axis=0, return_counts=True)
+        return [rows[:, 0], rows[:, 1], rows[:, 2], count.astype(np.int64)]
+
+
+def _stars(p: np.ndarray, least: int, meets: _Meets) -> np.ndarray:
+    """Adds the meetings of every column with at least ``least`` rows of a size class; returns the rows to send on."""
     key = mix64(p["col"] + _size_class(p["n"]))
-    order = np.lexsort((p["id"], key))
+    order = np.lexsort((p["id"], -p["score"], key))
     p, key = p[order], key[order]
     first = np.ones(len(p), dtype=bool)
     first[1:] = key[1:] != key[:-1]
-    leader = p[np.flatnonzero(first)[np.cumsum(first) - 1]]
-    pair = ~first & (leader["id"] != p["id"]) & _possible(leader, p)
-    near = np.zeros(len(p), dtype=bool)  # another row of this column is near enough in size
-    by_size = np.lexsort((p["n"], p["col"]))
-    col, size = p["col"][by_size], _size_class(p["n"][by_size])
-    meets = (col[1:] == col[:-1]) & (size[1:] - size[:-1] <= 1)
-    near[by_size[1:][meets]] = near[by_size[:-1][meets]] = True
-    alone = np.setdiff1d(p["id"][near & ~pair], p["id"][pair])
-    a, b = np.append(leader["id"][pair], alone), np.append(p["id"][pair], alone)
-    made = np.unique(np.stack([a, b], axis=1), axis=0)
-    return p[first], made[:, 0], made[:, 1]
-
-
-_STAR = "block long, packed binary, a long, b long"
-
-
-def _star_batch(blocks, packed, a, b) -> pa.RecordBatch:
-    none, k = len(packed), len(a)
+    heads, group = np.flatnonzero(first), np.cumsum(first) - 1
+    size = np.diff(np.append(heads, len(p)))[group]
+    many = size >= least
+    leader = p[heads[group]]
+    pair = many & ~first & (leader["id"] != p["id"])
+    need = 1 + np.minimum(leader["n"], p["n"]) // 16
+    close = pair & (4 * np.minimum(leader["n"], p["n"]) >= 3 * np.maximum(leader["n"], p["n"]))
+    meets.add(leader["id"][close], p["id"][close], need[close])
+    alone = many & (size > 1)
+    if least <= 2:  # a row of the next size class may link too
+        by_size = np.lexsort((p["n"], p["col"]))
+        col, cls = p["col"][by_size], _size_class(p["n"][by_size]).astype(np.int64)
+        near = (col[1:] == col[:-1]) & (cls[1:] - cls[:-1] <= 1)
+        alone[by_size[1:][near]] = alone[by_size[:-1][near]] = True
+    meets.add(p["id"][alone], p["id"][alone], 1 + p["n"][alone] // 16)
+    return p[first | ~many]
+
+
+_MET = "block long, packed binary, a long, b long, need long, n long"
+
+
+def _met_batch(blocks, packed, sums) -> pa.RecordBatch:
+    none, k = len(packed), len(sums[0])
     return pa.RecordBatch.from_arrays(
         [pa.array(np.concatenate([blocks, np.full(k, -1, dtype=np.int64)])), pa.array(packed + [None] * k, pa.binary())]
-        + [pa.array(np.concatenate([np.zeros(none, dtype=np.int64), x])) for x in (a, b)],
-        names=["block", "packed", "a", "b"],
+        + [pa.array(np.concatenate([np.zeros(none, dtype=np.int64), x])) for x in sums],
+        names=["block", "packed", "a", "b", "need", "n"],
     )
 
 
@@ -166,18 +186,19 @@ def _pack(p: np.ndarray, blocks: int):
     return found, [x.tobytes() for x in np.split(p, first[1:])] if len(found) else []
 
 
-def _star_pairs(reps: DataFrame, blocks: int) -> DataFrame:
-    """Distinct ``(a, b)``: each row with the first row of its columns."""
+def _star_meets(reps: DataFrame, blocks: int) -> DataFrame:
+    """``(a, b)`` that share at least ``l`` columns: central rows with others, and rows that meet enough others with themselves."""
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(held):
-            firsts, a, b = _stars(np.concatenate(held))
-            return _star_batch(*_pack(firsts, blocks), a, b)
+            meets = _Meets()
+            rest = _stars(np.concatenate(held), LOCAL_ROWS, meets)
+            return _met_batch(*_pack(rest, blocks), meets.sums())
 
         held, size = [], 0
         for batch in batches:
             for part in (batch.slice(i, 2000) for i in range(0, batch.num_rows, 2000)):
-                held.append(_postings(part.column(0), part.column(1), part.column(2).to_pylist()))
+                held.append(_postings(part.column(0), part.column(1), part.column(2), part.column(3).to_pylist()))
                 size += len(held[-1])
                 if size >= PACK_POSTINGS:
                     yield flush(held)
@@ -186,38 +207,37 @@ def _star_pairs(reps: DataFrame, blocks: int) -> DataFrame:
             yield flush(held)
 
     def block(t: pa.Table) -> pa.Table:
-        _, a, b = _stars(np.frombuffer(b"".join(t.column("packed").to_pylist()), dtype=_POSTING))
-        return pa.table({"a": pa.array(a), "b": pa.array(b)})
+        meets = _Meets()
+        _stars(np.frombuffer(b"".join(t.column("packed").to_pylist()), dtype=_POSTING), 2, meets)
+        return pa.table(dict(zip(("a", "b", "need", "n"), map(pa.array, meets.sums()), strict=True)))
 
-    met = stored(reps.select("rep", "n", "prefix").mapInArrow(local, _STAR), "stars")
-    across = met.where("block >= 0").select("block", "packed").groupBy("block").applyInArrow(block, "a long, b long")
-    return met.where("block < 0").select("a", "b").unionByName(across).distinct()
+    met = stored(reps.select("rep", "n", "score", "prefix").mapInArrow(local, _MET), "meets")
+    across = met.where("block >= 0").select("block", "packed").groupBy("block").applyInArrow(block, "a long, b long, need long, n long")
+    every = met.where("block < 0").select("a", "b", "need", "n").unionByName(across)
+    return every.groupBy("a", "b", "need").agg(F.sum("n").alias("n")).where("n >= need").select("a", "b")
 
 
 def _mixed_pairs(reps: DataFrame, component: DataFrame) -> DataFrame:
-    """Distinct ``(a, b)`` of rows that share a column, lie in different components, and pass the bounds."""
+    """Distinct ``(a, b)`` in different components that share ``l`` columns or more and may overlap enough."""
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in (batch.slice(i, 2000) for i in range(0, batch.num_rows, 2000)):
                 prefixes = part.column(3).to_pylist()
-                p = _postings(part.column(0), part.column(1), prefixes)
+                p = _postings(part.column(0), part.column(1), np.zeros(part.num_rows), prefixes)
                 comp = np.repeat(np.asarray(part.column(2)), [len(x) // 8 for x in prefixes])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(p["col"].view(np.int64)), pa.array(comp), pa.array(p["id"]), pa.array(p["n"]), pa.array(p["pos"])],
-                    names=["col", "comp", "id", "n", "pos"],
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(p["col"].view(np.int64)), pa.array(comp), pa.array(p["id"]), pa.array(p["n"])], names=["col", "comp", "id", "n"])
 
     held = reps.join(component, reps["rep"] == component["id"]).select("rep", "n", "component", "prefix")
-    posts = held.mapInArrow(post, "col long, comp long, id long, n int, pos int")
+    posts = stored(held, "held").mapInArrow(post, "col long, comp long, id long, n int")
     mixed = posts.groupBy("col").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("col")
     open_posts = stored(posts.join(broadcast_if_small(stored(mixed, "mixed")), "col", "left_semi"), "open")
     x, y = open_posts.alias("x"), open_posts.alias("y")
-    bounds = (
-        "x.col = y.col AND x.comp < y.comp AND 4 * least(x.n, y.n) >= 3 * greatest(x.n, y.n)"
-        " AND 7 * least(x.n - x.pos, y.n - y.pos) >= 3 * (x.n + y.n)"
-    )
-    return x.join(y, F.expr(bounds)).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    meet = x.join(y, F.expr("x.col = y.col AND x.comp < y.comp AND 4 * least(x.n, y.n) >= 3 * greatest(x.n, y.n)"))
+    pairs = meet.groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.n").alias("p"), F.col("y.n").alias("q")).agg(F.count("*").alias("c"))
+    # Beyond the prefixes a pair shares no more than the rest of the row whose prefix ends first.
+    rest = F.expr("greatest(ceil(0.75 * p) - 1 - p div 16, ceil(0.75 * q) - 1 - q div 16)")
+    return pairs.where((F.col("c") >= F.expr("1 + least(p, q) div 16")) & (7 * (F.col("c") + rest) >= F.expr("3 * (p + q)"))).select("a", "b")
 
 
 def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -252,9 +272,9 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     rows = stored(_rows(docs, "doc_id", "text", column_sketch(docs, "text")), "rows")
     known = rows.where("n > 0 AND doc_id IS NOT NULL")
-    reps = stored(known.groupBy("sig").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix")), "reps")
+    reps = stored(known.groupBy("sig").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("score").alias("score"), F.first("prefix").alias("prefix")), "reps")
     total = reps.agg(F.sum(F.length("prefix") / 8)).first()[0] or 0
-    star = stored(_star_pairs(reps, max(1, int(total) // BLOCK_POSTINGS)), "pairs")
+    star = stored(_star_meets(reps, max(1, int(total) // BLOCK_POSTINGS)), "pairs")
     needed = stored(star.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "needed")
     texts = stored(docs.join(broadcast_if_small(needed), docs["doc_id"] == needed["id"]).select("id", "text").distinct(), "texts")
     links = stored(_links(star.where("a <> b"), texts), "links")

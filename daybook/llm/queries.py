@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.llm import ngram_join
+from daybook.llm import chat, decontaminate, html_text, mixing, ngram_join, pii, quality, secrets, token_counts, toxicity
 from daybook.llm.tables import table
 
 
@@ -16,8 +16,50 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_classes(table(spark, sf_dir, "documents"))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.quality_rules(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_removed", "kept")
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lengths = token_counts.token_lengths(table(spark, sf_dir, "documents"))
+    return token_counts.suffix_sums(token_counts.length_histogram(lengths)).drop("key")
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
+def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_pii(table(spark, sf_dir, "documents"))
+
+
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_secrets(table(spark, sf_dir, "documents")).drop("redacted")
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
-    "op1_ngram_jaccard": op1_ngram_jaccard,
+    f.__name__: f
+    for f in (
+        op1_ngram_jaccard, op2_quality_rules, op3_token_counts, op4_toxicity, op5_mixing,
+        op6_chat_format, op7_html_text, op8_pii_surrogates, op9_secrets, op10_decontamination,
+    )
 }
 
 ORACLE_SQL = {}

@@ -73,10 +73,10 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True):
     begins[cuts] = solid[1:][cuts]
     ends[cuts] = solid[:-1][cuts]
     starts, stops = np.flatnonzero(begins), np.flatnonzero(ends)
-    return _hash_spans(data, starts, stops, lower), starts, stops, np.searchsorted(starts, offsets)
+    return hash_spans(data, starts, stops, lower), starts, stops, np.searchsorted(starts, offsets)
 
 
-def _hash_spans(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, lower: bool) -> np.ndarray:
+def hash_spans(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, lower: bool) -> np.ndarray:
     """Hash of the bytes of each span, eight bytes at a time."""
     padded = np.zeros(len(data) + 8, dtype=np.uint8)
     padded[: len(data)] = _LOWER[data] if lower else data
