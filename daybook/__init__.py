@@ -16,7 +16,6 @@ sinks      Writes: dated folders, partition-overwrite, catalog tables.
 operators  Inventory, completeness, table-format live partitions, date joins,
            gating, run log, evaluation.
 plans      Step declarations and the gated runner that executes them.
-streaming  (empty by design; see its docstring)
 """
 
 __version__ = "0.1.0"

@@ -3,7 +3,7 @@
 Spec text is ``name``, ``name:<n><unit letter>`` (``raw:5d``, ``x:12M``),
 ``name:<n>`` (days), ``name:*`` or ``name:`` (no window).  The name is
 everything before the **first** colon, so ``a:b:3d`` is dataset ``a`` without
-a window.  A window needs ``n > 0``; anything else means "no completeness
+a window (``params:<name>`` is no dataset at all; the runner passes the value).  A window needs ``n > 0``; anything else means "no completeness
 requirement, read everything".
 
 Tags are the text form ``<prefix>--<name>--<n>--<unit>`` or

@@ -41,8 +41,21 @@ def classification_metrics(df: DataFrame, label: str = "label", prediction: str
     )
 
 
-def train_logistic(df: DataFrame, features: str, label: str, *, seed: int = 42, max_iter: int = 1000, test_fraction: float = 0.2):
-    """M1: seeded split, multinomial logistic regression (L-BFGS), test predictions.
+def hash_split(key: str, seed: int, test_fraction: float):
+    """Is the row of this key in the test set?  Decided by md5 of ``seed:key`` alone, so it
+    is the same on any cluster and partitioning."""
+    part = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), 1, 8), 16, 10).cast("bigint")
+    return F.coalesce(part < F.lit(int(test_fraction * 2**32)), F.lit(False))
+
+
+def train_logistic(
+    df: DataFrame, features: str, label: str, key: str, *, seed: int = 42, max_iter: int = 1000, test_fraction: float = 0.2,
+    inverse_penalty: float = 1.0,
+):
+    """M1: seeded split by ``key``, multinomial logistic regression (L-BFGS), test predictions.
+
+    ``inverse_penalty`` weighs the data loss against half the squared weights
+    (an L2 penalty of 1 by default); MLlib takes it per training row.
 
     ``features`` may be an ``array<float|double>`` column; it is turned into
     an ML vector with ``array_to_vector`` (no Python per row).  Returns
@@ -52,22 +65,33 @@ def train_logistic(df: DataFrame, features: str, label: str, *, seed: int = 42,
     from pyspark.ml.functions import array_to_vector
 
     data = df.select("*", array_to_vector(F.col(features)).alias("_features"), F.col(label).cast("double").alias("_label"))
-    train, test = data.randomSplit([1.0 - test_fraction, test_fraction], seed=seed)
-    lr = LogisticRegression(featuresCol="_features", labelCol="_label", maxIter=max_iter, family="multinomial")
+    is_test = hash_split(key, seed, test_fraction)
+    train, test = data.where(~is_test), data.where(is_test)
+    rows = train.count()
+    lr = LogisticRegression(
+        featuresCol="_features", labelCol="_label", maxIter=max_iter, family="multinomial",
+        regParam=1.0 / (inverse_penalty * max(rows, 1)), elasticNetParam=0.0, standardization=False,
+    )
     model = lr.fit(train)
     pred = model.transform(test).withColumnRenamed("prediction", "_prediction")
     return model, pred
 
 
 def run_metrics(df: DataFrame, features: str, label: str, params: dict | None = None) -> DataFrame:
-    """M3: one row per recorded value ``(metric, value)``: feature count,
-    class count, row count, and numeric parameters of the run."""
+    """M3: one row per recorded value ``(metric, value, text)``: feature count,
+    class count, row count, and the parameters of the run; a parameter that
+    is no number has a null ``value`` and its ``text``."""
     stats = df.agg(
         F.max(F.size(features)).cast("double").alias("n_features"),
         F.countDistinct(label).cast("double").alias("n_classes"),
         F.count(F.lit(1)).cast("double").alias("n_rows"),
     )
-    cols = ["n_features", "n_classes", "n_rows"]
-    extra = [(k, float(v)) for k, v in (params or {}).items()]
-    stack = ", ".join([f"'{c}', {c}" for c in cols] + [f"'{k}', CAST({v!r} AS DOUBLE)" for k, v in extra])
-    return stats.selectExpr(f"stack({len(cols) + len(extra)}, {stack}) AS (metric, value)")
+
+    def row(name: str, value, text=None):
+        return F.struct(F.lit(name).alias("metric"), value.cast("double").alias("value"), F.lit(text).cast("string").alias("text"))
+
+    rows = [row(c, F.col(c)) for c in ("n_features", "n_classes", "n_rows")]
+    for k, v in (params or {}).items():
+        number = isinstance(v, (int, float)) and not isinstance(v, bool)
+        rows.append(row(k, F.lit(float(v)) if number else F.lit(None), None if number else str(v)))
+    return stats.select(F.inline(F.array(*rows)))

@@ -156,10 +156,11 @@ def gate_decision(specs: DataFrame, datasets: DataFrame, inventory: DataFrame, p
 
 def unsatisfied_inputs(specs: DataFrame, datasets: DataFrame) -> DataFrame:
     """Free inputs (never produced by any step) that are not in the datasets table."""
-    inputs = specs.where(F.col("direction") == "input").select("dataset")
-    produced = specs.where(F.col("direction") == "output").select("dataset")
+    # Distinct names first: a name that a third of the specs use is one row in both joins.
+    inputs = specs.where(F.col("direction") == "input").select("dataset").distinct()
+    produced = specs.where(F.col("direction") == "output").select("dataset").distinct()
     free = inputs.join(produced, "dataset", "left_anti")
-    return free.join(datasets.select("dataset"), "dataset", "left_anti").distinct()
+    return free.join(datasets.select("dataset").distinct(), "dataset", "left_anti")
 
 
 def inventory_for(
@@ -169,13 +170,15 @@ def inventory_for(
     processing_date=None,
     lenient: set[str] | frozenset[str] = frozenset(),
 ) -> DataFrame:
-    """``(dataset, d)`` for every dataset of the configuration table.
+    """``(dataset, d)`` for the datasets of the configuration table.
 
     The configuration tables are small (one row per declared dataset / step
     spec), so they are read on the driver to build one listing per dataset;
-    the listings run on Spark and are unioned into one plan.  With ``specs``
-    and ``processing_date`` each listing covers only the folders of that
-    dataset's windows (datasets used without a window are listed whole).
+    the listings are unioned into one plan.  With ``specs`` and
+    ``processing_date`` only what a gate looks at is listed: the folders of
+    the windows of outputs and of validated inputs.  A spec without a window
+    and an input that is not validated ask for nothing, so a dataset that
+    only they name is not touched at all.
 
     A listing that fails for a dataset in ``lenient`` (the runner passes the
     datasets used only as outputs) yields an empty inventory, so the output
@@ -187,18 +190,14 @@ def inventory_for(
     only: dict[str, list[str] | None] = {}
     if specs is not None and processing_date is not None:
         d = F.to_date(F.lit(str(processing_date)))
-        kinds = datasets.select("dataset", _shape(F.col("kind")).alias("shape"))
-        # Every listed dataset starts as "whole"; windowed specs narrow it.
-        used = specs.select("dataset", "n", "unit").distinct().join(kinds, "dataset")
-        parts = used.select(
-            "dataset",
-            F.when(F.col("n") > 0, glob_parts(d, F.col("n"), F.col("unit"), F.col("shape"))).alias("g"),
-        ).groupBy("dataset").agg(
-            F.max(F.col("g").isNull().cast("int")).alias("whole"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.coalesce("g", F.array().cast("array<string>")))))).alias("g"),
+        kinds = datasets.select("dataset", _shape(F.col("kind")).alias("shape"), F.coalesce("validate", F.lit(False)).alias("validate"))
+        asked = specs.where("n > 0").join(kinds, "dataset").where("direction = 'output' OR validate")
+        parts = asked.select("dataset", glob_parts(d, F.col("n"), F.col("unit"), F.col("shape")).alias("g")).groupBy("dataset").agg(
+            F.array_sort(F.array_distinct(F.flatten(F.collect_list("g")))).alias("g"),
         ).collect()  # one small job: one row per dataset of the configuration
-        for p in parts:
-            only[p["dataset"]] = None if p["whole"] else list(p["g"])
+        only = {p["dataset"]: list(p["g"]) for p in parts}
+        rows = [r for r in rows if r["dataset"] in only]
+
     def listing(r):
         try:
             inv = list_partitions(spark, r["location"], r["partition_column"], only.get(r["dataset"]))

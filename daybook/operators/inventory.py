@@ -4,11 +4,12 @@ An inventory is the set of dates for which a dataset really holds data, as a
 DataFrame ``(d date)``.  One operator serves every storage kind:
 
 * files (local, ``s3a://``, ``hdfs://`` … — the Hadoop file-system layer reads
-  them all): a ``binaryFile`` listing that selects only ``path`` (no file is
-  opened), the child folder name under the root, strict ``yyyy-MM-dd``
-  parsing, ``distinct``.  Spark lists large trees with a parallel listing job.
+  them all): one level of date folders is listed, for a window only the
+  folders that it can touch, and each is probed up to its first data file.
+  The work is bounded by folders (window dates), not by files or bytes.
   A partition counts as present when it holds a data file; empty folders and
-  ``_``/``.``-prefixed files are not data.
+  ``_``/``.``-prefixed files are not data.  Datasets with very many folders
+  belong in a catalog;
 * catalog tables: ``SHOW PARTITIONS`` — catalog metadata only.
 
 Completeness is ``expected LEFT ANTI inventory`` where *expected* is the
@@ -20,10 +21,9 @@ same number and is broadcast.
 
 from __future__ import annotations
 
+import datetime as _dt
 import re
-from urllib.parse import urlparse
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,27 +47,6 @@ def _strict_date(text):
     return F.when(text.rlike(_STRICT_DATE), F.try_to_date(text, "yyyy-MM-dd"))
 
 
-def _root_prefix(root: str) -> str:
-    """Regex matching ``root`` at the start of a listed (fully qualified) path.
-
-    A relative root is resolved by the file system (working directory,
-    home directory), so it is matched as the tail of the qualified prefix.
-    """
-    path = urlparse(root).path if "://" in root or root.startswith("file:") else root
-    path = path.rstrip("/")
-    scheme = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/]*)?"
-    if not path.startswith("/"):
-        return scheme + r"(?:/[^/]*)*?/" + re.escape(path)
-    return scheme + re.escape(path)
-
-
-def _date_folder_pattern(root: str, partition_column: str | None) -> str:
-    """Regex capturing the date of the first folder level below ``root``:
-    ``<col>=<yyyy-MM-dd>`` with a partition column, a bare date without one."""
-    prefix = f"{re.escape(partition_column)}=" if partition_column else ""
-    return _root_prefix(root) + "/" + prefix + r"([0-9]{4}-[0-9]{2}-[0-9]{2})/"
-
-
 def classify(location: str) -> str:
     """P7 for one location, evaluated with plain Python on the driver."""
     m = re.match(r"^([A-Za-z][A-Za-z0-9+.-]*):", location)
@@ -123,26 +102,48 @@ def list_file_partitions(
     lists the window's folders instead of the whole tree.
     """
     column = partition_column if partition_column and partition_column.lower() != "none" else None
-    path = root.rstrip("/")
-    if only is not None:
-        if not only:
-            return _empty_dates(spark)
-        prefix = f"{column}=" if column else ""
-        path = f"{path}/{prefix}{{{','.join(sorted(set(only)))}}}"
-    try:
-        listing = (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", "true")
-            .load(path)
-            .select("path")
-        )
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            return _empty_dates(spark)
-        raise
-    text = F.regexp_extract("path", _date_folder_pattern(root, column), 1)
-    d = F.try_to_date(F.nullif(text, F.lit("")), "yyyy-MM-dd")
-    return listing.select(d.alias("d")).where("d IS NOT NULL").distinct()
+    prefix = f"{column}=" if column else ""
+    if only is None:
+        names = [f"{prefix}*"]
+    else:
+        names = [f"{prefix}{x}" for x in sorted(set(only))]
+    found = sorted({d for n in names for d in _dated_folders(spark, root.rstrip("/"), n, prefix)})
+    return spark.createDataFrame([(d,) for d in found], "d date")
+
+
+def _dated_folders(spark: SparkSession, root: str, name: str, prefix: str) -> list[_dt.date]:
+    """Dates of the folders ``root/<name glob>`` that hold a data file.
+
+    One level of folders is listed, and each is probed for its first data
+    file; what reaches the driver is one date per folder (per window date
+    with an exact name), never a file list.
+    """
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    dates = []
+    for status in fs.globStatus(path) or []:
+        text = status.getPath().getName()[len(prefix):]
+        if not status.isDirectory() or not re.match(_STRICT_DATE, text):
+            continue
+        try:
+            d = _dt.date.fromisoformat(text)
+        except ValueError:
+            continue
+        if _has_data_file(fs, status.getPath()):
+            dates.append(d)
+    return dates
+
+
+def _has_data_file(fs, folder) -> bool:
+    """Is there a file below ``folder`` outside hidden (``_``/``.``) files and folders?"""
+    top = folder.toString()
+    files = fs.listFiles(folder, True)
+    while files.hasNext():
+        below = files.next().getPath().toString()[len(top):].strip("/")
+        if not any(x[:1] in ("_", ".") for x in below.split("/")):
+            return True
+    return False
 
 
 def list_table_partitions(spark: SparkSession, table: str, partition_column: str) -> DataFrame:

@@ -15,7 +15,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
@@ -50,20 +50,23 @@ def max_id(df: DataFrame, column: str) -> DataFrame:
 
 
 def run_report(step_log: DataFrame, run_id: str | None = None) -> DataFrame:
-    """``name, status, start_time, finish_time, detail`` of a run,
-    ordered by start time; missing values shown as empty text.
+    """``run_id, pos, name, status, start_time, finish_time, detail`` of a run,
+    ordered by start time (then name); missing values shown as empty text.
 
-    With ``run_id=None`` every run is reported, ordered by run then start time.
+    ``pos`` counts the steps of a run from 0; a run has as many rows as its
+    configuration has steps.  With ``run_id=None`` every run is reported.
     """
     df = step_log if run_id is None else step_log.where(F.col("run_id") == run_id)
+    nth = F.row_number().over(Window.partitionBy("run_id").orderBy("start_time", "name", "status", "detail")) - 1
     return df.select(
         "run_id",
+        nth.cast("bigint").alias("pos"),
         "name",
         "status",
         "start_time",
         F.coalesce("finish_time", F.lit("")).alias("finish_time"),
         F.coalesce("detail", F.lit("")).alias("detail"),
-    ).orderBy("run_id", "start_time")
+    ).orderBy("run_id", "pos")
 
 
 def as_text_array(df: DataFrame, column: str) -> Column:

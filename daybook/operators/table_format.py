@@ -98,16 +98,79 @@ def removed_files(entries: DataFrame, position_deletes: DataFrame | None = None,
     return removed.distinct()
 
 
-def read_position_deletes(spark: SparkSession, entries: DataFrame) -> DataFrame | None:
-    """Read the delete files that the entries list (Parquet position deletes).
+#: Paths that one file scan is given.
+SCAN_PATHS = 1000
 
-    The path list goes to the driver because a file scan takes its paths
-    from there; it is one path per delete file, not per row.
+
+def read_many(spark: SparkSession, paths: DataFrame, file_format: str, columns: list[str], batch: int = SCAN_PATHS) -> DataFrame | None:
+    """The files listed in ``paths(file_path)``, read ``batch`` at a time and stored; None for no paths.
+
+    A file scan takes its paths from the driver. They come partition by
+    partition, so the driver holds ``batch`` paths and one partition's worth
+    of rows, whatever the length of the list.
+    """
+    from daybook.session import scratch_path
+
+    out, held = None, []
+
+    def read() -> None:
+        nonlocal out
+        if out is None:
+            out = scratch_path(spark, "listed_files")
+        spark.read.format(file_format).load(held).select(*columns).write.mode("append").parquet(out)
+        held.clear()
+
+    for row in paths.select("file_path").toLocalIterator():
+        held.append(row["file_path"])
+        if len(held) == batch:
+            read()
+    if held:
+        read()
+    return None if out is None else spark.read.parquet(out)
+
+
+def read_position_deletes(spark: SparkSession, entries: DataFrame, file_format: str = "parquet", batch: int = SCAN_PATHS) -> DataFrame | None:
+    """The rows ``(file_path, pos)`` of the delete files that the entries list."""
+    return read_many(spark, delete_files(entries), file_format, ["file_path", "pos"], batch)
+
+
+def read_manifest_list(spark: SparkSession, path: str, file_format: str = "avro") -> DataFrame:
+    """``(file_path)`` of the manifests in a manifest list (Avro needs the ``spark-avro`` package)."""
+    return spark.read.format(file_format).load(path).select(F.col("manifest_path").alias("file_path"))
+
+
+def read_manifest_entries(spark: SparkSession, manifests: DataFrame, file_format: str = "avro", batch: int = SCAN_PATHS) -> DataFrame | None:
+    """The entries ``(status, data_file)`` of all manifests."""
+    return read_many(spark, manifests, file_format, ["status", "data_file"], batch)
+
+
+def live_partitions_of(
+    spark: SparkSession, metadata_log: DataFrame, partition_column: str, *,
+    manifest_format: str = "avro", delete_format: str = "parquet", base: str | None = None, mode: str = "first_row",
+) -> DataFrame:
+    """P5 from a table's metadata log to its live dates ``(partition_date)``.
+
+    Newest metadata file → JSON document → current snapshot → manifest list →
+    manifests → entries and delete files → live partitions. ``base`` is put
+    before paths without a scheme. A table without a snapshot has no dates.
     """
-    paths = [r["file_path"] for r in delete_files(entries).collect()]
-    if not paths:
-        return None
-    return spark.read.parquet(*paths)
+    empty = spark.createDataFrame([], "partition_date date")
+
+    def full(path: str) -> str:
+        return path if base is None or "://" in path or path.startswith("/") else f"{base.rstrip('/')}/{path}"
+
+    newest = latest_metadata_file(metadata_log).first()
+    if newest is None:
+        return empty
+    document = spark.read.option("multiLine", "true").json(full(newest["file"]))
+    snapshot = current_snapshot(document).first()
+    if snapshot is None:
+        return empty
+    manifests = read_manifest_list(spark, full(snapshot["manifest_list"]), manifest_format)
+    entries = read_manifest_entries(spark, manifests, manifest_format)
+    if entries is None:
+        return empty
+    return live_partitions(entries, partition_column, read_position_deletes(spark, entries, delete_format), mode)
 
 
 def live_files(

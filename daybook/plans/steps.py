@@ -27,7 +27,10 @@ class Dataset:
 
     ``kind``: ``folder`` (``root/<date>/``, period-end windows),
     ``partitioned`` (``root/<col>=<date>/``) or ``table`` (catalog table name).
-    ``validate`` turns the input completeness check on.
+    ``validate`` turns the input completeness check on.  Without a partition
+    column a ``partitioned`` or ``table`` dataset is read and written whole and
+    has no completeness to check.  ``schema`` and ``options`` go to the reader;
+    ``overwrite`` is ``dynamic`` (touched partitions) or ``static`` (the whole folder).
     """
 
     name: str
@@ -38,12 +41,20 @@ class Dataset:
     file_format: str = "parquet"
     save_mode: str = "overwrite"
     filters: str | tuple[str, ...] | None = None
+    schema: str | None = None
+    options: Mapping[str, str] | None = None
+    overwrite: str = "dynamic"
 
     def __post_init__(self):
         if self.kind not in KINDS:
             raise ValueError(f"dataset {self.name!r}: kind must be one of {KINDS}, not {self.kind!r}")
-        if self.kind != "folder" and not self.partition_column:
-            raise ValueError(f"dataset {self.name!r}: a {self.kind} dataset needs a partition column")
+        if self.overwrite not in ("dynamic", "static"):
+            raise ValueError(f"dataset {self.name!r}: overwrite must be 'dynamic' or 'static', not {self.overwrite!r}")
+
+    @property
+    def checked(self) -> bool:
+        """Can the gates ask which dates it holds?"""
+        return self.kind == "folder" or bool(self.partition_column)
 
 
 @dataclass
@@ -51,7 +62,8 @@ class Step:
     """One step (G3): ``func(*inputs) -> output(s)``.
 
     With a dict of inputs the keys are the function's argument names and the
-    values the specs (the argument-to-dataset mapping is kept).
+    values the specs (the argument-to-dataset mapping is kept).  An input
+    ``params:<name>`` is a value of the run's parameters, not a dataset.
     """
 
     name: str
@@ -78,11 +90,15 @@ class Step:
 SPECS_SCHEMA = "step string, seq int, direction string, arg string, pos int, spec string"
 
 
+PARAMS = "params:"
+
+
 def specs_rows(steps: Sequence[Step]) -> list[tuple]:
     rows = []
     for seq, s in enumerate(steps):
         for pos, (arg, spec) in enumerate(s.input_specs()):
-            rows.append((s.name, seq, "input", arg, pos, spec))
+            if not spec.startswith(PARAMS):
+                rows.append((s.name, seq, "input", arg, pos, spec))
         for pos, spec in enumerate(s.output_specs()):
             rows.append((s.name, seq, "output", None, pos, spec))
     return rows
@@ -101,6 +117,15 @@ def parse_specs(raw: DataFrame) -> DataFrame:
     )
 
 
+def resolve_specs(specs: DataFrame, datasets: DataFrame) -> DataFrame:
+    """Every spec row with its dataset's declaration (nulls where there is none).
+
+    The size of the datasets table is not proven here, so no hint is given:
+    adaptive execution picks the strategy from the measured size.
+    """
+    return specs.join(datasets, "dataset", "left")
+
+
 def specs_table(spark: SparkSession, steps: Sequence[Step]) -> DataFrame:
     return parse_specs(spark.createDataFrame(specs_rows(steps), SPECS_SCHEMA))
 
@@ -110,5 +135,5 @@ DATASETS_SCHEMA = "dataset string, kind string, location string, partition_colum
 
 def datasets_table(spark: SparkSession, datasets: Mapping[str, Dataset] | Sequence[Dataset]) -> DataFrame:
     items = datasets.values() if isinstance(datasets, Mapping) else datasets
-    rows = [(d.name, d.kind, d.location, d.partition_column, d.validate) for d in items]
+    rows = [(d.name, d.kind, d.location, d.partition_column, d.validate and d.checked) for d in items]
     return spark.createDataFrame(rows, DATASETS_SCHEMA)

@@ -9,26 +9,43 @@ and still reads it.
 from __future__ import annotations
 
 import datetime as _dt
-from concurrent.futures import ThreadPoolExecutor
+import functools
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.session import scratch_path
-from daybook.sinks.files import write_folder, write_partitioned
+from daybook.sinks.files import write_partitioned
 
 # Fixed parameters of the registered queries.
 EVENTS_DATE = _dt.date(2024, 1, 15)
 EVENTS_MONTH_END_DATE = _dt.date(2024, 1, 30)
 ORDERS_DATE = _dt.date(1996, 3, 15)
 ORDERS_YEAR_DATE = _dt.date(1998, 7, 1)
-FOLDER_MONTH = (_dt.date(1996, 3, 1), _dt.date(1996, 3, 31))
-FOLDER_EXTRA_DAYS = (_dt.date(1996, 1, 31), _dt.date(1996, 2, 29))
+FOLDER_END_DATE = _dt.date(2001, 9, 15)  # the orders end in August 2001: later month ends are gaps
 
 
 _SHARED: dict[tuple[str, str, str], str] = {}
 
+#: Seconds spent building inputs so far, for the bench (kept apart from query time).
+BUILD_SECONDS = [0.0]
 
+
+def input_time(build):
+    """Adds the time of an input builder to ``BUILD_SECONDS`` (nested builders count once)."""
+
+    @functools.wraps(build)
+    def timed(*args):
+        before, start = BUILD_SECONDS[0], time.perf_counter()
+        out = build(*args)
+        BUILD_SECONDS[0] = before + time.perf_counter() - start
+        return out
+
+    return timed
+
+
+@input_time
 def shared(spark: SparkSession, sf_dir: str, name: str, build) -> str:
     """Build a read-only derived dataset once per application and ``sf_dir``.
 
@@ -66,6 +83,7 @@ def partitioned_events(spark: SparkSession, sf_dir: str) -> str:
     return shared(spark, sf_dir, "events_by_day", _write_events)
 
 
+@input_time
 def new_partitioned_orders(spark: SparkSession, sf_dir: str) -> str:
     """All of ``orders`` written as ``root/o_date=<date>/``, a fresh copy per call."""
     root = scratch_path(spark, "orders_by_day")
@@ -78,37 +96,35 @@ def partitioned_orders(spark: SparkSession, sf_dir: str) -> str:
     return shared(spark, sf_dir, "orders_by_day", new_partitioned_orders)
 
 
-def folder_days() -> list[_dt.date]:
-    lo, hi = FOLDER_MONTH
-    days = [lo + _dt.timedelta(days=i) for i in range((hi - lo).days + 1)]
-    return list(FOLDER_EXTRA_DAYS) + days
-
-
 ORDER_FOLDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
 
 
-def folder_orders(spark: SparkSession, sf_dir: str) -> str:
-    """The read-only, shared dated-folder copy of ``orders`` (see :func:`_write_folder_orders`)."""
-    return shared(spark, sf_dir, "orders_folders", _write_folder_orders)
+def dated_folders(df: DataFrame, date_column: str, name: str) -> str:
+    """All of ``df`` in a dated-folder layout: ``root/<date>/``, no date column inside the files.
 
+    One partitioned write; its ``<column>=<date>`` folders then lose their
+    prefix, which leaves what one save per daily run leaves.
+    """
+    spark = df.sparkSession
+    root = scratch_path(spark, name)
+    write_partitioned(df, root, date_column)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.globStatus(path(f"{root}/{date_column}=*")):
+        folder = status.getPath()
+        fs.rename(folder, path(root, folder.getName().split("=", 1)[1]))
+    return root
 
-def _write_folder_orders(spark: SparkSession, sf_dir: str) -> str:
-    """``orders`` as daily runs would leave it in a dated-folder dataset:
-    one folder ``root/<date>/`` per processing day (all of March 1996 plus
-    the two earlier month ends), no date column inside the files.
 
-    Each folder is one K1 save, as in production (one save per daily run);
-    the saves are independent Spark jobs submitted from a small thread pool.
-    """
-    root = scratch_path(spark, "orders_folders")
-    orders = orders_with_date(spark, sf_dir)
+def folder_orders(spark: SparkSession, sf_dir: str) -> str:
+    """The read-only, shared dated-folder copy of all ``orders``."""
+    columns = [*ORDER_FOLDER_COLUMNS, "o_date"]
+    return shared(spark, sf_dir, "orders_folders", lambda s, d: dated_folders(orders_with_date(s, d).select(*columns), "o_date", "orders_folders"))
 
-    def save(day):
-        write_folder(orders.where(F.col("o_date") == F.lit(day)).select(*ORDER_FOLDER_COLUMNS), root, day)
 
-    with ThreadPoolExecutor(max_workers=8) as pool:
-        list(pool.map(save, folder_days()))
-    return root
+def folder_events(spark: SparkSession, sf_dir: str) -> str:
+    """The read-only, shared dated-folder copy of all ``events``."""
+    return shared(spark, sf_dir, "events_folders", lambda s, d: dated_folders(events_with_date(s, d), "processed_date", "events_folders"))
 
 
 def manifest_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,3 +186,31 @@ def metadata_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         (k * 10 + k % 3).alias("current-snapshot-id"),
         snaps.alias("snapshots"),
     )
+
+
+@input_time
+def table_format_files(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """A table's metadata as files, from :func:`manifest_entries` and :func:`position_deletes`.
+
+    Parquet manifests (all entries), two delete files listed by entries of
+    their own, a Parquet manifest list, and one JSON document per version, the
+    newest of which points at it.  Returns the metadata log and the folder.
+    """
+    from daybook.sources.files import read_parquet
+
+    root = scratch_path(spark, "table_format")
+    position_deletes(spark, sf_dir).repartition(2).write.parquet(f"{root}/deletes")
+    paths = spark.read.parquet(f"{root}/deletes").select(F.input_file_name().alias("file_path")).distinct()
+    data = manifest_entries(spark, sf_dir).where("data_file.content = 0")
+    listed = paths.select(
+        F.lit(1).alias("status"),
+        F.struct(F.lit(1).alias("content"), "file_path", F.struct(F.lit(None).cast("date").alias("processed_date")).alias("partition")).alias("data_file"),
+    )
+    data.unionByName(listed).write.parquet(f"{root}/manifests")
+    read_parquet(spark, f"{root}/manifests").select(F.input_file_name().alias("manifest_path")).distinct().write.parquet(f"{root}/list-2")
+    version = lambda current: F.lit(current).cast("long").alias("current-snapshot-id")
+    snapshots = F.array(*[F.struct(F.lit(i).cast("long").alias("snapshot-id"), F.lit(f"list-{i}").alias("manifest-list")) for i in (1, 2)]).alias("snapshots")
+    for n in (1, 2):
+        spark.range(1).select(version(n), snapshots).coalesce(1).write.json(f"{root}/v{n}.metadata.json")
+    log = spark.createDataFrame([("v1.metadata.json", "2024-01-01"), ("v2.metadata.json", "2024-01-02")], "file string, timestamp string")
+    return log, root

@@ -67,10 +67,6 @@ FROM x"""
 _EV = "SELECT *, CAST(ts AS DATE) AS processed_date FROM events"
 _OD = "SELECT *, CAST(o_orderdate AS DATE) AS o_date FROM orders"
 _FOLDER_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority"
-_FOLDER_DAYS = (
-    "(CAST(o_orderdate AS DATE) BETWEEN DATE '1996-03-01' AND DATE '1996-03-31' "
-    "OR CAST(o_orderdate AS DATE) IN (DATE '1996-01-31', DATE '1996-02-29'))"
-)
 _NEW = f"SELECT * FROM ({_OD}) WHERE o_orderstatus = 'P' AND year(o_orderdate) = 1996"
 _DYNAMIC = f"""WITH new AS ({_NEW}),
 touched AS (SELECT DISTINCT o_date FROM new)
@@ -85,12 +81,12 @@ SCANS = {
     "scan_static_filter_list": f"SELECT * FROM ({_EV}) WHERE event_type = 'click' AND value > 5",
     "scan_folder_window": f"SELECT {_FOLDER_COLS} FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1996-03-11' AND DATE '1996-03-15'",
     "scan_folder_month_ends": f"SELECT {_FOLDER_COLS} FROM orders WHERE CAST(o_orderdate AS DATE) IN (DATE '1996-03-31', DATE '1996-02-29', DATE '1996-01-31')",
-    "scan_folder_all": f"SELECT {_FOLDER_COLS} FROM orders WHERE {_FOLDER_DAYS}",
+    "scan_folder_all": f"SELECT {_FOLDER_COLS} FROM orders",
     "scan_explicit_schema": "SELECT p_partkey, p_name, p_size FROM part",
     "scan_csv": "SELECT n_nationkey, n_name, n_regionkey FROM nation",
     "scan_parquet_glob": "SELECT n_nationkey, n_name, n_regionkey FROM nation",
     "scan_catalog_window": f"SELECT * FROM ({_OD}) WHERE o_date BETWEEN DATE '1996-03-01' AND DATE '1996-03-31'",
-    "sink_append": f"SELECT * FROM ({_OD}) WHERE o_orderstatus IN ('F', 'O')",
+    "sink_append": _OD,
     "sink_overwrite_partitions": _DYNAMIC,
     "sink_overwrite_all": _NEW,
     "sink_table_overwrite_partitions": _DYNAMIC,
@@ -129,15 +125,15 @@ WHERE CAST(DATE '{lo}' + CAST(i AS INTEGER) AS DATE) NOT IN ({dates_sql})"""
 
 INVENTORY = {
     "inventory_hive": "SELECT DISTINCT CAST(ts AS DATE) AS d FROM events",
-    "inventory_folder": f"SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders WHERE {_FOLDER_DAYS}",
+    "inventory_folder": "SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders",
     "inventory_table": "SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders",
     "path_kind": _LOC,
     "completeness_events_day": _missing_contiguous("2024-01-11", "2024-01-15", "SELECT CAST(ts AS DATE) FROM events"),
     "completeness_events_month": _missing_contiguous("2024-01-01", "2024-01-31", "SELECT CAST(ts AS DATE) FROM events"),
     "completeness_orders_year": _missing_contiguous("1998-01-01", "1998-12-31", "SELECT CAST(o_orderdate AS DATE) FROM orders"),
-    "completeness_folder_month_ends": f"""WITH e(pos, d) AS (VALUES (0, DATE '1996-03-31'), (1, DATE '1996-02-29'), (2, DATE '1996-01-31'), (3, DATE '1995-12-31'))
+    "completeness_folder_month_ends": """WITH e(pos, d) AS (VALUES (0, DATE '2001-09-30'), (1, DATE '2001-08-31'), (2, DATE '2001-07-31'), (3, DATE '2001-06-30'))
 SELECT CAST(pos AS BIGINT) AS pos, d FROM e
-WHERE d NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders WHERE {_FOLDER_DAYS})""",
+WHERE d NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders)""",
 }
 
 # --- table-format live partitions ----------------------------------------------
@@ -159,6 +155,8 @@ ORDER BY ts DESC, file DESC LIMIT 1""",
 SELECT table_id, snapshot_id, 'ml-' || CAST(snapshot_id AS VARCHAR) || '.avro' AS manifest_list FROM s WHERE snapshot_id = cur""",
     "live_partitions": f"SELECT DISTINCT partition_date FROM ({_INSERTED}) WHERE file_path NOT IN ({_REMOVED})",
     "live_partitions_inserted": _INSERTED,
+    "live_partitions_table": f"SELECT DISTINCT partition_date FROM ({_INSERTED}) WHERE file_path NOT IN ({_REMOVED})",
+    "delete_file_paths": "SELECT DISTINCT 'f' || CAST(o_orderkey AS VARCHAR) AS file_path FROM orders WHERE o_orderkey % 10 = 0",
     "live_partitions_removed": _REMOVED,
 }
 
@@ -166,9 +164,8 @@ SELECT table_id, snapshot_id, 'ml-' || CAST(snapshot_id AS VARCHAR) || '.avro' A
 
 _JOIN_LEFT = """SELECT o_orderkey AS id, o_orderpriority AS name, CAST(o_orderdate AS DATE) AS processed_date FROM orders
 WHERE o_orderdate >= TIMESTAMP '1996-03-01' AND o_orderdate < TIMESTAMP '1996-04-01'"""
-_JOIN_MAP = """SELECT CAST(l_shipdate AS DATE) AS created_at FROM lineitem
-WHERE l_shipdate >= TIMESTAMP '1996-03-01' AND l_shipdate < TIMESTAMP '1996-04-01' AND l_quantity > 45"""
-_JOIN_THIRD = "SELECT DISTINCT CAST(o_orderdate AS DATE) AS processed_date FROM orders WHERE o_orderpriority = '1-URGENT'"
+_JOIN_MAP = "SELECT DISTINCT CAST(l_shipdate AS DATE) AS created_at, l_returnflag FROM lineitem"
+_JOIN_THIRD = "SELECT DISTINCT CAST(o_orderdate AS DATE) AS processed_date, o_orderpriority FROM orders"
 
 TRANSFORMS = {
     "join_primary": f"SELECT l.id, l.name, l.processed_date FROM ({_JOIN_LEFT}) l JOIN ({_JOIN_MAP}) m ON l.processed_date = m.created_at",
@@ -237,16 +234,19 @@ _GATE_SPECS = """specs(step, seq, direction, dataset, n, unit) AS (VALUES
   ('s6_mixed_outputs', 6, 'input', 'ev', 3, 'day'),
   ('s6_mixed_outputs', 6, 'output', 'ev', 5, 'day'),
   ('s6_mixed_outputs', 6, 'output', 'od', NULL, NULL),
-  ('s7_folder_done', 7, 'input', 'od', 1, 'day'),
-  ('s7_folder_done', 7, 'output', 'od', 2, 'month'))"""
+  ('s7_folder_none', 7, 'input', 'od', 1, 'day'),
+  ('s7_folder_none', 7, 'output', 'od', 2, 'month'),
+  ('s8_folder_done', 8, 'input', 'evf', 1, 'day'),
+  ('s8_folder_done', 8, 'output', 'evf', 3, 'day'))"""
 
 _GATE = f"""WITH {_GATE_SPECS},
 datasets(dataset, kind, validate) AS (VALUES
-  ('ev', 'partitioned', true), ('ev_unchecked', 'partitioned', false), ('od', 'folder', true), ('out_missing', 'partitioned', true)),
+  ('ev', 'partitioned', true), ('ev_unchecked', 'partitioned', false), ('od', 'folder', true), ('evf', 'folder', true), ('out_missing', 'partitioned', true)),
 inv AS (
   SELECT DISTINCT 'ev' AS dataset, CAST(ts AS DATE) AS d FROM events
   UNION SELECT DISTINCT 'ev_unchecked', CAST(ts AS DATE) FROM events
-  UNION SELECT DISTINCT 'od', CAST(o_orderdate AS DATE) FROM orders WHERE {_FOLDER_DAYS}),
+  UNION SELECT DISTINCT 'evf', CAST(ts AS DATE) FROM events
+  UNION SELECT DISTINCT 'od', CAST(o_orderdate AS DATE) FROM orders),
 w AS (SELECT s.*, ds.kind, ds.validate, DATE '2024-01-15' AS p FROM specs s LEFT JOIN datasets ds USING (dataset) WHERE s.n > 0),
 b AS (SELECT *,
     CASE unit WHEN 'day' THEN p - (n - 1)
@@ -301,7 +301,12 @@ SELECT gi.step, gi.seq,
   CASE WHEN len(gi.missing_inputs) > 0 THEN 'inputs' WHEN go.outputs_complete THEN 'outputs' END AS reason,
   gi.missing_inputs
 FROM gi JOIN go USING (step)""",
-    "gated_run": f"SELECT * FROM ({_EV}) WHERE processed_date BETWEEN DATE '2024-01-11' AND DATE '2024-01-15' AND event_type = 'click'",
+    # The month's window ends on a day without events, so its step is skipped and the stage holds five days.
+    "gated_run": f"""WITH e AS ({_EV}), w AS (SELECT * FROM e WHERE processed_date BETWEEN DATE '2024-01-11' AND DATE '2024-01-15'),
+m AS (SELECT count(DISTINCT processed_date) = 31 AS whole FROM e WHERE processed_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-31')
+SELECT 'stage' AS step, 0 AS seq, 'SUCCESS' AS status, CAST(NULL AS VARCHAR) AS reason, 'SUCCESS' AS logged, (SELECT count(*) FROM w) AS n_rows FROM m
+UNION ALL SELECT 'monthly', 1, CASE WHEN whole THEN 'SUCCESS' ELSE 'SKIP' END, CASE WHEN NOT whole THEN 'inputs' END, CASE WHEN whole THEN 'SUCCESS' ELSE 'SKIP' END, (SELECT count(*) FROM w) FROM m
+UNION ALL SELECT 'clicks', 2, 'SUCCESS', NULL, 'SUCCESS', (SELECT count(*) FROM w WHERE event_type = 'click') FROM m""",
 }
 
 # --- run log and evaluation ------------------------------------------------------------
@@ -315,12 +320,14 @@ RUNLOG = {
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1""",
     "runlog_max_id": "SELECT CAST(COALESCE(max(o_orderkey), 0) AS BIGINT) AS max_id FROM orders",
     "runlog_max_id_empty": "SELECT CAST(COALESCE(max(o_orderkey), 0) AS BIGINT) AS max_id FROM orders WHERE o_totalprice < 0",
-    "run_report": f"""SELECT CAST(user_id AS VARCHAR) AS run_id, event_type AS name,
+    "run_report": f"""SELECT run_id, CAST(row_number() OVER (PARTITION BY run_id ORDER BY start_time, name, status, detail) - 1 AS BIGINT) AS pos,
+  name, status, start_time, finish_time, detail FROM (
+SELECT CAST(user_id AS VARCHAR) AS run_id, event_type AS name,
   CASE WHEN event_type = 'error' THEN 'ERROR' WHEN value < 10 THEN 'SKIP' ELSE 'SUCCESS' END AS status,
   {_TS} AS start_time,
   COALESCE(CASE WHEN value >= 50 THEN {_TS} END, '') AS finish_time,
   COALESCE(CASE WHEN event_type <> 'view' THEN props END, '') AS detail
-FROM events""",
+FROM events)""",
     "runlog_arrays": """SELECT event_id,
   CASE WHEN event_type <> 'view' THEN [event_type] ELSE CAST([] AS VARCHAR[]) END AS inputs,
   CASE WHEN value > 20 THEN [event_type, props] ELSE CAST([] AS VARCHAR[]) END AS tags
@@ -337,11 +344,16 @@ SELECT round(sum(tp) / sum(support), 9) AS accuracy,
        round(sum(support * rec) / sum(support), 9) AS recall,
        round(sum(support * f1) / sum(support), 9) AS f1
 FROM f""",
-    "run_metrics_table": """SELECT 'n_features' AS metric, CAST(max(len(embedding)) AS DOUBLE) AS value FROM embeddings
-UNION ALL SELECT 'n_classes', CAST(count(DISTINCT label) AS DOUBLE) FROM embeddings
-UNION ALL SELECT 'n_rows', CAST(count(*) AS DOUBLE) FROM embeddings
-UNION ALL SELECT 'max_iter', CAST(1000 AS DOUBLE)
-UNION ALL SELECT 'seed', CAST(42 AS DOUBLE)""",
+    "run_metrics_table": """SELECT 'n_features' AS metric, CAST(max(len(embedding)) AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS text FROM embeddings
+UNION ALL SELECT 'n_classes', CAST(count(DISTINCT label) AS DOUBLE), NULL FROM embeddings
+UNION ALL SELECT 'n_rows', CAST(count(*) AS DOUBLE), NULL FROM embeddings
+UNION ALL SELECT 'max_iter', CAST(1000 AS DOUBLE), NULL
+UNION ALL SELECT 'seed', CAST(42 AS DOUBLE), NULL
+UNION ALL SELECT 'solver', NULL, 'l-bfgs'
+UNION ALL SELECT 'family', NULL, 'multi''nomial'""",
+    "test_split": "SELECT vec_id, label FROM embeddings WHERE CAST('0x' || substr(md5('42:' || CAST(vec_id AS VARCHAR)), 1, 8) AS BIGINT) < CAST(floor(0.2 * 4294967296) AS BIGINT)",
+    "window_checks": """WITH e AS (SELECT event_id, CAST(event_id % 7 - 2 AS INTEGER) AS n, (['day', 'month', 'quarter', 'year', 'week'])[event_id % 5 + 1] AS unit FROM events)
+SELECT *, n > 0 AND unit <> 'week' AS valid FROM e""",
 }
 
 ORACLE_SQL: dict[str, str] = {

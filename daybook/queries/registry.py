@@ -11,12 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.functions.calendar import contiguous_dates, is_valid_iso_date, period_end_dates
+from daybook.functions.calendar import contiguous_dates, is_valid_iso_date, period_end_dates, window_valid
 from daybook.functions.paths import location_kind, location_name
 from daybook.functions.specs import decode_tags, parse_spec
 from daybook.operators import evaluate, gating, inventory, joins, runlog, table_format
 from daybook.plans.runner import GatedRunner
-from daybook.plans.steps import Dataset, Step, datasets_table, parse_specs
+from daybook.plans.steps import Dataset, Step, datasets_table, parse_specs, resolve_specs
 from daybook.queries import fixtures as fx
 from daybook.session import scratch_path, scratch_table_name
 from daybook.sinks.catalog import save_table
@@ -130,7 +130,8 @@ def scan_folder_all(spark, sf_dir):
 
 
 def scan_explicit_schema(spark, sf_dir):
-    return spark.read.schema("p_partkey bigint, p_name string, p_size int").parquet(f"{sf_dir}/part.parquet")
+    schema = "p_partkey bigint, p_name string, p_size int"
+    return read_partitioned(spark, f"{sf_dir}/part.parquet", schema=schema)
 
 
 def scan_csv(spark, sf_dir):
@@ -145,6 +146,7 @@ def scan_parquet_glob(spark, sf_dir):
     return read_parquet(spark, f"{root}/n_regionkey=*", base_path=root)
 
 
+@fx.input_time
 def _new_orders_table(spark, sf_dir) -> str:
     """All of ``orders`` as a session-catalog table partitioned by day (fresh per call)."""
     name = scratch_table_name("orders")
@@ -167,7 +169,8 @@ def sink_append(spark, sf_dir):
     orders = fx.orders_with_date(spark, sf_dir)
     loc = scratch_path(spark, "orders_append")
     save_table(orders.where("o_orderstatus = 'F'"), name, mode="append", partition_by="o_date", location=loc)
-    save_table(orders.where("o_orderstatus = 'O'"), name, mode="append", partition_by="o_date")
+    for status in ("O", "P"):
+        save_table(orders.where(F.col("o_orderstatus") == status), name, mode="append", partition_by="o_date")
     return spark.read.table(name)
 
 
@@ -274,7 +277,7 @@ def completeness_orders_year(spark, sf_dir):
 
 def completeness_folder_month_ends(spark, sf_dir):
     root = fx.folder_orders(spark, sf_dir)
-    return inventory.missing_dates(spark, root, fx.ORDERS_DATE, 4, "month", shape="period_end")
+    return inventory.missing_dates(spark, root, fx.FOLDER_END_DATE, 4, "month", shape="period_end")
 
 
 # --- table-format live partitions (P5) ----------------------------------------
@@ -310,32 +313,27 @@ def _join_inputs(spark, sf_dir):
     left = orders.select(
         F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("name"), F.to_date("o_orderdate").alias("processed_date")
     )
-    lineitem = apply_window_or_filters(
-        fx.table(spark, sf_dir, "lineitem"), partition_column="l_shipdate", processing_date=fx.ORDERS_DATE, n=1, unit="month"
-    )
-    mapping = lineitem.where("l_quantity > 45").select(F.to_date("l_shipdate").alias("created_at"), "l_orderkey")
-    third = (
-        fx.table(spark, sf_dir, "orders")
-        .where("o_orderpriority = '1-URGENT'")
-        .select(F.to_date("o_orderdate").alias("processed_date"))
-        .distinct()
-    )
+    # A mapping has a bounded number of rows per date, so the result grows with the left rows:
+    # the return flags of the items shipped that day, and the priorities of the orders placed that day.
+    lineitem, all_orders = fx.table(spark, sf_dir, "lineitem"), fx.table(spark, sf_dir, "orders")
+    mapping = lineitem.select(F.to_date("l_shipdate").alias("created_at"), "l_returnflag").distinct()
+    third = all_orders.select(F.to_date("o_orderdate").alias("processed_date"), "o_orderpriority").distinct()
     return left, mapping, third
 
 
 def join_primary(spark, sf_dir):
     left, mapping, _ = _join_inputs(spark, sf_dir)
-    return joins.join_on_date(left, mapping, "processed_date", "created_at", keys_bound=31)
+    return joins.join_on_date(left, mapping, "processed_date", "created_at")
 
 
 def join_primary_keyed(spark, sf_dir):
     left, mapping, _ = _join_inputs(spark, sf_dir)
-    return joins.join_on_date(left, mapping.withColumnRenamed("created_at", "primary_date"), "processed_date", "primary_date", keys_bound=31)
+    return joins.join_on_date(left, mapping.withColumnRenamed("created_at", "primary_date"), "processed_date", "primary_date")
 
 
 def join_feature(spark, sf_dir):
     left, mapping, third = _join_inputs(spark, sf_dir)
-    return joins.join_on_two_dates(left, mapping.withColumnRenamed("created_at", "primary_date"), third, keys_bound=31)
+    return joins.join_on_two_dates(left, mapping.withColumnRenamed("created_at", "primary_date"), third)
 
 
 def passthrough_window(spark, sf_dir):
@@ -403,10 +401,7 @@ def _event_datasets(spark, sf_dir) -> DataFrame:
 
 def resolve_dataset(spark, sf_dir):
     specs = parse_io_spec(spark, sf_dir).select("event_id", F.col("name").alias("dataset"), "n", "unit")
-    # The datasets table comes from the data here (distinct event types), so
-    # its size is not proven: adaptive execution picks the strategy from the
-    # measured size instead of a hint.
-    return specs.join(_event_datasets(spark, sf_dir), "dataset", "left").select(
+    return resolve_specs(specs, _event_datasets(spark, sf_dir)).select(
         "event_id", "dataset", "kind", "location", "partition_column", "n", "unit"
     )
 
@@ -441,8 +436,10 @@ GATE_SPECS = [
     ("s6_mixed_outputs", 6, "input", "ev:3d"),
     ("s6_mixed_outputs", 6, "output", "ev:5d"),
     ("s6_mixed_outputs", 6, "output", "od"),
-    ("s7_folder_done", 7, "input", "od:1d"),
-    ("s7_folder_done", 7, "output", "od:2m"),
+    ("s7_folder_none", 7, "input", "od:1d"),
+    ("s7_folder_none", 7, "output", "od:2m"),
+    ("s8_folder_done", 8, "input", "evf:1d"),
+    ("s8_folder_done", 8, "output", "evf:3d"),
 ]
 
 
@@ -457,6 +454,7 @@ def _gate_tables(spark, sf_dir):
         Dataset("ev", "partitioned", ev, "processed_date", True),
         Dataset("ev_unchecked", "partitioned", ev, "processed_date", False),
         Dataset("od", "folder", od, None, True),
+        Dataset("evf", "folder", fx.folder_events(spark, sf_dir), None, True),
         Dataset("out_missing", "partitioned", missing_root, "processed_date", True),
     ]
     raw = spark.createDataFrame(
@@ -488,7 +486,10 @@ def _clicks(df: DataFrame) -> DataFrame:
 
 
 def gated_run(spark, sf_dir):
-    """G9 end to end: three steps over a partitioned copy of events, with a run log."""
+    """G9 end to end: three steps over a partitioned copy of events, with a run log.
+
+    One row per step: the outcome, and the rows its output then holds.
+    """
     ev = fx.partitioned_events(spark, sf_dir)
     stage = scratch_path(spark, "staged")
     clicks = scratch_path(spark, "clicks")
@@ -503,8 +504,13 @@ def gated_run(spark, sf_dir):
         Step("clicks", _clicks, "staged_events:5d", "click_events:5d"),
     ]
     log = runlog.RunLog(spark, scratch_path(spark, "runlog"))
-    GatedRunner(spark, dsets, log).run(steps, fx.EVENTS_DATE)
-    return spark.read.parquet(clicks)
+    outcome = GatedRunner(spark, dsets, log).run(steps, fx.EVENTS_DATE)
+    held = None
+    for step, root in (("stage", stage), ("monthly", stage), ("clicks", clicks)):
+        n = spark.read.parquet(root).agg(F.lit(step).alias("step"), F.count("*").alias("n_rows"))
+        held = n if held is None else held.unionByName(n)
+    logged = log.steps().select(F.col("name").alias("step"), F.col("status").alias("logged"))
+    return outcome.join(held, "step").join(logged, "step").select("step", "seq", "status", "reason", "logged", "n_rows")
 
 
 # --- run log (L1-L6) ----------------------------------------------------------
@@ -560,12 +566,37 @@ def classification_metrics(spark, sf_dir):
 
 
 def train_logistic(spark, sf_dir):
-    _, pred = evaluate.train_logistic(fx.table(spark, sf_dir, "embeddings"), "embedding", "label", max_iter=1000)
+    _, pred = evaluate.train_logistic(fx.table(spark, sf_dir, "embeddings"), "embedding", "label", "vec_id", max_iter=1000)
     return pred.select("vec_id", "label", F.col("_prediction").cast("int").alias("prediction"))
 
 
 def run_metrics_table(spark, sf_dir):
-    return evaluate.run_metrics(fx.table(spark, sf_dir, "embeddings"), "embedding", "label", {"max_iter": 1000, "seed": 42})
+    params = {"max_iter": 1000, "seed": 42, "solver": "l-bfgs", "family": "multi'nomial"}
+    return evaluate.run_metrics(fx.table(spark, sf_dir, "embeddings"), "embedding", "label", params)
+
+
+def test_split(spark, sf_dir):
+    """M1's split: the rows that the hash of the key puts into the test set."""
+    e = fx.table(spark, sf_dir, "embeddings")
+    return e.where(evaluate.hash_split("vec_id", 42, 0.2)).select("vec_id", "label")
+
+
+def window_checks(spark, sf_dir):
+    """C4 as a column: which ``(n, unit)`` derived from the events are valid windows."""
+    unit = F.element_at(F.array(*map(F.lit, ("day", "month", "quarter", "year", "week"))), (F.col("event_id") % 5 + 1).cast("int"))
+    e = fx.table(spark, sf_dir, "events").select("event_id", (F.col("event_id") % 7 - 2).cast("int").alias("n"), unit.alias("unit"))
+    return e.select("event_id", "n", "unit", window_valid(F.col("n"), F.col("unit")).alias("valid"))
+
+
+def live_partitions_table(spark, sf_dir):
+    """P5 end to end: from a table's metadata files to its live dates (S11-S13, P5a-P5g)."""
+    log, location = fx.table_format_files(spark, sf_dir)
+    return table_format.live_partitions_of(spark, log, "processed_date", manifest_format="parquet", base=location)
+
+
+def delete_file_paths(spark, sf_dir):
+    """P5d: the delete files that the manifest entries list."""
+    return table_format.delete_files(fx.manifest_entries(spark, sf_dir))
 
 
 QUERIES: dict[str, Query] = {
@@ -624,4 +655,8 @@ QUERIES: dict[str, Query] = {
     "classification_metrics": classification_metrics,
     "train_logistic": train_logistic,
     "run_metrics_table": run_metrics_table,
+    "test_split": test_split,
+    "window_checks": window_checks,
+    "live_partitions_table": live_partitions_table,
+    "delete_file_paths": delete_file_paths,
 }

@@ -17,6 +17,10 @@ def _dynamic_table(spark, name: str) -> bool:
     return re.search(r"(?:^|[\[ ,])partitionOverwriteMode=dynamic(?:$|[\],])", props, re.IGNORECASE) is not None
 
 
+def _literal(value) -> str:
+    return "NULL" if value is None else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def save_table(
     df: DataFrame,
     name: str,
@@ -84,8 +88,10 @@ def save_table(
     # A table created elsewhere follows the session setting, and insertInto
     # ignores a per-write partitionOverwriteMode (static would drop every
     # partition).  Write the touched partitions straight into the table's
-    # folder with a per-write dynamic overwrite, then register new folders.
+    # folder with a per-write dynamic overwrite, then register the touched
+    # ones (one statement per partition of the write, not a scan of the table).
     location = table_location(spark, name)
+    touched = df.select(*part_cols).distinct().collect()
     (
         ordered.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -93,6 +99,8 @@ def save_table(
         .partitionBy(*part_cols)
         .save(location)
     )
-    spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    for row in touched:
+        spec = ", ".join(f"{c} = {_literal(row[c])}" for c in part_cols)
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({spec})")
     spark.catalog.refreshTable(name)
     return mode

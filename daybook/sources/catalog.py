@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from daybook.sources.partitioned import apply_window_or_filters
@@ -61,10 +60,8 @@ def metadata_log(spark: SparkSession, table: str) -> DataFrame:
 
 
 def _table_detail(spark: SparkSession, name: str, key: str) -> str | None:
-    try:
-        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where(f"col_name = '{key}'").collect()
-    except AnalysisException:
-        return None
+    # A table that cannot be described raises: guessing its provider would pick the wrong write path.
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where(f"col_name = '{key}'").collect()
     return rows[0]["data_type"] if rows else None
 
 
@@ -82,9 +79,3 @@ def table_storage_properties(spark: SparkSession, name: str) -> str | None:
 def table_location(spark: SparkSession, name: str) -> str | None:
     """The table's storage folder from the catalog."""
     return _table_detail(spark, name, "Location")
-
-
-def table_partitions(spark: SparkSession, name: str) -> DataFrame:
-    """``SHOW PARTITIONS``: one ``partition`` text per partition, from catalog
-    metadata only (no file listing)."""
-    return spark.sql(f"SHOW PARTITIONS {name}")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -66,9 +67,11 @@ def read_partitioned(
     * ``filters`` → static SQL predicates, winning over the window (S5);
     * ``schema`` → explicit read schema, no inference (S6).
 
-    Only the partitions of the window are listed and read: the predicate on a
-    partition column is evaluated against the file index before any task
-    starts.
+    With a window only the folders it can touch are listed: the paths are the
+    window's folder globs below ``root``, and the predicate then keeps the
+    exact dates.  Where no such folder exists (an empty window, or a data
+    column instead of a partition column) the whole root is loaded and the
+    predicate alone decides, so the result is the same.
     """
     if n is not None:
         validate_window(processing_date, n, unit)
@@ -77,7 +80,19 @@ def read_partitioned(
         reader = reader.schema(schema)
     if options:
         reader = reader.options(**options)
-    df = reader.load(root)
+    df = None
+    if n is not None and partition_column and not filters:
+        from daybook.operators.inventory import window_glob_parts
+
+        parts = window_glob_parts(spark, processing_date, n, unit)
+        base = root.rstrip("/")
+        try:
+            df = reader.option("basePath", base).load(f"{base}/{partition_column}={{{','.join(parts)}}}")
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
+                raise
+    if df is None:
+        df = reader.load(root)
     return apply_window_or_filters(
         df,
         partition_column=partition_column,

@@ -110,7 +110,60 @@ def test_dataset_declaration_checks():
     with pytest.raises(ValueError):
         Dataset("x", "weird", "/tmp/x")
     with pytest.raises(ValueError):
-        Dataset("x", "partitioned", "/tmp/x")
+        Dataset("x", "partitioned", "/tmp/x", overwrite="some")
+    assert not Dataset("x", "partitioned", "/tmp/x").checked and Dataset("x", "folder", "/tmp/x").checked
+
+
+def test_unpartitioned_dataset_schema_and_parameters(spark, scratch):
+    src, out, static = scratch("src"), scratch("out"), scratch("static")
+    spark.createDataFrame([(1, "a"), (2, "b")], "id int, name string").write.option("header", "true").csv(src)
+    dsets = [
+        Dataset("dim", "partitioned", src, file_format="csv", schema="id bigint, name string", options={"header": "true"}),
+        Dataset("out", "partitioned", out),
+        Dataset("by_name", "partitioned", static, "name", overwrite="static", validate=False),
+    ]
+
+    def keep(df, least):
+        return df.where(F.col("id") >= least)
+
+    steps = [
+        Step("filter", keep, {"df": "dim:5d", "least": "params:least"}, "out:5d"),
+        Step("split", lambda df: df, "out", "by_name"),
+    ]
+    with pytest.raises(ValueError, match="not given"):
+        GatedRunner(spark, dsets).run(steps, "2024-01-15")
+    for least, names in ((1, ["a", "b"]), (2, ["b"])):
+        done = GatedRunner(spark, dsets, params={"least": least}).run(steps, "2024-01-15").collect()
+        assert [r["status"] for r in done] == ["SUCCESS", "SUCCESS"]
+        assert sorted(r["name"] for r in spark.read.parquet(static).collect()) == names
+    assert dict(spark.read.parquet(out).dtypes) == {"id": "bigint", "name": "string"}
+
+
+def test_undeclared_products_stop_the_run_before_it_starts(spark, scratch, events_root):
+    dsets = [Dataset("raw", "partitioned", events_root, "processed_date")]
+    with pytest.raises(ValueError, match="tmp"):
+        GatedRunner(spark, dsets).run([Step("a", lambda df: df, "raw:1d", "tmp:1d"), Step("b", lambda df: df, "tmp:1d", "raw:1d")], "2024-01-15")
+
+
+def test_unvalidated_inputs_are_not_listed(spark, events_root):
+    from daybook.operators.gating import inventory_for
+    from daybook.plans.steps import datasets_table, specs_table
+
+    dsets = [Dataset("raw", "partitioned", events_root, "processed_date"), Dataset("far", "partitioned", "ftp://nowhere/x", "d", validate=False)]
+    steps = [Step("a", None, ["raw:2d", "far:3d"], "raw"), Step("b", None, ["far", "raw"], None)]
+    inv = inventory_for(spark, datasets_table(spark, dsets), specs_table(spark, steps), "2024-01-15")
+    assert sorted(str(r["d"]) for r in inv.collect()) == ["2024-01-14", "2024-01-15"]
+
+
+def test_failing_gate_closes_the_log(spark, scratch):
+    from daybook.operators.runlog import RunLog
+
+    log = RunLog(spark, scratch("log"))
+    dsets = [Dataset("far", "partitioned", "ftp://nowhere/x", "d")]
+    with pytest.raises(Exception):
+        GatedRunner(spark, dsets, log).run([Step("a", lambda df: None, "far:1d", None)], "2024-01-15")
+    assert [r["status"] for r in log.runs().collect()] == ["ERROR"]
+    assert [r["status"] for r in log.steps().collect()] == ["ERROR"]
 
 
 def test_runner_without_log_and_dry_run(spark, scratch, events_root):

@@ -76,7 +76,5 @@ def test_relative_root(spark, scratch):
     root = scratch("rel")
     _touch_parquet(spark, f"{root}/d=2025-01-01")
     rel = os.path.relpath(root.replace("file:", "").rstrip("/"), os.getcwd())
-    if rel.startswith(".."):
-        pytest.skip("scratch folder is not below the working directory")
     got = [str(r["d"]) for r in list_partitions(spark, rel, "d").collect()]
     assert got == ["2025-01-01"]

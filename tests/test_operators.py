@@ -3,6 +3,8 @@
 import datetime as dt
 import random
 
+from pyspark.sql import functions as F
+
 
 from daybook.operators import evaluate, joins, runlog, table_format
 
@@ -58,10 +60,22 @@ def test_join_keep_left_equals_plain_join(spark):
     ours = joins.join_on_date(left, right, "processed_date", "created_at")
     assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, plain.collect()))
     plain3 = plain.join(third, "processed_date").select("id", "name", "processed_date")
-    ours3 = joins.join_on_two_dates(left, right.withColumnRenamed("created_at", "primary_date"), third, keys_bound=10)
+    ours3 = joins.join_on_two_dates(left, right.withColumnRenamed("created_at", "primary_date"), third, mapping_bound=10)
     assert sorted(map(tuple, ours3.select("id", "name", "processed_date").collect())) == sorted(map(tuple, plain3.collect()))
-    plan = ours3._jdf.queryExecution().executedPlan().toString()
-    assert "Broadcast" in plan
+    hints = ours3._jdf.queryExecution().analyzed().toString().count("ResolvedHint (strategy=broadcast)")
+    assert hints == 1  # the side with a stated bound, not the other one
+
+
+def test_join_counts_above_the_chunk(spark):
+    left = spark.createDataFrame([(1, dt.date(2025, 1, 1)), (2, dt.date(2025, 1, 2)), (3, None)], "id int, processed_date date")
+    right = spark.range(25).select(F.when(F.col("id") < 24, F.lit("2025-01-01")).otherwise(F.lit("2025-01-02")).cast("date").alias("created_at"))
+    for chunk in (1, 5, 24, 25):
+        ours = joins.join_on_date(left, right, "processed_date", "created_at", chunk=chunk)
+        assert {r["id"]: r["count"] for r in ours.groupBy("id").count().collect()} == {1: 24, 2: 1}
+    spread = joins.join_on_date(left, right, "processed_date", "created_at", chunk=5, spread=True)
+    assert spread.count() == 25
+    counts = spread._jdf.queryExecution().optimizedPlan().toString()
+    assert "least(5," in counts and "REBALANCE" in counts.upper()
 
 
 def test_latest_per_key_and_report(spark):
@@ -122,7 +136,7 @@ def test_metrics_match_definitions(spark):
 
 def test_train_logistic_runs(spark):
     emb = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
-    model, pred = evaluate.train_logistic(emb, "embedding", "label", max_iter=20)
+    model, pred = evaluate.train_logistic(emb, "embedding", "label", "vec_id", max_iter=20)
     assert pred.count() > 0
     metrics = evaluate.run_metrics(emb, "embedding", "label", {"max_iter": 20}).collect()
     assert {r["metric"] for r in metrics} == {"n_features", "n_classes", "n_rows", "max_iter"}

@@ -1,41 +1,36 @@
-"""Property tests: the spec grammar against a plain-Python restatement of the
-reference behaviour (split on the first colon → tag text → tag decoding)."""
+"""Property test of the spec grammar: texts are rendered from known values and must parse back to them."""
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from daybook.functions.specs import parse_spec
 
-UNITS = {"d": "day", "m": "month", "q": "quarter", "y": "year"}
-
-
-def reference_window(spec: str):
-    if ":" not in spec:
-        return (spec, None, None)
-    name, w = spec.split(":", 1)
-    if len(w) > 1 and w[:-1].isdigit() and w[-1].lower() in UNITS:
-        tag = f"input--{name}--{w[:-1]}--{UNITS[w[-1].lower()]}"
-    else:
-        tag = f"input--{name}--{'0' if (w == '*' or not w) else w}"
-    parts = tag.split("--")
-    try:
-        if len(parts) == 4:
-            n, unit = int(parts[2]), parts[3]
-        elif len(parts) == 3:
-            n, unit = int(parts[2]), "day"
-        else:
-            return (name, None, None)
-    except ValueError:
-        return (name, None, None)
-    return (name, n, unit) if n > 0 else (name, None, None)
-
-
-spec_text = st.text(alphabet="ab019dmqyMQY:* +", max_size=8)
-
-
-@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(spec_text, min_size=1, max_size=40))
-def test_parse_spec_matches_reference_grammar(spark, specs):
-    df = spark.createDataFrame([(s,) for s in specs], "s string")
-    got = [(r["p"]["name"], r["p"]["n"], r["p"]["unit"]) for r in df.select(parse_spec("s").alias("p")).collect()]
-    assert got == [reference_window(s) for s in specs]
+LETTERS = {"day": "dD", "month": "mM", "quarter": "qQ", "year": "yY"}
+
+names = st.text(alphabet="abcxyz_019", min_size=1, max_size=6)
+windows = st.tuples(names, st.integers(1, 99_999), st.sampled_from(sorted(LETTERS)), st.integers(0, 1))
+plain_days = st.tuples(names, st.integers(1, 99_999), st.sampled_from(["{}", " {}", "{} ", "+{}", "0{}"]))
+no_windows = st.tuples(names, st.sampled_from(["", ":", ":*", ":0", ":0d", ":00m"]))
+
+
+def parsed(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "s string").select(parse_spec("s").alias("p"))
+    return [(r["p"]["name"], r["p"]["n"], r["p"]["unit"]) for r in df.collect()]
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(windows, min_size=1, max_size=20), st.lists(plain_days, min_size=1, max_size=20), st.lists(no_windows, min_size=1, max_size=20))
+def test_rendered_specs_parse_back(spark, with_unit, with_days, without):
+    texts = [f"{name}:{n}{LETTERS[unit][upper]}" for name, n, unit, upper in with_unit]
+    texts += [f"{name}:" + form.format(n) for name, n, form in with_days]
+    texts += [name + rest for name, rest in without]
+    expected = [(name, n, unit) for name, n, unit, _ in with_unit]
+    expected += [(name, n, "day") for name, n, _ in with_days]
+    expected += [(name, None, None) for name, _ in without]
+    assert parsed(spark, texts) == expected
+
+
+@pytest.mark.parametrize("text", ["x:d", "x:-3d", "x:3w", "x:3 d", "x:d3", "x:3dd", "x:b:3d", "x:1.5d", "x:**", "x:99999999999d"])
+def test_malformed_windows_are_no_windows(spark, text):
+    assert parsed(spark, [text]) == [("x", None, None)]

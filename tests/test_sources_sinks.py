@@ -121,3 +121,14 @@ def test_existence_check_only_not_found_is_absent(spark):
     assert table_exists(spark, scratch_table_name("nothing_here")) is False
     with pytest.raises(Exception):
         table_exists(spark, "bad..name")      # a malformed name is an error, not "absent"
+
+
+def test_window_scan_lists_only_its_folders(spark, scratch):
+    root = scratch("thirty")
+    days = spark.range(30).select(F.expr("date_add(date'2024-01-01', cast(id as int))").alias("d"), "id")
+    days.write.partitionBy("d").parquet(root)
+    five = read_partitioned(spark, root, partition_column="d", processing_date="2024-01-15", n=5)
+    assert len(five.inputFiles()) == 5 and dict(five.dtypes)["d"] == "date" and five.count() == 5
+    assert len(five._jdf.queryExecution().analyzed().collectLeaves().head().relation().location().inputFiles()) == 5
+    assert read_partitioned(spark, root, partition_column="d", processing_date="2030-01-15", n=5).count() == 0
+    assert read_partitioned(spark, root, partition_column="d", processing_date="2024-01-30", n=1, unit="month").count() == 30
