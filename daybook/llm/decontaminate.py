@@ -51,7 +51,7 @@ def plain_words(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]
 def seed_hashes(h: np.ndarray, mask: str, k: int) -> np.ndarray:
     """Hash of the kept words of the ``k``-th mask at every start (runs over the end are garbage)."""
     total = np.full(len(h), (k + 1) * 0x1000193, dtype=np.uint64)
-    for j, kept in enumerate(mask):
+    for j, kept in enumerate(mask[: len(h)]):
         if kept == "1":
             total[: len(h) - j] += h[j:] * np.uint64(2 * (j * 0x9E3779B97F4A7C15 % (1 << 62)) + 1)
     return mix64(total)

@@ -38,7 +38,7 @@ from daybook.llm.words import column_shingles, mix64, text_slices, window_hashes
 #: Counters of the frequency sketch: 4 MB, whatever the input.
 SKETCH_BITS = 20
 _SKETCH_BLOCKS = 64
-#: Postings (28 bytes each) that one block of columns should hold.
+#: Postings (some 10 bytes each, compressed) that one block of columns should hold.
 BLOCK_POSTINGS = 50_000
 #: Rows of a column above which a map task sends on the most central one alone.
 LOCAL_ROWS = 64
@@ -98,27 +98,50 @@ def _rows(docs: DataFrame, id_col: str, text: str, sketch: np.ndarray) -> DataFr
             for s in column_shingles(batch.column(1)):
                 seen = counts.value[s >> np.uint64(64 - SKETCH_BITS)]
                 order = np.argsort(seen, kind="stable")
-                scores.append(float(seen.mean()) if len(s) else 0.0)
+                scores.append(float(np.log2(1 + seen.mean())) if len(s) else 0.0)
                 sizes.append(len(s))
                 sigs.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
-                prefixes.append(s[order[: prefix_length(len(s))]].tobytes())
+                first = s[order[: prefix_length(len(s))]]
+                prefixes.append(first.view(np.uint8).reshape(-1, 8)[:, :6].tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(sigs, pa.binary()), pa.array(scores, pa.float32()), pa.array(prefixes, pa.binary())],
-                names=["doc_id", "n", "sig", "score", "prefix"],
+                [batch.column(0).cast(pa.int64()), batch.column(2), pa.array(sizes, pa.int64()), pa.array(sigs, pa.binary()), pa.array(scores, pa.float32()), pa.array(prefixes, pa.binary())],
+                names=["doc_id", "digest", "n", "sig", "score", "prefix"],
             )
 
-    return docs.select(id_col, text).mapInArrow(row, "doc_id long, n long, sig binary, score float, prefix binary")
+    digest = F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("digest")
+    return docs.select(id_col, text, digest).mapInArrow(row, "doc_id long, digest long, n long, sig binary, score float, prefix binary")
 
 
-_POSTING = np.dtype([("col", "<u8"), ("id", "<i8"), ("n", "<i4"), ("score", "<f4")])
+#: Columns travel as 48-bit numbers. Two columns that fall together can only add
+#: meetings, never hide one, and every pair is compared over whole 64-bit sets in the end.
+COLUMN_BITS = 48
+_POSTING = np.dtype([("col", "<u8"), ("id", "<i8"), ("n", "<i4"), ("score", "<f2"), ("comp", "<i8")])
 
 
-def _postings(ids, sizes, scores, prefixes) -> np.ndarray:
-    lengths = np.array([len(p) // 8 for p in prefixes], dtype=np.int64)
-    out = np.empty(int(lengths.sum()), dtype=_POSTING)
-    out["col"] = np.frombuffer(b"".join(prefixes), dtype=np.uint64)
-    for name, values in (("id", ids), ("n", sizes), ("score", scores)):
-        out[name] = np.repeat(np.asarray(values), lengths)
+def _planes(rows: np.ndarray) -> bytes:
+    """Records as byte planes: the planes that are all zero vanish when they are compressed."""
+    return rows.view(np.uint8).reshape(len(rows), -1).T.tobytes()
+
+
+def _records(planes: bytes, dtype) -> np.ndarray:
+    size = np.dtype(dtype).itemsize
+    return np.frombuffer(planes, dtype=np.uint8).reshape(size, -1).T.copy().view(dtype).reshape(-1)
+
+
+def _columns(prefixes: list[bytes]) -> np.ndarray:
+    """The column numbers of packed prefixes, one after the other."""
+    out = np.zeros((sum(map(len, prefixes)) // 6, 8), dtype=np.uint8)
+    out[:, :6] = np.frombuffer(b"".join(prefixes), dtype=np.uint8).reshape(-1, 6)
+    return out.view("<u8").reshape(-1)
+
+
+def _postings(ids, sizes, prefixes, scores=0, comps=0) -> np.ndarray:
+    lengths = np.array([len(p) // 6 for p in prefixes], dtype=np.int64)
+    out = np.zeros(int(lengths.sum()), dtype=_POSTING)
+    out["col"] = _columns(prefixes)
+    for name, values in (("id", ids), ("n", sizes), ("score", scores), ("comp", comps)):
+        if not isinstance(values, int):
+            out[name] = np.repeat(np.asarray(values), lengths)
     return out
 
 
@@ -135,10 +158,12 @@ class _Meets:
     def add(self, a, b, need):
         self.parts.append(np.stack([a, b, need], axis=1).astype(np.int64))
 
-    def sums(self) -> list[np.ndarray]:
+    def sums(self) -> np.ndarray:
         rows = np.concatenate(self.parts) if self.parts else np.zeros((0, 3), dtype=np.int64)
         rows, count = np.unique(rows, axis=0, return_counts=True)
-        return [rows[:, 0], rows[:, 1], rows[:, 2], count.astype(np.int64)]
+        out = np.zeros(len(rows), dtype=_MEETING)
+        out["a"], out["b"], out["need"], out["n"] = rows[:, 0], rows[:, 1], rows[:, 2], count
+        return out
 
 
 def _stars(p: np.ndarray, least: int, meets: _Meets) -> np.ndarray:
@@ -166,75 +191,129 @@ def _stars(p: np.ndarray, least: int, meets: _Meets) -> np.ndarray:
     return p[first | ~many]
 
 
-_MET = "block long, packed binary, a long, b long, need long, n long"
+_MEETING = np.dtype([("a", "<i8"), ("b", "<i8"), ("need", "<i4"), ("n", "<i4")])
+
+
+def _pack(p: np.ndarray, blocks: int) -> dict[int, bytes]:
+    at = (mix64(p["col"]) % np.uint64(blocks)).astype(np.int64)
+    order = np.lexsort((p["id"], at))
+    at, p = at[order], p[order]
+    found, first = np.unique(at, return_index=True)
+    return dict(zip(found.tolist(), map(_planes, np.split(p, first[1:])), strict=True)) if len(found) else {}
+
+
+_PACKED = "block long, packed binary, meets binary"
+_SUMS = "a long, b long, need int, n long"
+
 
+def _sum_table(rows: np.ndarray) -> pa.Table:
+    return pa.table({"a": pa.array(rows["a"]), "b": pa.array(rows["b"]), "need": pa.array(rows["need"]), "n": pa.array(rows["n"].astype(np.int64))})
 
-def _met_batch(blocks, packed, sums) -> pa.RecordBatch:
-    none, k = len(packed), len(sums[0])
+
+def _batched(batches: Iterator[pa.RecordBatch], postings) -> Iterator[np.ndarray]:
+    """Postings of the rows of ``batches``, about ``PACK_POSTINGS`` at a time."""
+    held, size = [], 0
+    for batch in batches:
+        for part in (batch.slice(i, 2000) for i in range(0, batch.num_rows, 2000)):
+            held.append(postings(part))
+            size += len(held[-1])
+            if size >= PACK_POSTINGS:
+                yield np.concatenate(held)
+                held, size = [], 0
+    if size:
+        yield np.concatenate(held)
+
+
+def _packed_batch(packed: dict[int, bytes], meets: np.ndarray | None = None) -> pa.RecordBatch:
+    """Blocks to exchange; the meetings found so far travel with the first of them."""
+    blocks = list(packed) or [0]
+    along = [_planes(meets)] if meets is not None and len(meets) else [None]
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate([blocks, np.full(k, -1, dtype=np.int64)])), pa.array(packed + [None] * k, pa.binary())]
-        + [pa.array(np.concatenate([np.zeros(none, dtype=np.int64), x])) for x in sums],
-        names=["block", "packed", "a", "b", "need", "n"],
+        [pa.array(blocks, pa.int64()), pa.array(list(packed.values()) or [None], pa.binary()), pa.array(along + [None] * (len(blocks) - 1), pa.binary())],
+        names=["block", "packed", "meets"],
     )
 
 
-def _pack(p: np.ndarray, blocks: int):
-    at = (mix64(p["col"]) % np.uint64(blocks)).astype(np.int64)
-    order = np.argsort(at, kind="stable")
-    at, p = at[order], p[order]
-    found, first = np.unique(at, return_index=True)
-    return found, [x.tobytes() for x in np.split(p, first[1:])] if len(found) else []
+def _unpacked(t: pa.Table, column: str, dtype) -> np.ndarray:
+    parts = [_records(x, dtype) for x in t.column(column).to_pylist() if x is not None]
+    return np.concatenate(parts) if parts else np.zeros(0, dtype=dtype)
 
 
 def _star_meets(reps: DataFrame, blocks: int) -> DataFrame:
     """``(a, b)`` that share at least ``l`` columns: central rows with others, and rows that meet enough others with themselves."""
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush(held):
+        for p in _batched(batches, lambda part: _postings(part.column(0), part.column(1), part.column(3).to_pylist(), scores=part.column(2))):
             meets = _Meets()
-            rest = _stars(np.concatenate(held), LOCAL_ROWS, meets)
-            return _met_batch(*_pack(rest, blocks), meets.sums())
-
-        held, size = [], 0
-        for batch in batches:
-            for part in (batch.slice(i, 2000) for i in range(0, batch.num_rows, 2000)):
-                held.append(_postings(part.column(0), part.column(1), part.column(2), part.column(3).to_pylist()))
-                size += len(held[-1])
-                if size >= PACK_POSTINGS:
-                    yield flush(held)
-                    held, size = [], 0
-        if held:
-            yield flush(held)
+            rest = _stars(p, LOCAL_ROWS, meets)
+            yield _packed_batch(_pack(rest, blocks), meets.sums())
 
     def block(t: pa.Table) -> pa.Table:
         meets = _Meets()
-        _stars(np.frombuffer(b"".join(t.column("packed").to_pylist()), dtype=_POSTING), 2, meets)
-        return pa.table(dict(zip(("a", "b", "need", "n"), map(pa.array, meets.sums()), strict=True)))
+        _stars(_unpacked(t, "packed", _POSTING), 2, meets)
+        return _sum_table(np.concatenate([meets.sums(), _unpacked(t, "meets", _MEETING)]))
+
+    met = reps.select("rep", "n", "score", "prefix").mapInArrow(local, _PACKED).groupBy("block").applyInArrow(block, _SUMS)
+    return met.groupBy("a", "b", "need").agg(F.sum("n").alias("n")).where("n >= need").select("a", "b")
 
-    met = stored(reps.select("rep", "n", "score", "prefix").mapInArrow(local, _MET), "meets")
-    across = met.where("block >= 0").select("block", "packed").groupBy("block").applyInArrow(block, "a long, b long, need long, n long")
-    every = met.where("block < 0").select("a", "b", "need", "n").unionByName(across)
-    return every.groupBy("a", "b", "need").agg(F.sum("n").alias("n")).where("n >= need").select("a", "b")
+
+#: Postings of columns that one task multiplies in full, and how many products it holds at once.
+PRODUCT_POSTINGS = 2_000_000
+PRODUCT_CELLS = 2_000_000
+
+
+def _products(p: np.ndarray) -> np.ndarray:
+    """Overlaps, within these columns, of all pairs of rows in different components and near enough in size.
+
+    Row by row, as in a sparse matrix product: the columns of a row are looked up, and the rows found there counted.
+    """
+    p = p[np.argsort(p["col"], kind="stable")]
+    first = np.flatnonzero(np.append(True, p["col"][1:] != p["col"][:-1])) if len(p) else np.zeros(0, dtype=np.int64)
+    last = np.append(first[1:], len(p))
+    lo = np.minimum.reduceat(p["comp"], first) if len(p) else first
+    hi = np.maximum.reduceat(p["comp"], first) if len(p) else first
+    mixed = lo < hi
+    keep = np.repeat(mixed, last - first)
+    group = np.repeat(np.cumsum(mixed) - 1, last - first)[keep]
+    p = p[keep]
+    sizes = (last - first)[mixed]
+    starts = np.cumsum(sizes) - sizes
+    out = []
+    order = np.argsort(p["id"], kind="stable")
+    cuts = np.flatnonzero(np.append(True, p["id"][order][1:] != p["id"][order][:-1])) if len(p) else np.zeros(0, dtype=np.int64)
+    for rows in np.split(order, cuts[1:]) if len(p) else []:
+        x = p[rows[0]]
+        reach = sizes[group[rows]]
+        for part in np.split(rows, np.flatnonzero(np.diff(np.cumsum(reach) // PRODUCT_CELLS)) + 1):
+            n = sizes[group[part]]
+            y = p[np.repeat(starts[group[part]], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+            y = y[(y["comp"] > x["comp"]) & (4 * np.minimum(y["n"], x["n"]) >= 3 * np.maximum(y["n"], x["n"]))]
+            if len(y):
+                ids, at, count = np.unique(y["id"], return_index=True, return_counts=True)
+                made = np.zeros(len(ids), dtype=_PRODUCT)
+                made["a"], made["b"], made["p"], made["q"], made["c"] = x["id"], ids, x["n"], y["n"][at], count
+                out.append(made)
+    return np.concatenate(out) if out else np.zeros(0, dtype=_PRODUCT)
+
+
+_PRODUCT = np.dtype([("a", "<i8"), ("b", "<i8"), ("p", "<i4"), ("q", "<i4"), ("c", "<i4")])
 
 
 def _mixed_pairs(reps: DataFrame, component: DataFrame) -> DataFrame:
     """Distinct ``(a, b)`` in different components that share ``l`` columns or more and may overlap enough."""
+    held = stored(reps.join(broadcast_if_small(component), reps["rep"] == component["id"]).select("rep", "n", "component", "prefix"), "held")
+    blocks = max(1, int(held.agg(F.sum(F.length("prefix") / 6)).first()[0] or 0) // PRODUCT_POSTINGS)
 
-    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in (batch.slice(i, 2000) for i in range(0, batch.num_rows, 2000)):
-                prefixes = part.column(3).to_pylist()
-                p = _postings(part.column(0), part.column(1), np.zeros(part.num_rows), prefixes)
-                comp = np.repeat(np.asarray(part.column(2)), [len(x) // 8 for x in prefixes])
-                yield pa.RecordBatch.from_arrays([pa.array(p["col"].view(np.int64)), pa.array(comp), pa.array(p["id"]), pa.array(p["n"])], names=["col", "comp", "id", "n"])
-
-    held = reps.join(component, reps["rep"] == component["id"]).select("rep", "n", "component", "prefix")
-    posts = stored(held, "held").mapInArrow(post, "col long, comp long, id long, n int")
-    mixed = posts.groupBy("col").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("col")
-    open_posts = stored(posts.join(broadcast_if_small(stored(mixed, "mixed")), "col", "left_semi"), "open")
-    x, y = open_posts.alias("x"), open_posts.alias("y")
-    meet = x.join(y, F.expr("x.col = y.col AND x.comp < y.comp AND 4 * least(x.n, y.n) >= 3 * greatest(x.n, y.n)"))
-    pairs = meet.groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.n").alias("p"), F.col("y.n").alias("q")).agg(F.count("*").alias("c"))
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for p in _batched(batches, lambda part: _postings(part.column(0), part.column(1), part.column(3).to_pylist(), comps=part.column(2))):
+            yield _packed_batch(_pack(p, blocks))
+
+    def product(t: pa.Table) -> pa.Table:
+        rows = _products(_unpacked(t, "packed", _POSTING))
+        return pa.table({k: pa.array(rows[k]) for k in rows.dtype.names})
+
+    made = held.mapInArrow(pack, _PACKED).groupBy("block").applyInArrow(product, "a long, b long, p int, q int, c int")
+    pairs = made.groupBy("a", "b", "p", "q").agg(F.sum("c").alias("c"))
     # Beyond the prefixes a pair shares no more than the rest of the row whose prefix ends first.
     rest = F.expr("greatest(ceil(0.75 * p) - 1 - p div 16, ceil(0.75 * q) - 1 - q div 16)")
     return pairs.where((F.col("c") >= F.expr("1 + least(p, q) div 16")) & (7 * (F.col("c") + rest) >= F.expr("3 * (p + q)"))).select("a", "b")
@@ -262,7 +341,7 @@ def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, n_shingles, component_id)`` per row of ``docs``.
+    """``(doc_id, n_shingles, component_id, digest)`` per row of ``docs`` (``digest``: xxhash64 of the text).
 
     Nulls and texts without words have an empty set and are linked with
     nothing. Rows with a null id keep a null component and are linked with
@@ -272,9 +351,10 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     rows = stored(_rows(docs, "doc_id", "text", column_sketch(docs, "text")), "rows")
     known = rows.where("n > 0 AND doc_id IS NOT NULL")
-    reps = stored(known.groupBy("sig").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("score").alias("score"), F.first("prefix").alias("prefix")), "reps")
-    total = reps.agg(F.sum(F.length("prefix") / 8)).first()[0] or 0
-    star = stored(_star_meets(reps, max(1, int(total) // BLOCK_POSTINGS)), "pairs")
+    classes = stored(known.groupBy("sig").agg(F.min("doc_id").alias("rep")), "classes")
+    reps = known.join(broadcast_if_small(classes), ["sig"]).where("doc_id = rep").select("rep", "sig", "n", "score", "prefix")
+    postings = known.agg(F.sum(F.length("prefix") / 6)).first()[0] or 0
+    star = stored(_star_meets(reps, max(1, int(postings) // BLOCK_POSTINGS)), "pairs")
     needed = stored(star.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "needed")
     texts = stored(docs.join(broadcast_if_small(needed), docs["doc_id"] == needed["id"]).select("id", "text").distinct(), "texts")
     links = stored(_links(star.where("a <> b"), texts), "links")
@@ -282,7 +362,25 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     component = stored(needed.join(part, "id", "left").select("id", F.coalesce("component", "id").alias("component")), "component")
     more = stored(_links(_mixed_pairs(reps, component).join(star, ["a", "b"], "left_anti"), texts), "links")
     whole = stored(connected_components(links.unionByName(more)), "component")
-    class_of = reps.join(whole, reps["rep"] == whole["id"], "left").select("sig", F.coalesce("component", "rep").alias("component_id"))
-    return rows.select("doc_id", "n", F.when(F.col("doc_id").isNotNull() & (F.col("n") > 0), F.col("sig")).alias("sig")).join(class_of, "sig", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
+    class_of = classes.join(whole, classes["rep"] == whole["id"], "left").select("sig", F.coalesce("component", "rep").alias("component_id"))
+    linked = F.when(F.col("doc_id").isNotNull() & (F.col("n") > 0), F.col("sig")).alias("sig")
+    return rows.select("doc_id", "n", "digest", linked).join(class_of, "sig", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "digest"
     )
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of every component: that of its smallest id (of its smallest digest where the id repeats).
+
+    Rows without words and rows with a null id are no part of a component and all stay.
+    """
+    classes = stored(jaccard_classes(docs, id_col, text_col), "classes")
+    known = classes.where("n_shingles > 0 AND doc_id IS NOT NULL")
+    stay = known.where("doc_id = component_id").groupBy("doc_id").agg(F.min("digest").alias("first"))
+    keys = known.groupBy("doc_id", "digest").agg(F.min("component_id").alias("component_id"), F.count("*").alias("rows"))
+    judged = keys.join(stay, "doc_id", "left").withColumn("stays", F.coalesce(F.col("digest") == F.col("first"), F.lit(False)) & (F.col("doc_id") == F.col("component_id")))
+    judged = stored(judged.where("NOT stays OR rows > 1").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "stays"), "judged")
+    same = (docs[id_col] == F.col("_id")) & (F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == F.col("_digest"))
+    rest = docs.join(broadcast_if_small(judged.drop("stays")), same, "left_anti")
+    again = docs.join(broadcast_if_small(judged.where("stays").drop("stays")), same, "left_semi").dropDuplicates([id_col, text_col])
+    return rest.unionByName(again)

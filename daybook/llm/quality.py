@@ -158,7 +158,8 @@ def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
     host = F.when(F.col(host_col).isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col(host_col).cast("string")))
     same = docs[id_col].cast("long").eqNullSafe(F.col("_id")) & (host == F.col("_host")) & (F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == F.col("_digest"))
     left = docs.join(broadcast_if_small(acts), same, "left").where(F.coalesce("_kept", F.lit(True))).select(*[docs[c] for c in docs.columns], "_lines")
-    text_at, lines_at = docs.columns.index(text_col), len(docs.columns)
+    names = docs.columns
+    text_at, lines_at, chars_at = names.index(text_col), len(names), names.index(chars_col) if chars_col in names else None
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -166,21 +167,16 @@ def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
             texts, gone = columns[text_at].to_pylist(), batch.column(lines_at).to_pylist()
             new = [without_lines(t, set(g)) if g else t for t, g in zip(texts, gone, strict=True)]
             columns[text_at] = pa.array(new, pa.string())
-            if chars_col in docs.columns:
-                at = docs.columns.index(chars_col)
-                was = columns[at].to_pylist()
-                columns[at] = pa.array([len(t) if g else w for t, g, w in zip(new, gone, was, strict=True)], columns[at].type)
-            yield pa.RecordBatch.from_arrays(columns, names=docs.columns)
+            if chars_at is not None:
+                was = columns[chars_at].to_pylist()
+                columns[chars_at] = pa.array([len(t) if g else w for t, g, w in zip(new, gone, was, strict=True)], columns[chars_at].type)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return left.mapInArrow(strip, docs.schema)
 
 
 def without_lines(text: str, removed: set[int]) -> str:
     """``text`` without the lines whose normalised hash is in ``removed``."""
-    return "\n".join(x for x in text.split("\n") if line_hash(x) not in removed)
-
-
-def line_hash(line: str) -> int | None:
-    """Hash of one normalised line as in :func:`document_stats`; None without a word."""
-    found = [s[6] for s in _text_stats(pa.array([line.replace("\n", " ")]))]
-    return int(found[0][0]) if len(found[0]) else None
+    lines = text.split("\n")
+    found = [s[6] for s in _text_stats(pa.array(lines))]  # a line is a text of one line
+    return "\n".join(x for x, h in zip(lines, found, strict=True) if not (len(h) and int(h[0]) in removed))

@@ -13,7 +13,7 @@ from daybook.llm.tables import table
 
 
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.jaccard_classes(table(spark, sf_dir, "documents"))
+    return ngram_join.jaccard_classes(table(spark, sf_dir, "documents")).drop("digest")
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -325,8 +325,8 @@ def redact(text: str, spans: list[tuple[int, int, int]], mark: str = "<SECRET>")
 def redact_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
     """All rows and columns of ``docs``, secrets replaced in the text; ``chars_col`` (if there) follows."""
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, id_col, text_col))
-    at = docs.columns.index(text_col)
-    chars = docs.columns.index(chars_col) if chars_col in docs.columns else None
+    names = docs.columns
+    at, chars = names.index(text_col), names.index(chars_col) if chars_col in names else None
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -340,6 +340,6 @@ def redact_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             if chars is not None:
                 was = columns[chars].to_pylist()
                 columns[chars] = pa.array([w if r is None else len(r) for w, r in zip(was, new, strict=True)], columns[chars].type)
-            yield pa.RecordBatch.from_arrays(columns, names=docs.columns)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return docs.mapInArrow(rows, docs.schema)

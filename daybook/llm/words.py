@@ -116,7 +116,7 @@ def sequence_sum(h: np.ndarray) -> np.uint64:
 def window_hashes(h: np.ndarray, width: int) -> np.ndarray:
     """Hash of words ``i .. i+width-1`` at each ``i`` (windows that run over the end are garbage)."""
     total = np.zeros(len(h), dtype=np.uint64)
-    for j in range(width):
+    for j in range(min(width, len(h))):
         total[: len(h) - j] += h[j:] * POSITION[j]
     return mix64(total + np.uint64(width))
 
