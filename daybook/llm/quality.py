@@ -38,6 +38,8 @@ _STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_rep
 
 def _line_spans(data: np.ndarray, offsets: np.ndarray):
     """Start and stop byte of every line of every text, and the first line of each text."""
+    if not len(data):
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
     newlines = np.flatnonzero(data == 10)
     starts = np.union1d(newlines + 1, offsets[:-1])
     starts = starts[starts < len(data)]

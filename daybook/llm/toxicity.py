@@ -6,11 +6,15 @@ reported speech, targets and threats are composed into one machine that reads
 the symbols and writes, for every insult or threat, the pattern that it matches
 (negated? reported? with a target in the clause?). Patterns are counted per
 document, not words; their weights are the coefficients of a logistic regression on the labels.
+
+The insults of the lexicon are a fixed list plus words and word stems learned
+from labelled rows: those that many distinct toxic documents hold and hardly any other.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import cache
 
@@ -19,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.tables import crc_fold, stored
+from daybook.llm.tables import broadcast_if_small, crc_fold, stored
+from daybook.llm.words import column_shingles
 
 #: The default lexicon. Words are matched whole, letters in either case.
 LEXICON = {
@@ -38,6 +43,13 @@ NEGATION_SCOPE = 3
 #: A pattern counts at most so often per document; more adds nothing to the score.
 MOST = 3
 
+#: Learning words: labelled rows looked at per label (the smallest digests of their ids; copies count
+#: as one), distinct toxic documents that must hold a word or stem, and how many others may, per toxic one.
+TRAIN_ROWS = 20_000
+LEAST_TOXIC = 8
+MOST_OTHERS = 0.02
+STEMS = (3, 4, 5, 6, 7)
+
 _KINDS = ("insult", "threat")
 PATTERNS = tuple(f"{kind}{how}" for kind in _KINDS for how in ("", "+target", "+negated", "+reported"))
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?|[\"“”«»]")
@@ -98,31 +110,49 @@ class Composed:
 
 
 class Grammar:
-    """The lexicon transducer and the composed machine, with a fast search for clauses that can match."""
+    """The lexicon transducer and the composed machine, with a fast search for clauses that can match.
+
+    A lexicon word that ends in ``*`` is a stem: every word that begins with it has its symbol.
+    """
 
     def __init__(self, lexicon: dict[str, str]):
         import ahocorasick
 
-        self.symbol = {w: kind for kind, words in lexicon.items() for w in words.split()}
+        words = {w: kind for kind, text in lexicon.items() for w in text.split()}
+        self.words = {w: k for w, k in words.items() if w[-1] != "*"}
+        self.stems = {w[:-1]: k for w, k in words.items() if w[-1] == "*"}
+        self.lengths = sorted({len(w) for w in self.stems})
         self.machine = Composed(negation(), reported(), targets(), threats())
         self.search = ahocorasick.Automaton()
-        for w, kind in self.symbol.items():
-            if kind in _KINDS:
-                self.search.add_word(w, len(w))
-        self.search.make_automaton()
+        for table, whole in ((self.words, True), (self.stems, False)):
+            for w, kind in table.items():
+                if kind in _KINDS:
+                    # a stem also finds the word that it is, so a word needs no second entry
+                    self.search.add_word(w, (len(w), whole and w not in self.stems))
+        self.empty = not len(self.search)
+        if not self.empty:
+            self.search.make_automaton()
+
+    def symbol(self, word: str) -> str:
+        if word in "\"“”«»":
+            return "quote"
+        word = word.replace("’", "'")
+        if word in self.words:
+            return self.words[word]
+        return next((self.stems[word[:n]] for n in self.lengths if word[:n] in self.stems), "other")
 
     def patterns(self, text: str | None) -> list[int]:
         """How often each of ``PATTERNS`` matches, at most ``MOST`` times each."""
         counts = [0] * len(PATTERNS)
         low = (text or "").lower()
-        hit = any(
-            not (end + 1 < len(low) and low[end + 1].isalpha()) and not (end - size >= 0 and low[end - size].isalpha())
-            for end, size in self.search.iter(low)
+        hit = not self.empty and any(
+            not (whole and end + 1 < len(low) and low[end + 1].isalpha()) and not (end - size >= 0 and low[end - size].isalpha())
+            for end, (size, whole) in self.search.iter(low)
         )
         if not hit:
             return counts
         for clause in _CLAUSE.split(low):
-            symbols = ["quote" if w in "\"“”«»" else self.symbol.get(w.replace("’", "'"), "other") for w in _WORD.findall(clause)]
+            symbols = [self.symbol(w) for w in _WORD.findall(clause)]
             if not any(s in _KINDS for s in symbols):
                 continue
             read = self.machine.run(symbols)
@@ -139,6 +169,45 @@ def grammar(lexicon: tuple[tuple[str, str], ...]) -> Grammar:
     return Grammar(dict(lexicon))
 
 
+def word_features(text: str) -> set[str]:
+    """The words of a text and, with a ``*``, their stems."""
+    words = set(re.findall(r"[^\W\d_]+", text.lower()))
+    return {w for w in words if len(w) > 2} | {w[:n] + "*" for w in words for n in STEMS if len(w) >= n}
+
+
+def learn_words(labelled: DataFrame, train_rows: int = TRAIN_ROWS, least: int = LEAST_TOXIC, others: float = MOST_OTHERS) -> list[str]:
+    """Words and stems of toxic documents, from ``labelled(id, text, y)``, shortest stems only.
+
+    Documents that share their smallest shingle count as one. The counts cover a bounded sample
+    (``train_rows`` per label), so the learned list is bounded too.
+    """
+
+    def kinds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kind = [int(s.min().astype(np.int64)) if len(s) else 0 for s in column_shingles(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(kind, pa.int64())], names=["at", "y", "kind"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: list[Counter] = [Counter(), Counter()]
+        for batch in batches:
+            for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                seen[y].update(word_features(text))
+        words = list(seen[0].keys() | seen[1].keys())
+        for i in range(0, len(words), 10_000):
+            part = words[i : i + 10_000]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), *(pa.array([c[w] for w in part], pa.int64()) for c in seen)], names=["word", "clean", "toxic"])
+
+    rows = labelled.where("text IS NOT NULL").select(F.md5(F.col("id").cast("string")).alias("at"), "text", "y")
+    one = rows.mapInArrow(kinds, "at string, y int, kind long").groupBy("kind", "y").agg(F.min("at").alias("at"))
+    taken = one.where("y = 1").orderBy("at").limit(train_rows).unionByName(one.where("y = 0").orderBy("at").limit(train_rows))
+    taken = stored(taken.select("at", "y"), "taken")
+    held = rows.join(broadcast_if_small(taken), ["at", "y"]).select("text", "y")
+    found = held.mapInArrow(count, "word string, clean long, toxic long").groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    words = {r["word"] for r in found.where((F.col("toxic") >= least) & (F.col("clean") <= others * F.col("toxic"))).select("word").collect()}
+    shorter = lambda w: any(w[:n] + "*" in words and w != w[:n] + "*" for n in STEMS if n <= len(w.rstrip("*")))
+    return sorted(w for w in words if not shorter(w))
+
+
 def match_patterns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lexicon: dict[str, str] = LEXICON) -> DataFrame:
     """``(id, patterns)`` per row; a null text matches nothing."""
     words = tuple(lexicon.items())
@@ -155,10 +224,10 @@ def match_patterns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def fit_weights(counted: list[tuple[list[int], int, int]], ridge: float = 0.1, steps: int = 50) -> np.ndarray:
     """Logistic regression by Newton steps on ``(patterns, label, rows)``; the last weight is the constant.
 
-    The score uses whether a pattern matches and how often more, so weights of rare patterns stay small.
+    Patterns share the weights of their parts, so a rare combination is scored by what it is made of.
     """
     if not counted:
-        return np.zeros(2 * len(PATTERNS) + 1)
+        return np.zeros(N_WEIGHTS)
     x = np.array([_design(p) for p, _, _ in counted])
     y, n = (np.array([float(r[k]) for r in counted]) for k in (1, 2))
     w = np.zeros(x.shape[1])
@@ -174,7 +243,13 @@ def fit_weights(counted: list[tuple[list[int], int, int]], ridge: float = 0.1, s
 
 
 def _design(patterns) -> list[float]:
-    return [float(c > 0) for c in patterns] + [float(max(0, c - 1)) for c in patterns] + [1.0]
+    """Whether insults and threats match, more than once, at a target, negated, reported; and a constant."""
+    insults, threat = patterns[:4], patterns[4:]
+    by = [float(insults[i] + threat[i] > 0) for i in (1, 2, 3)]
+    return [float(sum(insults) > 0), float(min(MOST, max(0, sum(insults) - 1))), float(sum(threat) > 0), *by, 1.0]
+
+
+N_WEIGHTS = 7
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", folds: int = 5) -> DataFrame:
@@ -185,13 +260,19 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     labels teach nothing; a null or empty text matches no pattern and gets the score of such texts;
     a null id is never held out and has no label. Labels and other columns are no input of a score.
     """
-    found = stored(match_patterns(docs, id_col, text_col), "patterns")
     known = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("y")).where("y IN (0, 1)")
-    train = found.join(known.where(crc_fold("_id", folds) != 0), F.col("id") == F.col("_id"))
+    known = stored(known.where(crc_fold("_id", folds) != 0), "labels")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    learned = learn_words(texts.join(broadcast_if_small(known), F.col("id") == F.col("_id")).select("id", "text", "y"))
+    found = stored(match_patterns(docs, id_col, text_col, LEXICON | {"insult": " ".join([LEXICON["insult"], *learned])}), "patterns")
+    train = found.join(broadcast_if_small(known), F.col("id") == F.col("_id"))
     counted = train.groupBy("patterns", "y").agg(F.count("*").alias("n")).collect()
     w = fit_weights(sorted((list(r[0]), r[1], r[2]) for r in counted))
-    weight = lambda i, c: F.when(c > 0, F.lit(float(w[i])) + F.lit(float(w[len(PATTERNS) + i])) * (c - 1)).otherwise(0.0)
-    logit = sum((weight(i, F.col("patterns")[i].cast("double")) for i in range(len(PATTERNS))), F.lit(float(w[-1])))
+    c = [F.col("patterns")[i].cast("int") for i in range(len(PATTERNS))]
+    insults, threat = c[0] + c[1] + c[2] + c[3], c[4] + c[5] + c[6] + c[7]
+    parts = [(insults > 0).cast("double"), F.least(F.lit(MOST), F.greatest(F.lit(0), insults - 1)).cast("double"), (threat > 0).cast("double")]
+    parts += [(c[i] + c[i + 4] > 0).cast("double") for i in (1, 2, 3)]
+    logit = sum((F.lit(float(x)) * p for x, p in zip(w, parts, strict=False)), F.lit(float(w[-1])))
     score = F.lit(1.0) / (F.lit(1.0) + F.exp(-logit))
     return found.select(
         F.col("id").alias(id_col), F.coalesce(crc_fold("id", folds) == 0, F.lit(False)).alias("held_out"), score.alias("score"),
