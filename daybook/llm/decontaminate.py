@@ -23,12 +23,12 @@ from daybook.llm.tables import broadcast_if_small, stored
 from daybook.llm.words import mix64, text_slices, word_hashes
 
 #: Masks: 1 keeps a word position, 0 ignores it. Any two substitutions within a
-#: window leave some mask whole. Items too short for a mask use their whole text.
+#: window leave some mask whole at this or a shifted window. Shorter items use masks of their own length.
 MASKS = ("111111110000", "000011111111", "111100001111", "110110110110", "101011011011")
 PENALTY = 2
 #: A stretch counts with this many matched words, or this share of the item's words if that is less.
 MIN_MATCH = 13
-MIN_SHARE = 0.8
+MIN_SHARE = 0.7
 #: An item of fewer words is only found in a text that has no other words.
 LEAST_WORDS = 8
 #: A benchmark of up to this many words goes to the tasks whole (8 bytes a word, plus its
@@ -57,6 +57,12 @@ def seed_hashes(h: np.ndarray, mask: str, k: int) -> np.ndarray:
     return mix64(total)
 
 
+def every_mask(masks: tuple[str, ...], short: list[int]) -> list[str]:
+    """The masks, and those of items too short for them: each half of the item, or all of a very short one."""
+    halves = [m for n in short if n >= LEAST_WORDS for m in ("1" * -(-n // 2) + "0" * (n // 2), "0" * (n // 2) + "1" * -(-n // 2))]
+    return [*masks, *("1" * n for n in short if n < LEAST_WORDS), *halves]
+
+
 class Benchmark:
     """The items' word hashes and the seed hashes of all their windows, as sorted arrays."""
 
@@ -81,7 +87,7 @@ class Benchmark:
             self.tables.append((seeds, at, item_of[at], seen))
 
     def all_masks(self) -> list[str]:
-        return [*self.masks, *("1" * n for n in self.short)]
+        return every_mask(self.masks, self.short)
 
     def hits(self, h: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of document words ``h`` (``room``: words left in the text): positions, item positions, items."""
@@ -173,6 +179,8 @@ def _scan(bench: Benchmark, column: pa.Array) -> Iterator[tuple[int, int, int, i
             continue
         text_of = np.repeat(np.arange(len(firsts) - 1), np.diff(firsts))
         pos, item_pos, items = bench.hits(h, firsts[text_of + 1] - np.arange(len(h)))
+        if len(pos) == 0:
+            continue
         order = np.argsort(text_of[pos], kind="stable")
         pos, item_pos, items = pos[order], item_pos[order], items[order]
         texts, cuts = np.unique(text_of[pos], return_index=True)
@@ -188,7 +196,7 @@ def _joined(docs: DataFrame, bench: DataFrame, masks: tuple[str, ...] = MASKS) -
 
     def seeds(whole_only: bool):
         def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            every = [*masks, *("1" * n for n in shortest.value)]
+            every = every_mask(masks, shortest.value)
             for batch in batches:
                 for first, h, firsts in plain_words(batch.column(1)):
                     text_of = np.repeat(np.arange(len(firsts) - 1), np.diff(firsts))

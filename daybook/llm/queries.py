@@ -64,18 +64,15 @@ QUERIES = {
 
 ORACLE_SQL = {}
 
-# Words as every contract defines them, for DuckDB.
-_WORDS = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '     '), ' '), x -> x <> '')"
-
 ORACLE_SQL["op1_ngram_jaccard"] = f"""
 WITH RECURSIVE d AS MATERIALIZED (
   SELECT doc_id, list_filter(string_split(translate(coalesce(text, ''),
-    'ABCDEFGHIJKLMNOPQRSTUVWXYZ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), 'abcdefghijklmnopqrstuvwxyz     '), ' '), x -> x <> '') AS w
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), 'abcdefghijklmnopqrstuvwxyz     '), ' '), lambda x: x <> '') AS w
   FROM documents),
 s AS MATERIALIZED (
   SELECT DISTINCT doc_id, g FROM (
     SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-      ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) END) AS g FROM d)),
+      ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM d)),
 n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
 o AS MATERIALIZED (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2),
 link AS MATERIALIZED (SELECT a, b FROM o JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * k >= 75 * (p.n + q.n - k)),
