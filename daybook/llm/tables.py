@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,7 +33,26 @@ def broadcast_if_small(df: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if (df.count() if rows is None else rows) <= BROADCAST_ROWS else df
 
 
+_SENT: set[str] = set()
+
+
+def send_package(spark: SparkSession) -> None:
+    """Sends this package to the Python workers where they would not find it by themselves.
+
+    They do where it came as ``--py-files`` (a zip), where its folder is on ``PYTHONPATH`` or is the
+    working directory. Otherwise it goes along once per application, as ``addPyFile`` sends any module.
+    """
+    root, app = Path(__file__).resolve().parents[2], spark.sparkContext.applicationId
+    known = [Path(p or ".").resolve() for p in (*os.environ.get("PYTHONPATH", "").split(os.pathsep), os.getcwd()) if p]
+    if app in _SENT or not root.is_dir() or root in known:
+        return
+    archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='daybook-')}/daybook", "zip", root, "daybook")
+    spark.sparkContext.addPyFile(archive)
+    _SENT.add(app)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    send_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
