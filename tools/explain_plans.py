@@ -24,7 +24,8 @@ def summary(plan: str) -> dict:
         "broadcast_exchanges": plan.count("BroadcastExchange"),
         "broadcast_joins": len(re.findall(r"BroadcastHashJoin", plan)),
         "sort_merge_joins": plan.count("SortMergeJoin"),
-        "partial_aggs": len(re.findall(r"HashAggregate\(keys=\[[^\]]*\], functions=\[partial_", plan)) + plan.count("functions=[partial_"),
+        "partial_aggs": len(re.findall(r"HashAggregate\(keys=\[[^\]]*\], functions=\[partial_", plan)),
+        "partial_sort_aggs": len(re.findall(r"SortAggregate\(key=\[[^\]]*\], functions=\[partial_", plan)),
         "python": len(re.findall(r"BatchEvalPython|ArrowEvalPython|FlatMapGroupsInPandas|MapInPandas", plan)),
         "partition_filters": len(re.findall(r"PartitionFilters: \[[^\]]+\]", plan)),
         "pushed_filters": len(re.findall(r"PushedFilters: \[[^\]]+\]", plan)),
