@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daybook.llm.tables import bounded_sample, stored
 from daybook.llm.words import text_slices
 
 KINDS = ("assign", "access", "hex", "crf")
@@ -270,14 +271,15 @@ def all_spans(model: Crf, text: str, hex_runs, tokens) -> list[tuple[int, int, i
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_texts: int = TRAIN_TEXTS) -> Crf:
-    """The field, fitted on a bounded sample: the ``train_texts`` texts with the smallest digests of
-    their ids among those with a run of 16 letters and digits that has a digit, and half as many others."""
+    """The field, fitted on a bounded sample: the ``train_texts`` texts with the smallest digests (of id
+    and text) among those with a run of 16 letters and digits that has a digit, and half as many others."""
     likely = F.coalesce(F.col(text_col).rlike("[A-Za-z0-9]{0,40}[0-9][A-Za-z0-9]{15}"), F.lit(False))
-    rows = docs.select(F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))).alias("at"), F.col(text_col).alias("text"), likely.alias("likely"))
-    taken: list[str | None] = []
-    for part, n in ((rows.where("likely"), train_texts), (rows.where("NOT likely"), train_texts // 2)):
-        taken += [r[0] for r in part.orderBy("at", "text").limit(n).select("text").collect()]
-    return fit_crf(training_sequences(taken))
+    at = F.md5(F.concat_ws(":", F.col(id_col).cast("string"), F.xxhash64(text_col).cast("string")))
+    keys = stored(docs.select(at.alias("at"), likely.alias("likely")), "keys")
+    taken = bounded_sample(keys.where("likely"), "at", train_texts).unionByName(bounded_sample(keys.where("NOT likely"), "at", train_texts // 2))
+    taken = F.broadcast(stored(taken.select("at"), "taken"))  # at most 1.5 train_texts rows
+    texts = docs.select(at.alias("at"), F.col(text_col).alias("text")).join(taken, "at").dropDuplicates(["at"])
+    return fit_crf(training_sequences([r[1] for r in sorted(texts.collect(), key=lambda r: r[0])]))
 
 
 def _span_text(spans: list[tuple[int, int, int]]) -> str:

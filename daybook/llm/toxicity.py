@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.tables import broadcast_if_small, crc_fold, stored
+from daybook.llm.tables import bounded_sample, broadcast_if_small, crc_fold, stored
 from daybook.llm.words import column_shingles
 
 #: The default lexicon. Words are matched whole, letters in either case.
@@ -199,7 +199,8 @@ def learn_words(labelled: DataFrame, train_rows: int = TRAIN_ROWS, least: int =
 
     rows = labelled.where("text IS NOT NULL").select(F.md5(F.col("id").cast("string")).alias("at"), "text", "y")
     one = rows.mapInArrow(kinds, "at string, y int, kind long").groupBy("kind", "y").agg(F.min("at").alias("at"))
-    taken = one.where("y = 1").orderBy("at").limit(train_rows).unionByName(one.where("y = 0").orderBy("at").limit(train_rows))
+    one = stored(one, "kinds")
+    taken = bounded_sample(one.where("y = 1"), "at", train_rows).unionByName(bounded_sample(one.where("y = 0"), "at", train_rows))
     taken = stored(taken.select("at", "y"), "taken")
     held = rows.join(broadcast_if_small(taken), ["at", "y"]).select("text", "y")
     found = held.mapInArrow(count, "word string, clean long, toxic long").groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
