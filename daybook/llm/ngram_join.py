@@ -296,6 +296,12 @@ def _products(p: np.ndarray) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, dtype=_PRODUCT)
 
 
+def _enough(p: np.ndarray, q: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """The size-derived bounds on ``c`` common columns of rows of ``p`` and ``q`` (the SQL below says the same)."""
+    rest = np.maximum(-(-3 * p // 4) - 1 - p // 16, -(-3 * q // 4) - 1 - q // 16)
+    return (c >= 1 + np.minimum(p, q) // 16) & (7 * (c + rest) >= 3 * (p + q))
+
+
 _PRODUCT = np.dtype([("a", "<i8"), ("b", "<i8"), ("p", "<i4"), ("q", "<i4"), ("c", "<i4")])
 
 
@@ -310,6 +316,8 @@ def _mixed_pairs(reps: DataFrame, component: DataFrame) -> DataFrame:
 
     def product(t: pa.Table) -> pa.Table:
         rows = _products(_unpacked(t, "packed", _POSTING))
+        if blocks == 1:  # these overlaps are whole: pairs below the bounds need not leave the task
+            rows = rows[_enough(rows["p"].astype(np.int64), rows["q"].astype(np.int64), rows["c"])]
         return pa.table({k: pa.array(rows[k]) for k in rows.dtype.names})
 
     made = held.mapInArrow(pack, _PACKED).groupBy("block").applyInArrow(product, "a long, b long, p int, q int, c int")
