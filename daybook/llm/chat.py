@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.tables import stored
+from daybook.llm.tables import broadcast_if_small, stored
 
 RUN = 2048
 ROLES = ("system", "user", "assistant")
@@ -151,10 +151,12 @@ def render_run(turns: list[tuple[str | None, str | None]], begin: int, end: int,
 
 
 def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, list[tuple]]]:
-    """Rows of sorted batches, grouped by their first ``keys`` columns across batch borders."""
+    """Rows of sorted batches, grouped by their first ``keys`` columns across batch borders; equal rows count once."""
     key, rows = None, []
     for batch in batches:
         for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if rows and row[:keys] == key and row[keys:] == rows[-1]:
+                continue
             if rows and row[:keys] != key:
                 yield key, rows
                 rows = []
@@ -177,8 +179,7 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
     rows = turns.select(
         F.col(conv_col).alias("conv"), part.alias("part"), F.col(turn_col).cast("long").alias("turn"),
         F.lower(F.trim(F.col(role_col))).alias("role"), F.col(text_col).alias("text"),
-    ).distinct()
-    rows = stored(rows, "turns")
+    )
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, held in _groups(batches, 2):
@@ -187,10 +188,12 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
     batch_type = _arrow_type(turns, conv_col)
     order = ("conv", "part", "turn", "role", "text")
     several = rows.groupBy("conv").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).withColumn("k", F.struct("conv"))
-    # Only conversations of several runs need matrices; the others start at START.
-    long_ = several.where("lo <> hi").select("k")
-    runs = rows.withColumn("k", F.struct("conv")).join(long_, "k", "left_semi").select(*order).repartition("conv", "part").sortWithinPartitions(*order)
-    costs = runs.select("conv", "part", "turn", "role").mapInArrow(matrices, f"conv {conv_type}, part long, costs array<long>")
+    # Only conversations of several runs need matrices; the others start at START. Texts stay behind.
+    long_ = broadcast_if_small(stored(several.where("lo <> hi").select("k"), "long"))
+    said = rows.select("conv", "part", "turn", "role", F.xxhash64("text").alias("said"))
+    runs = said.withColumn("k", F.struct("conv")).join(long_, "k", "left_semi").drop("k")
+    runs = runs.repartition("conv", "part").sortWithinPartitions("conv", "part", "turn", "role", "said")
+    costs = runs.mapInArrow(matrices, f"conv {conv_type}, part long, costs array<long>")
 
     def states(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, held in _groups(batches, 1):
@@ -201,7 +204,7 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
             )
 
     cuts = costs.repartition("conv").sortWithinPartitions("conv", "part").mapInArrow(states, f"conv {conv_type}, part long, cost long, begin int, end int, nth long, last boolean")
-    cuts = cuts.select(F.struct("conv", "part").alias("c"), "cost", "begin", "end", "nth", "last")
+    cuts = broadcast_if_small(stored(cuts.select(F.struct("conv", "part").alias("c"), "cost", "begin", "end", "nth", "last"), "cuts"))
     whole = rows.withColumn("c", F.struct("conv", "part")).join(cuts, "c", "left").select(*order, "cost", "begin", "end", "nth", "last")
 
     def render(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
