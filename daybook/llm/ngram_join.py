@@ -43,7 +43,7 @@ BLOCK_POSTINGS = 50_000
 #: Rows of a column above which a map task sends on the most central one alone.
 LOCAL_ROWS = 64
 #: Postings that a map task packs at once.
-PACK_POSTINGS = 1_000_000
+PACK_POSTINGS = 250_000
 
 
 def column_sketch(docs: DataFrame, text: str) -> np.ndarray:
@@ -258,8 +258,8 @@ def _star_meets(reps: DataFrame, blocks: int) -> DataFrame:
 
 
 #: Postings of columns that one task multiplies in full, and how many products it holds at once.
-PRODUCT_POSTINGS = 2_000_000
-PRODUCT_CELLS = 2_000_000
+PRODUCT_POSTINGS = 1_000_000
+PRODUCT_CELLS = 1_000_000
 
 
 def _products(p: np.ndarray) -> np.ndarray:

@@ -15,7 +15,7 @@ import pyarrow as pa
 
 SHINGLE = 5
 #: Texts are hashed in slices of at most this many bytes (a longer text alone).
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
