@@ -164,9 +164,9 @@ def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
     text_at, lines_at, chars_at = names.index(text_col), len(names), names.index(chars_col) if chars_col in names else None
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = batch.columns[:lines_at]
-            texts, gone = columns[text_at].to_pylist(), batch.column(lines_at).to_pylist()
+        for part in (batch.slice(i, 500) for batch in batches for i in range(0, batch.num_rows, 500)):
+            columns = part.columns[:lines_at]
+            texts, gone = columns[text_at].to_pylist(), part.column(lines_at).to_pylist()
             new = [without_lines(t, set(g)) if g else t for t, g in zip(texts, gone, strict=True)]
             columns[text_at] = pa.array(new, pa.string())
             if chars_at is not None:

@@ -333,16 +333,16 @@ def redact_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = list(batch.columns)
-            texts = columns[at].to_pylist()
-            new = []
-            for text, hex_runs, tokens in scan(columns[at]):
-                spans = all_spans(shared.value, text, hex_runs, tokens)
-                new.append(redact(text, spans) if spans else None)
-            columns[at] = pa.array([t if r is None else r for t, r in zip(texts, new, strict=True)], pa.string())
-            if chars is not None:
-                was = columns[chars].to_pylist()
-                columns[chars] = pa.array([w if r is None else len(r) for w, r in zip(was, new, strict=True)], columns[chars].type)
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            for part in (batch.slice(i, 500) for i in range(0, batch.num_rows, 500)):
+                columns = list(part.columns)
+                new = []
+                for text, hex_runs, tokens in scan(columns[at]):
+                    spans = all_spans(shared.value, text, hex_runs, tokens)
+                    new.append(redact(text, spans) if spans else None)
+                if chars is not None:
+                    was = columns[chars].to_pylist()
+                    columns[chars] = pa.array([w if r is None else len(r) for w, r in zip(was, new, strict=True)], columns[chars].type)
+                columns[at] = pa.array([t if r is None else r for t, r in zip(columns[at].to_pylist(), new, strict=True)], pa.string())
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return docs.mapInArrow(rows, docs.schema)

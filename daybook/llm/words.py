@@ -58,6 +58,8 @@ def text_slices(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]
         last = min(n, max(last, first + 1))
         yield first, data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
         first = last
+    del column, data, offsets
+    pa.default_memory_pool().release_unused()  # idle Python workers would keep it
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True):
