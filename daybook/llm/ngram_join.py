@@ -16,7 +16,9 @@ sketch over all documents), and the product is taken block by block:
    A row that meets others in fewer than ``l`` columns links with nothing.
 3. Rows linked so far form components. Columns that still hold rows of several
    components are multiplied in full, across components only, under the same
-   bounds. A pair inside a component cannot change it, so no link between
+   bounds. The product is cut into tiles of two slices of rows, so that a pair's
+   columns all meet in one tile and no task holds a frequent column. A pair
+   inside a component cannot change it and is not looked up, so no link between
    components is lost and a group of copies is not expanded into all pairs.
 
 Shingles are 64-bit hashes; a wrong overlap needs two of them to collide within one pair.
@@ -196,7 +198,7 @@ _MEETING = np.dtype([("a", "<i8"), ("b", "<i8"), ("need", "<i4"), ("n", "<i4")])
 
 def _pack(p: np.ndarray, blocks: int) -> dict[int, bytes]:
     at = (mix64(p["col"]) % np.uint64(blocks)).astype(np.int64)
-    order = np.lexsort((p["id"], at))
+    order = np.lexsort((p["id" if "id" in p.dtype.names else "col"], at))
     at, p = at[order], p[order]
     found, first = np.unique(at, return_index=True)
     return dict(zip(found.tolist(), map(_planes, np.split(p, first[1:])), strict=True)) if len(found) else {}
@@ -257,74 +259,226 @@ def _star_meets(reps: DataFrame, blocks: int) -> DataFrame:
     return met.groupBy("a", "b", "need").agg(F.sum("n").alias("n")).where("n >= need").select("a", "b")
 
 
-#: Postings of columns that one task multiplies in full, and how many products it holds at once.
+#: Postings that one tile of the product should hold, products that it should make, and how many it makes at once.
 PRODUCT_POSTINGS = 1_000_000
+TILE_CELLS = 20_000_000
 PRODUCT_CELLS = 1_000_000
+#: Rows of a column above which its postings go to the tiles without meeting in one task before.
+HOT_ROWS = 10_000
+#: Slices of the rows are a power of two, up to this one.
+_MOST_SLICES = 12
 
+_PRODUCT = np.dtype([("a", "<i8"), ("b", "<i8")])
+_COLUMN = np.dtype([("col", "<u8"), ("comp", "<i8"), ("top", "<i8"), ("n", "<i8")])
 
-def _products(p: np.ndarray) -> np.ndarray:
-    """Overlaps, within these columns, of all pairs of rows in different components and near enough in size.
 
-    Row by row, as in a sparse matrix product: the columns of a row are looked up, and the rows found there counted.
+def _heads(*keys: np.ndarray) -> np.ndarray:
+    """Where a run of equal keys begins, in sorted keys."""
+    first = np.ones(len(keys[0]), dtype=bool)
+    first[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+    return np.flatnonzero(first)
+
+
+def _expand(starts: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The numbers ``starts[i] .. starts[i] + n[i] - 1``, one range after the other."""
+    return np.repeat(starts - np.cumsum(n) + n, n) + np.arange(n.sum())
+
+
+def _column_counts(p: np.ndarray) -> np.ndarray:
+    """Per column: rows ``n``, and a component with how many of them it has at least, ``top``: all, if there is no other.
+
+    ``p``: postings, or such counts of parts of the postings.
+    """
+    if not len(p):
+        return np.zeros(0, dtype=_COLUMN)
+    own = p["top"] if "top" in p.dtype.names else np.ones(len(p), dtype=np.int64)
+    n = p["n"] if "top" in p.dtype.names else own
+    order = np.lexsort((p["comp"], p["col"]))
+    col, comp, own, n = p["col"][order], p["comp"][order], own[order], n[order]
+    heads = _heads(col, comp)
+    col, comp, own, n = col[heads], comp[heads], np.add.reduceat(own, heads), np.add.reduceat(n, heads)
+    order = np.lexsort((-own, col))
+    col, comp, own, n = col[order], comp[order], own[order], n[order]
+    heads = _heads(col)
+    out = np.zeros(len(heads), dtype=_COLUMN)
+    out["col"], out["comp"], out["top"], out["n"] = col[heads], comp[heads], own[heads], np.add.reduceat(n, heads)
+    return out
+
+
+def _slices(ids: np.ndarray, t: int) -> np.ndarray:
+    return (mix64(ids.astype(np.int64).view(np.uint64)) % np.uint64(t)).astype(np.int64)
+
+
+def _tile_batches(p: np.ndarray, tile: np.ndarray) -> Iterator[pa.RecordBatch]:
+    order = np.argsort(tile, kind="stable")
+    tile, p = tile[order], p[order]
+    heads = _heads(tile) if len(p) else []
+    parts = [_planes(x) for x in np.split(p, heads[1:])] if len(p) else []
+    yield pa.RecordBatch.from_arrays([pa.array(tile[heads] if len(p) else [], pa.int64()), pa.array(parts, pa.binary())], names=["tile", "packed"])
+
+
+def _tiles(p: np.ndarray, t: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``(postings, their tile)``: tile ``i * t + j`` gets a column's rows of the slices ``i <= j`` where they hold two components."""
+    if not len(p):
+        return
+    at = _slices(p["id"], t)
+    order = np.lexsort((at, p["col"]))
+    p, at = p[order], at[order]
+    heads = _heads(p["col"], at)  # one group per column and slice
+    size = np.diff(np.append(heads, len(p)))
+    lo, hi = np.minimum.reduceat(p["comp"], heads), np.maximum.reduceat(p["comp"], heads)
+    col, at = p["col"][heads], at[heads]
+    ends = np.append(_heads(col)[1:], len(col))
+    last = np.repeat(ends, np.diff(np.append(0, ends)))  # of the column's groups
+    after = last - np.arange(len(col))
+    made = np.cumsum(after)
+    for part in np.split(np.arange(len(col)), np.flatnonzero(np.diff(made // PRODUCT_CELLS)) + 1):
+        g = np.repeat(part, after[part])
+        h = _expand(part, after[part])
+        keep = (np.minimum(lo[g], lo[h]) < np.maximum(hi[g], hi[h]))
+        g, h = g[keep], h[keep]
+        tile = at[g] * t + at[h]
+        two = g != h
+        both, tile = np.concatenate([g, h[two]]), np.concatenate([tile, tile[two]])
+        shipped = np.cumsum(size[both])
+        for some in np.split(np.arange(len(both)), np.flatnonzero(np.diff(shipped // PRODUCT_CELLS)) + 1):
+            yield p[_expand(heads[both[some]], size[both[some]])], np.repeat(tile[some], size[both[some]])
+
+
+def _foreign(left: np.ndarray, right: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(i, start, n)``: ranges of ``right``, sorted by column and component, that share the column of ``left[i]``
+    and are of other components; of later ones only where ``left`` and ``right`` are the ``same``. Sorted by left row."""
+    columns, first = np.unique(right["col"], return_index=True)
+    comps = np.unique(np.concatenate([left["comp"], right["comp"]]))
+    key = np.searchsorted(columns, right["col"]) * len(comps) + np.searchsorted(comps, right["comp"])
+    at = np.searchsorted(columns, left["col"])
+    i = np.flatnonzero(np.append(columns, np.uint64(0))[at] == left["col"]) if len(columns) else np.zeros(0, dtype=np.int64)
+    i = i[at[i] < len(columns)]
+    own = at[i] * len(comps) + np.searchsorted(comps, left["comp"][i])
+    stop = np.append(first[1:], len(right))[at[i]]
+    begin, end = np.searchsorted(key, own, "left"), np.searchsorted(key, own, "right")
+    starts, stops = (end, stop) if same else (np.concatenate([end, first[at[i]]]), np.concatenate([stop, begin]))
+    i = i if same else np.concatenate([i, i])
+    some = np.flatnonzero(stops > starts)
+    some = some[np.argsort(left["id"][i[some]], kind="stable")]
+    return i[some], starts[some], (stops - starts)[some]
+
+
+def _products(left: np.ndarray, right: np.ndarray, same: bool) -> np.ndarray:
+    """Pairs of rows in different components whose overlap within all columns of both is enough.
+
+    Row by row, as in a sparse matrix product: the columns of a row are looked up, and the rows found there
+    counted. ``PRODUCT_CELLS`` lookups are made at once; counts of a row that goes on are carried along.
     """
-    p = p[np.argsort(p["col"], kind="stable")]
-    first = np.flatnonzero(np.append(True, p["col"][1:] != p["col"][:-1])) if len(p) else np.zeros(0, dtype=np.int64)
-    last = np.append(first[1:], len(p))
-    lo = np.minimum.reduceat(p["comp"], first) if len(p) else first
-    hi = np.maximum.reduceat(p["comp"], first) if len(p) else first
-    mixed = lo < hi
-    keep = np.repeat(mixed, last - first)
-    group = np.repeat(np.cumsum(mixed) - 1, last - first)[keep]
-    p = p[keep]
-    sizes = (last - first)[mixed]
-    starts = np.cumsum(sizes) - sizes
-    out = []
-    order = np.argsort(p["id"], kind="stable")
-    cuts = np.flatnonzero(np.append(True, p["id"][order][1:] != p["id"][order][:-1])) if len(p) else np.zeros(0, dtype=np.int64)
-    for rows in np.split(order, cuts[1:]) if len(p) else []:
-        x = p[rows[0]]
-        reach = sizes[group[rows]]
-        for part in np.split(rows, np.flatnonzero(np.diff(np.cumsum(reach) // PRODUCT_CELLS)) + 1):
-            n = sizes[group[part]]
-            y = p[np.repeat(starts[group[part]], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
-            y = y[(y["comp"] > x["comp"]) & (4 * np.minimum(y["n"], x["n"]) >= 3 * np.maximum(y["n"], x["n"]))]
-            if len(y):
-                ids, at, count = np.unique(y["id"], return_index=True, return_counts=True)
-                made = np.zeros(len(ids), dtype=_PRODUCT)
-                made["a"], made["b"], made["p"], made["q"], made["c"] = x["id"], ids, x["n"], y["n"][at], count
-                out.append(made)
-    return np.concatenate(out) if out else np.zeros(0, dtype=_PRODUCT)
+    right = right[np.lexsort((right["comp"], right["col"]))]
+    i, starts, n = _foreign(left, right, same)
+    if not len(i):
+        return np.zeros(0, dtype=_PRODUCT)
+    (xs, x_at, x_of), (ys, y_at, y_of) = (np.unique(r["id"], return_index=True, return_inverse=True) for r in (left, right))
+    out, keys, counts = [], np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    parts = np.split(np.arange(len(i)), np.flatnonzero(np.diff(np.cumsum(n) // PRODUCT_CELLS)) + 1)
+    for k, part in enumerate(parts):
+        x, y = np.repeat(i[part], n[part]), _expand(starts[part], n[part])
+        p, q = left["n"][x].astype(np.int64), right["n"][y].astype(np.int64)
+        near = 4 * np.minimum(p, q) >= 3 * np.maximum(p, q)
+        new, count = np.unique(x_of[x[near]] * len(ys) + y_of[y[near]], return_counts=True)
+        keys, back = np.unique(np.concatenate([keys, new]), return_inverse=True)
+        counts = np.bincount(back, weights=np.concatenate([counts, count]), minlength=len(keys)).astype(np.int64)
+        # Whole are the overlaps of all rows but one that the next part goes on with.
+        open_ = x_of[i[part[-1]]] if k + 1 < len(parts) and x_of[i[parts[k + 1][0]]] == x_of[i[part[-1]]] else -1
+        done = keys // len(ys) != open_
+        a, b = x_at[keys[done] // len(ys)], y_at[keys[done] % len(ys)]
+        enough = _enough(left["n"][a].astype(np.int64), right["n"][b].astype(np.int64), counts[done])
+        a, b = left[a[enough]], right[b[enough]]
+        made = np.zeros(len(a), dtype=_PRODUCT)
+        first = a["comp"] < b["comp"]
+        made["a"], made["b"] = np.where(first, a["id"], b["id"]), np.where(first, b["id"], a["id"])
+        out.append(made)
+        keys, counts = keys[~done], counts[~done]
+    return np.concatenate(out)
 
 
 def _enough(p: np.ndarray, q: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """The size-derived bounds on ``c`` common columns of rows of ``p`` and ``q`` (the SQL below says the same)."""
+    """The size-derived bounds on ``c`` common columns of rows of ``p`` and ``q``.
+
+    Beyond the prefixes a pair shares no more than the rest of the row whose prefix ends first.
+    """
     rest = np.maximum(-(-3 * p // 4) - 1 - p // 16, -(-3 * q // 4) - 1 - q // 16)
     return (c >= 1 + np.minimum(p, q) // 16) & (7 * (c + rest) >= 3 * (p + q))
 
 
-_PRODUCT = np.dtype([("a", "<i8"), ("b", "<i8"), ("p", "<i4"), ("q", "<i4"), ("c", "<i4")])
+def _slice_count(costs: np.ndarray, cells: int) -> int:
+    """The least power of two of slices with which a tile holds and makes no more than it should (``costs``: postings sent, by power)."""
+    for k, sent in enumerate(costs.tolist()):
+        tiles = (1 << k) * ((1 << k) + 1) // 2
+        if sent <= PRODUCT_POSTINGS * tiles and cells <= TILE_CELLS * tiles:
+            return 1 << k
+    return 1 << (len(costs) - 1)
 
 
 def _mixed_pairs(reps: DataFrame, component: DataFrame) -> DataFrame:
-    """Distinct ``(a, b)`` in different components that share ``l`` columns or more and may overlap enough."""
+    """Distinct ``(a, b)`` in different components that share ``l`` columns or more and may overlap enough.
+
+    The rows are cut into slices, and the product into tiles of two slices: all columns of a pair meet in
+    one tile, so its overlap is whole there, and a column that many rows share is multiplied in many tiles.
+    """
     held = stored(reps.join(broadcast_if_small(component), reps["rep"] == component["id"]).select("rep", "n", "component", "prefix"), "held")
-    blocks = max(1, int(held.agg(F.sum(F.length("prefix") / 6)).first()[0] or 0) // PRODUCT_POSTINGS)
+    blocks = max(1, int(held.agg(F.sum(F.length("prefix") / 6)).first()[0] or 0) // PACK_POSTINGS)
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for p in _batched(batches, lambda part: _postings(part.column(0), part.column(1), part.column(3).to_pylist(), comps=part.column(2))):
-            yield _packed_batch(_pack(p, blocks))
+    def postings(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        return _batched(batches, lambda part: _postings(part.column(0), part.column(1), part.column(3).to_pylist(), comps=part.column(2)))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for p in postings(batches):
+            yield _packed_batch(_pack(_column_counts(p), blocks))
+
+    def costs(t: pa.Table) -> pa.Table:
+        c = _column_counts(_unpacked(t, "packed", _COLUMN))
+        mixed = c[c["top"] < c["n"]]
+        sent = [int((mixed["n"] * np.minimum(mixed["n"], 1 << k)).sum()) for k in range(_MOST_SLICES + 1)]
+        cells = float(((mixed["n"] - mixed["top"]).astype(float) * (mixed["n"] + mixed["top"])).sum() / 2)
+        hot = c[c["n"] > HOT_ROWS]
+        return pa.table({"sent": pa.array([sent], pa.list_(pa.int64())), "cells": pa.array([cells], pa.float64()), "hot": pa.array([hot.tobytes()], pa.binary())})
+
+    found = held.mapInArrow(count, _PACKED).groupBy("block").applyInArrow(costs, "sent array<long>, cells double, hot binary").collect()
+    t = _slice_count(np.sum([r["sent"] for r in found], axis=0) if found else np.zeros(1, dtype=np.int64), sum(r["cells"] for r in found))
+    hot = np.concatenate([np.frombuffer(bytes(r["hot"]), dtype=_COLUMN) for r in found] or [np.zeros(0, dtype=_COLUMN)])  # at most one per HOT_ROWS postings
+    mixed_hot = np.sort(hot["col"][hot["top"] < hot["n"]])
+    shared = reps.sparkSession.sparkContext.broadcast((np.sort(hot["col"]), mixed_hot))
+
+    def among(values: np.ndarray, columns: np.ndarray) -> np.ndarray:
+        return np.append(columns, columns[-1:])[np.searchsorted(columns, values)] == values if len(columns) else np.zeros(len(values), dtype=bool)
 
-    def product(t: pa.Table) -> pa.Table:
-        rows = _products(_unpacked(t, "packed", _POSTING))
-        if blocks == 1:  # these overlaps are whole: pairs below the bounds need not leave the task
-            rows = rows[_enough(rows["p"].astype(np.int64), rows["q"].astype(np.int64), rows["c"])]
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for p in postings(batches):
+            yield _packed_batch(_pack(p[~among(p["col"], shared.value[0])], blocks))
+
+    def deal(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        for p, tile in _tiles(_unpacked(table, "packed", _POSTING), t):
+            yield from _tile_batches(p, tile)
+
+    def deal_block(table: pa.Table) -> pa.Table:
+        schema = pa.schema([("tile", pa.int64()), ("packed", pa.binary())])
+        return pa.Table.from_batches(list(deal(table)), schema)
+
+    def deal_hot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for p in postings(batches):
+            p = p[among(p["col"], shared.value[1])]
+            at = _slices(p["id"], t)
+            for other in range(t):
+                yield from _tile_batches(p, np.minimum(at, other) * t + np.maximum(at, other))
+
+    def product(table: pa.Table) -> pa.Table:
+        tile = table.column("tile")[0].as_py()
+        p = _unpacked(table, "packed", _POSTING)
+        at = _slices(p["id"], t)
+        rows = _products(p[at == tile // t], p[at == tile % t], tile // t == tile % t)
         return pa.table({k: pa.array(rows[k]) for k in rows.dtype.names})
 
-    made = held.mapInArrow(pack, _PACKED).groupBy("block").applyInArrow(product, "a long, b long, p int, q int, c int")
-    pairs = made.groupBy("a", "b", "p", "q").agg(F.sum("c").alias("c"))
-    # Beyond the prefixes a pair shares no more than the rest of the row whose prefix ends first.
-    rest = F.expr("greatest(ceil(0.75 * p) - 1 - p div 16, ceil(0.75 * q) - 1 - q div 16)")
-    return pairs.where((F.col("c") >= F.expr("1 + least(p, q) div 16")) & (7 * (F.col("c") + rest) >= F.expr("3 * (p + q)"))).select("a", "b")
+    dealt = held.mapInArrow(pack, _PACKED).groupBy("block").applyInArrow(deal_block, "tile long, packed binary")
+    if len(mixed_hot):
+        dealt = dealt.unionByName(held.mapInArrow(deal_hot, "tile long, packed binary"))
+    return dealt.groupBy("tile").applyInArrow(product, "a long, b long")
 
 
 def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:

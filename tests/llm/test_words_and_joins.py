@@ -137,3 +137,18 @@ def test_one_of_each_keeps_columns_and_single_copies(docs):
     frame = docs([(5, text, "s"), (5, text, "s"), (5, text + " q", "s"), (6, text, "t")])
     out = one_of_each(frame)
     assert out.columns == frame.columns and out.count() == 1 and out.select(F.max("doc_id")).first()[0] == 5
+
+
+def test_overlaps_cut_into_parts_are_whole(spark, monkeypatch):
+    """Few lookups at once: a pair that reaches its bound only over several parts is not lost."""
+    import daybook.llm.ngram_join as join
+
+    monkeypatch.setattr(join, "PRODUCT_CELLS", 7)
+    rows = [(i, t) for i, t in near_copies(4) if shingle_set(t)]
+    sets = {i: shingle_set(t) for i, t in rows}
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    reps = join._rows(frame, "doc_id", "text", join.column_sketch(frame, "text")).withColumnRenamed("doc_id", "rep")
+    alone = reps.select(F.col("rep").alias("id"), F.col("rep").alias("component"))
+    pairs = {(r["a"], r["b"]) for r in join._mixed_pairs(reps, alone).collect()}
+    linked = {(i, j) for i in sets for j in sets if i < j and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])}
+    assert len(linked) > 100 and linked <= pairs
