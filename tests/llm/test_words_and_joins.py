@@ -152,3 +152,24 @@ def test_overlaps_cut_into_parts_are_whole(spark, monkeypatch):
     pairs = {(r["a"], r["b"]) for r in join._mixed_pairs(reps, alone).collect()}
     linked = {(i, j) for i in sets for j in sets if i < j and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])}
     assert len(linked) > 100 and linked <= pairs
+
+
+def test_a_frequent_column_is_dealt_out_and_copies_are_not_expanded(spark, monkeypatch):
+    """Linked rows with one foreign row in their column cost a lookup each; a frequent column goes to many tiles."""
+    import daybook.llm.ngram_join as join
+
+    n = 3000
+    p = np.zeros(n + 1, dtype=join._POSTING)
+    p["col"], p["id"], p["n"], p["comp"] = 5, np.arange(n + 1), 20, 1
+    for foreign in (0, 2):
+        p["comp"][n] = foreign
+        assert join._foreign(p, p[np.lexsort((p["comp"], p["col"]))], True)[2].sum() == n
+    p["comp"] = p["id"]
+    sent = list(join._tiles(p, 4))
+    tiles = np.concatenate([tile for _, tile in sent])
+    assert len(set(tiles.tolist())) == 10 and np.bincount(tiles).max() < 0.6 * n
+    for name, value in (("HOT_ROWS", 5), ("TILE_CELLS", 300), ("PACK_POSTINGS", 400)):
+        monkeypatch.setattr(join, name, value)
+    rows = near_copies(8)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: r["component_id"] for r in jaccard_classes(frame).collect()} == {k: v[1] for k, v in brute_classes(rows).items()}
