@@ -2,10 +2,10 @@
 
 Lines are normalised (ASCII lower case, digits as 0, runs of white space as
 one space) and hashed. For every host (the document's source) the distinct
-documents of every line are counted; documents that share their smallest
-shingle hash count as one, so that copies and most near copies of one document
-do not turn its lines into boilerplate. A line is above the limit where more
-than ``max(min_docs, share * distinct documents of the host)`` hold it. Those
+documents of every line are counted; documents of the same normalised words
+count as one, so that copies of one document do not turn its lines into
+boilerplate. A line is above the limit where more than
+``max(min_docs, share * distinct documents of the host)`` hold it. Those
 lines are removed; a document that loses more than ``max_removed`` of its
 words, or fails a base rule, is rejected.
 """
@@ -69,7 +69,9 @@ def _text_stats(column: pa.Array) -> Iterator[tuple]:
         symbols = np.concatenate([[0], np.cumsum(_SYMBOL[data])])
         windows = window_hashes(h, 3)
         folded = hash_spans(_DIGITS[data], starts, stops, lower=True)
-        whole = window_hashes(folded, 5)
+        place = (np.arange(len(starts)) - np.repeat(firsts[:-1], np.diff(firsts))).astype(np.uint64)
+        sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(mix64(folded + mix64(place)), dtype=np.uint64)])
+        kinds = mix64(sums[firsts[1:]] - sums[firsts[:-1]]).view(np.int64)
         begin, end = _line_spans(data, offsets)
         line_of = np.searchsorted(begin, starts, side="right") - 1
         lines, first = np.unique(line_of, return_index=True)
@@ -83,14 +85,13 @@ def _text_stats(column: pa.Array) -> Iterator[tuple]:
             n = b - a
             la, lb = int(text_line[i]), int(text_line[i + 1])
             own, back = np.unique(normal[la:lb], return_inverse=True)
-            kind = whole[a : b - 4].min() if n >= 5 else mix64(np.add.reduce(folded[a:b], keepdims=True))[0]
             yield (
                 n,
                 int(word_chars[b] - word_chars[a]),
                 int(symbols[offsets[i + 1]] - symbols[offsets[i]]),
                 lb - la - len(np.unique(raw[la:lb])),
                 _repeated(windows[a : b - 2] if n >= 3 else windows[:0], n),
-                int(kind.astype(np.int64)),
+                int(kinds[i]),
                 own.view(np.int64),
                 np.bincount(back, weights=count[la:lb], minlength=len(own)).astype(np.int32),
             )

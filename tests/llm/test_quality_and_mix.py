@@ -62,6 +62,17 @@ def test_lines_above_the_limit(docs):
     assert got[400]["n_removed"] == 80 and got[400]["n_words"] == 140 and not got[400]["kept"] and not got[400]["base_failed"]
 
 
+def test_documents_of_common_lines_count_one_by_one(docs):
+    """Ninety documents that are mostly one block, and twenty orders of the block's lines alone: all are rejected."""
+    block = [" ".join(f"b{letters(10 * k + j)}" for j in range(6)) for k in range(15)]
+    rows = [(i, "\n".join([*block, " ".join(f"own{letters(i)}x{letters(j)}" for j in range(10))]), "h") for i in range(90)]
+    rows += [(200 + i, "\n".join(block[i:] + block[:i]), "h") for i in range(15)]
+    rows += [(400 + i, "\n".join(block[:12]).upper(), "few") for i in range(60)]  # copies are one document
+    got = {r["doc_id"]: r for r in quality_rules(docs(rows)).collect()}
+    assert all(got[i]["n_removed"] == 90 and not got[i]["kept"] and not got[i]["base_failed"] for i in [*range(90), *range(200, 215)])
+    assert all(got[i]["n_removed"] == 0 and got[i]["kept"] for i in range(400, 460))
+
+
 def test_keep_good_removes_lines_and_documents(docs):
     frame = docs([*common_rows(), (None, " ".join(f"n{letters(k)}" for k in range(70)), None), (None, None, None)]).withColumn("n_chars", F.length("text").cast("long"))
     kept = keep_good(frame)
