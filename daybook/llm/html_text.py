@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import html
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -27,8 +28,6 @@ from daybook.llm.tables import broadcast_if_small, stored
 #: Importance under which a branch is removed, and the distinct pages needed to judge it.
 THRESHOLD = 0.25
 MIN_PAGES = 8
-#: Nodes nested deeper count as part of their ancestor at this depth.
-MOST_DEPTH = 300
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset(
@@ -103,6 +102,7 @@ def parse(page: str | None) -> Node:
     """A tolerant DOM of the blocks of a page; formatting tags leave no node, unless they are marked as chrome."""
     root = Node("#", "#", None)
     stack, articles, link = [root], 0, 0
+    open_: dict[str, list[int]] = {}  # where the open elements of a tag are in the stack
     page = page or ""
     at, end = 0, len(page)
 
@@ -110,6 +110,7 @@ def parse(page: str | None) -> Node:
         nonlocal articles
         for node in stack[k:]:
             articles -= node.prior == 1
+            open_[node.tag].pop()
         del stack[k:]
 
     def add(text: str) -> None:
@@ -131,9 +132,8 @@ def parse(page: str | None) -> Node:
         if m.group(1):
             if tag == "a":
                 link = 0
-            k = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
-            if k:
-                pop_to(k)
+            if open_.get(tag):
+                pop_to(open_[tag][-1])
             elif tag in ("br", "p") and tag not in _INLINE:
                 add(" ")
             continue
@@ -154,74 +154,101 @@ def parse(page: str | None) -> Node:
             k = len(stack) - 1
             if stack[k].tag == "p":
                 pop_to(k)
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k].tag in _SCOPE.get(tag, ()):
-                break
-            if stack[k].tag in _CLOSED_BY.get(tag, ()):
-                pop_to(k)
+        if tag in _CLOSED_BY:
+            scope = max((open_[t][-1] for t in _SCOPE[tag] if open_.get(t)), default=0)
+            closed = [held[bisect_right(held, scope)] for t in _CLOSED_BY[tag] if (held := open_.get(t)) and held[-1] > scope]
+            if closed:
+                pop_to(min(closed))
         if m.group(3).rstrip().endswith("/") and tag not in _CLOSES_P:
             continue
-        if len(stack) > MOST_DEPTH:
-            continue
         names = _names(attrs)
         sig = tag + ("." + re.sub(r"\d+", "0", names[0]) if names else "")
         node = Node(tag, sig, prior)
         stack[-1].items.append(node)
+        open_.setdefault(tag, []).append(len(stack))
         stack.append(node)
         articles += prior == 1
     return root
 
 
-def _is_menu(node: Node) -> bool:
-    """A list whose text nearly all stands in links."""
-    if node.tag not in ("ul", "ol"):
-        return False
-    links = chars = 0
-    todo = [node]
+def _bottom_up(root: Node) -> list[Node]:
+    """All nodes, those below before those above; an explicit stack, since pages may nest deeply."""
+    out, todo = [], [root]
     while todo:
-        x = todo.pop()
-        links += x.links
-        for item in x.items:
+        node = todo.pop()
+        out.append(node)
+        todo += [x for x in node.items if not isinstance(x, str)]
+    return out[::-1]
+
+
+def _menus(root: Node) -> set[int]:
+    """``id`` of the lists whose text nearly all stands in links."""
+    sums: dict[int, tuple[int, int]] = {}
+    menus = set()
+    for node in _bottom_up(root):
+        links, chars = node.links, 0
+        for item in node.items:
             if isinstance(item, str):
                 chars += len(item.strip())
             else:
-                todo.append(item)
-    return chars > 0 and links > 0.8 * chars
+                more = sums.pop(id(item))
+                links, chars = links + more[0], chars + more[1]
+        sums[id(node)] = links, chars
+        if node.tag in ("ul", "ol") and chars > 0 and links > 0.8 * chars:
+            menus.add(id(node))
+    return menus
 
 
 def _digest(*parts: str) -> int:
     return int.from_bytes(hashlib.blake2b("\0".join(parts).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
 
 
+#: Texts are compared by their bytes as a number modulo this prime, which adds up over the nodes below.
+_PRIME = (1 << 128) - 159
+
+
 def node_features(page: str | None) -> list[tuple[int, int, int]]:
     """``(path, presentation, content)`` digests of the unmarked nodes of a page, merged by path."""
-    found: dict[int, list[list[str]]] = {}
-
-    def walk(node: Node, path: int) -> str:
-        texts, styles = [], []
+    root = parse(page)
+    nodes: list[tuple[Node, int]] = []  # as they open
+    todo = [(root, 0)]
+    while todo:
+        node, path = todo.pop()
+        nodes.append((node, path))
+        todo += [(x, _digest(str(path), x.sig)) for x in reversed(node.items) if not isinstance(x, str) and x.prior != 0]
+    texts: dict[int, tuple[int, int]] = {}  # of a node: its text modulo the prime, and its length
+    ended: list[tuple[int, str, str]] = []
+    for node, path in reversed(nodes):
+        number, size, styles = 0, 0, []
         for item in node.items:
             if isinstance(item, str):
-                if item := " ".join(item.split()):
-                    texts.append(item)
-                    styles.append("#text")
+                if not (item := " ".join(item.split())):
+                    continue
+                data = (item + " ").encode("utf-8", "surrogatepass")
+                more, length = int.from_bytes(data, "big") % _PRIME, len(data)
+                styles.append("#text")
             elif item.prior != 0:
-                texts.append(walk(item, _digest(str(path), item.sig)))
+                more, length = texts.pop(id(item))
                 styles.append(item.sig)
-        style = ">".join(s for i, s in enumerate(styles) if i == 0 or s != styles[i - 1] or s == "#text")
-        text = " ".join(texts)
+            else:
+                continue
+            number, size = (number * pow(256, length, _PRIME) + more) % _PRIME, size + length
+        texts[id(node)] = number, size
         if node.tag not in ("#", "html", "body") and node.prior is None:
-            held = found.setdefault(path, [[], []])
-            held[0].append(style)
-            held[1].append(text)
-        return text
-
-    walk(parse(page), 0)
+            style = ">".join(s for i, s in enumerate(styles) if i == 0 or s != styles[i - 1] or s == "#text")
+            ended.append((path, style, f"{size}:{number}"))
+    found: dict[int, list[list[str]]] = {}
+    for path, style, text in reversed(ended):
+        held = found.setdefault(path, [[], []])
+        held[0].append(style)
+        held[1].append(text)
     return [(path, _digest(*s), _digest(*t)) for path, (s, t) in found.items()]
 
 
 def main_text(page: str | None, removed: frozenset[int] | set[int] = frozenset()) -> str:
     """Text of the blocks that stay, joined by line breaks."""
     root = parse(page)
+    menus = _menus(root)
     todo, has_article = [root], False
     while todo:
         node = todo.pop()
@@ -252,7 +279,7 @@ def main_text(page: str | None, removed: frozenset[int] | set[int] = frozenset()
         if item.prior == 0 and item.tag in _INLINE:
             continue
         flush()
-        if item.prior == 0 or not (inside and has_article) and _is_menu(item):
+        if item.prior == 0 or not (inside and has_article) and id(item) in menus:
             continue
         below = _digest(str(path), item.sig)
         if item.prior != 1 and below in removed:

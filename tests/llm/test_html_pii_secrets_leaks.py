@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from daybook.llm.decontaminate import MASKS, best_stretch, contamination, drop_contaminated, needed_words
-from daybook.llm.html_text import extract_text, main_text, style_tree
+from daybook.llm.html_text import extract_text, main_text, node_features, style_tree
 from daybook.llm.pii import ANY, replace_pii, surrogates
 from daybook.llm.secrets import Crf, all_spans, fit_crf, redact, redact_secrets, scan, scan_secrets, training_sequences
 
@@ -38,6 +38,15 @@ def test_odd_pages(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize("depth", [290, 400, 30_000])
+def test_deep_pages_keep_their_blocks(depth):
+    nest = "<div>" * depth + "<p>in</p><aside>menu</aside><form>f</form><p>two</p>" + "</div>" * depth
+    page = f"<body><div><article><div>{nest}</div><p>after</p></article>out</div></body>"
+    assert main_text(page) == "in\ntwo\nafter"
+    assert main_text("<ul><li>" * depth + "t" + "</ul>" * depth + "<p>z") == "t\nz"
+    assert len(node_features(page)) >= depth and node_features(page) != node_features(page.replace("two", "2"))
+
+
 def test_style_tree_removes_what_a_host_repeats(spark):
     def page(i, host):
         words = f"text {i} " + "x" * i
