@@ -8,7 +8,10 @@ of the number of pages: 0 where every page shows the same, 1 where all differ.
 A node's importance is the larger of the two. Marked branches (menus, headers,
 footers, forms, ...) have importance 0, marked articles 1; branches below the
 threshold are removed from each page, and where a page has a marked article,
-what stands outside it is removed as well.
+what stands outside it is removed as well. Where few pages have a node, it is
+removed if its text is the same on all of them: the fewer they are, the longer
+that text has to be, and it must be the smaller part of the page's text, so
+that near copies of one page do not lose what they say.
 """
 
 from __future__ import annotations
@@ -25,9 +28,11 @@ from pyspark.sql import functions as F
 
 from daybook.llm.tables import broadcast_if_small, stored
 
-#: Importance under which a branch is removed, and the distinct pages needed to judge it.
+#: Importance under which a branch is removed, and the distinct pages needed to judge it by that.
 THRESHOLD = 0.25
 MIN_PAGES = 8
+#: With fewer pages: bytes that all pages after the first repeat, taken together.
+REPEATED_BYTES = 60
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset(
@@ -207,8 +212,8 @@ def _digest(*parts: str) -> int:
 _PRIME = (1 << 128) - 159
 
 
-def node_features(page: str | None) -> list[tuple[int, int, int]]:
-    """``(path, presentation, content)`` digests of the unmarked nodes of a page, merged by path."""
+def node_features(page: str | None) -> list[tuple[int, int, int, int]]:
+    """``(path, presentation, content)`` digests of the unmarked nodes of a page, merged by path, and the bytes of their text."""
     root = parse(page)
     nodes: list[tuple[Node, int]] = []  # as they open
     todo = [(root, 0)]
@@ -217,7 +222,7 @@ def node_features(page: str | None) -> list[tuple[int, int, int]]:
         nodes.append((node, path))
         todo += [(x, _digest(str(path), x.sig)) for x in reversed(node.items) if not isinstance(x, str) and x.prior != 0]
     texts: dict[int, tuple[int, int]] = {}  # of a node: its text modulo the prime, and its length
-    ended: list[tuple[int, str, str]] = []
+    ended: list[tuple[int, str, str, int]] = []
     for node, path in reversed(nodes):
         number, size, styles = 0, 0, []
         for item in node.items:
@@ -236,13 +241,12 @@ def node_features(page: str | None) -> list[tuple[int, int, int]]:
         texts[id(node)] = number, size
         if node.tag not in ("#", "html", "body") and node.prior is None:
             style = ">".join(s for i, s in enumerate(styles) if i == 0 or s != styles[i - 1] or s == "#text")
-            ended.append((path, style, f"{size}:{number}"))
-    found: dict[int, list[list[str]]] = {}
-    for path, style, text in reversed(ended):
-        held = found.setdefault(path, [[], []])
-        held[0].append(style)
-        held[1].append(text)
-    return [(path, _digest(*s), _digest(*t)) for path, (s, t) in found.items()]
+            ended.append((path, style, f"{size}:{number}", size))
+    found: dict[int, list[list]] = {}
+    for path, *values in reversed(ended):
+        for held, value in zip(found.setdefault(path, [[], [], []]), values, strict=True):
+            held.append(value)
+    return [(path, _digest(*s), _digest(*t), sum(n)) for path, (s, t, n) in found.items()]
 
 
 def main_text(page: str | None, removed: frozenset[int] | set[int] = frozenset()) -> str:
@@ -288,8 +292,19 @@ def main_text(page: str | None, removed: frozenset[int] | set[int] = frozenset()
     return "\n".join(blocks)
 
 
+def small_host_text(page: str | None, removed: set[int], repeated: set[int]) -> str:
+    """The main text without ``removed`` branches, and without ``repeated`` ones where these are less than half of it."""
+    text = main_text(page, removed)
+    if not repeated:
+        return text
+    less = main_text(page, removed | repeated)
+    return less if 2 * len(less) > len(text) else text
+
+
 def style_tree(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``(host, path, pages, importance)`` of every unmarked node of every host's tree.
+    """``(host, path, pages, importance, same, size)`` of every unmarked node of every host's tree.
+
+    ``same``: whether all pages have the same text there; ``size``: the bytes of the longest.
 
     Pages with the same content digest at a node and the same page digest count once, so that copies of a page are one page.
     """
@@ -298,21 +313,21 @@ def style_tree(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
         for batch in batches:
             for part in (batch.slice(i, 500) for i in range(0, batch.num_rows, 500)):
                 out = [(h, _digest(*map(str, sum(f, ()))), *x) for h, p in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True) if (f := node_features(p)) for x in f]
-                columns = list(zip(*out, strict=True)) or [[]] * 5
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.string()] + [pa.int64()] * 4, strict=True)], names=["host", "page", "path", "style", "content"])
+                columns = list(zip(*out, strict=True)) or [[]] * 6
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.string()] + [pa.int64()] * 5, strict=True)], names=["host", "page", "path", "style", "content", "size"])
 
-    nodes = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html")).mapInArrow(rows, "host string, page long, path long, style long, content long")
+    nodes = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html")).mapInArrow(rows, "host string, page long, path long, style long, content long, size long")
     nodes = stored(nodes.distinct(), "nodes")
 
     def entropy(column: str) -> DataFrame:
         # Counts first: whatever many pages share is one row before it meets its host.
-        counts = nodes.groupBy("host", "path", column).agg(F.count("*").alias("c"))
-        sums = counts.groupBy("host", "path").agg(F.sum("c").alias("pages"), F.sum(F.col("c") * F.log2("c")).alias("s"))
+        counts = nodes.groupBy("host", "path", column).agg(F.count("*").alias("c"), F.max("size").alias("size"))
+        sums = counts.groupBy("host", "path").agg(F.sum("c").alias("pages"), F.sum(F.col("c") * F.log2("c")).alias("s"), F.count("*").alias("kinds"), F.max("size").alias("size"))
         bits = F.log2("pages") - F.col("s") / F.col("pages")
-        return sums.select("host", "path", "pages", F.when(F.col("pages") > 1, bits / F.log2("pages")).otherwise(1.0).alias(column))
+        return sums.select("host", "path", "pages", (F.col("kinds") == 1).alias("same"), "size", F.when(F.col("pages") > 1, bits / F.log2("pages")).otherwise(1.0).alias(column))
 
-    both = entropy("style").join(entropy("content").drop("pages"), ["host", "path"])
-    return both.select("host", "path", "pages", F.greatest("style", "content").alias("importance"))
+    both = entropy("style").drop("pages", "same", "size").join(entropy("content"), ["host", "path"])
+    return both.select("host", "path", "pages", F.greatest("style", "content").alias("importance"), "same", "size")
 
 
 def host_of(url) -> F.Column:
@@ -326,17 +341,19 @@ def extract_text(
 
     A null or empty html has the empty text; a url without a host belongs to the host ''; equal rows all come back.
     """
-    low = style_tree(pages, url_col, html_col).where((F.col("pages") >= min_pages) & (F.col("importance") < threshold))
+    few = F.col("pages") < min_pages
+    repeated = F.col("same") & ((F.col("pages") - 1) * F.col("size") >= REPEATED_BYTES)
+    low = style_tree(pages, url_col, html_col).where(F.when(few, repeated).otherwise(F.col("importance") < threshold))
     # Paths that are removed on a host; their number grows with its templates, not with its pages.
-    removed = stored(low.groupBy("host").agg(F.collect_list("path").alias("removed")), "removed")
+    removed = stored(low.groupBy("host").agg(F.collect_list(F.when(~few, F.col("path"))).alias("removed"), F.collect_list(F.when(few, F.col("path"))).alias("repeated")), "removed")
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    rows = rows.withColumn("host", host_of(F.col("url"))).join(broadcast_if_small(removed), "host", "left").select("page_id", "url", "html", "removed")
+    rows = rows.withColumn("host", host_of(F.col("url"))).join(broadcast_if_small(removed), "host", "left").select("page_id", "url", "html", "removed", "repeated")
     types = rows.schema
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in (batch.slice(i, 500) for i in range(0, batch.num_rows, 500)):
-                out = [main_text(p, set(r or ())) for p, r in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)]
+                out = [small_host_text(p, set(r or ()), set(few or ())) for p, r, few in zip(*(part.column(k).to_pylist() for k in (2, 3, 4)), strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(out, pa.string()), pa.array([len(x) for x in out], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     return rows.mapInArrow(texts, f"page_id {types['page_id'].dataType.simpleString()}, url {types['url'].dataType.simpleString()}, text string, n_chars long")

@@ -65,6 +65,21 @@ def test_style_tree_removes_what_a_host_repeats(spark):
     assert extract_text(df.limit(0)).count() == 0
 
 
+def test_small_hosts_lose_what_all_their_pages_repeat(spark):
+    notice = "This site is run by volunteers and pays for itself, please send us a letter."
+
+    def page(i, host, top):
+        return (i, f"http://{host}/p{i}", f"<body><div class=x>{top}</div><div class=body><p>{f'words of page {i} ' * 9}</p></div></body>")
+
+    rows = [page(10 * n + i, f"h{n}.example", notice) for n in (1, 2, 3, 7) for i in range(n)]
+    story = "<p>" + "the same story on two pages " * 9 + "</p>"
+    rows += [(100 + i, "http://twice.example/", f"<body><div>{story}</div><p>at {i}</p></body>") for i in range(2)]
+    got = {r["page_id"]: r["text"] for r in extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert notice in got[10]  # a single page says nothing
+    assert not [i for i in got if 20 <= i < 100 and notice in got[i]] and all(f"words of page {i}" in got[i] for i in got if i < 100)
+    assert all("the same story" in got[i] for i in (100, 101))
+
+
 TEXTS = [
     "Mail Bob.Jones@Mail7.example.com, bob.jones@mail7.example.com or élé.34@mail4.example.com.",
     "Call +1 (974) 555-3436 or +1 974 555 3436; card 4844 1681 1440 7329, 4844168114407329; ip 97.51.17.173.",
