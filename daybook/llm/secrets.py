@@ -95,12 +95,12 @@ def _shape(token: str) -> str:
 
 
 def file_features(text: str, n_tokens: int) -> list[str]:
-    head = text[:2000]
+    """Marks of code, tables and assignments anywhere in the text."""
     return [
-        f"f:assigns={min(3, head.count(' = '))}",
-        f"f:table={' | ' in head}",
+        f"f:assigns={min(3, text.count(' = '))}",
+        f"f:table={' | ' in text}",
         f"f:many={min(4, n_tokens.bit_length())}",
-        f"f:code={'{' in head or ';' in head}",
+        f"f:code={'{' in text or ';' in text}",
     ]
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from daybook.llm.decontaminate import MASKS, best_stretch, contamination, drop_contaminated, needed_words
 from daybook.llm.html_text import extract_text, main_text, node_features, style_tree
 from daybook.llm.pii import ANY, replace_pii, surrogates
-from daybook.llm.secrets import Crf, all_spans, fit_crf, redact, redact_secrets, scan, scan_secrets, training_sequences
+from daybook.llm.secrets import Crf, all_spans, file_features, fit_crf, redact, redact_secrets, scan, scan_secrets, training_sequences
 
 PAGE = """<!DOCTYPE html><html><head><title>T &amp; t</title><style>p{margin:0}</style><script>var t="</p>";</script></head>
 <body class="ad-free has-sidebar"><header><h1>Site</h1></header><nav><ul><li><a href="/a">Home</a></ul></nav><!-- ad -->
@@ -192,6 +192,12 @@ def test_the_field_generalises():
     assert not any(found(f"in 2024-0{i % 9 + 1}-11 file_name_{i}.txt and call {i}5551234567") for i in range(20))
 
 
+def test_file_features_see_the_whole_text():
+    prose = "plain words " * 1000
+    for mark in ("a = b", "x | y", "f() {", "end;"):
+        assert file_features(prose + mark, 3) == file_features(mark + prose, 3) != file_features(prose, 3)
+
+
 def passages(seed=6):
     draw = random.Random(seed)
     vocabulary = [f"w{i}x" for i in range(400)]
