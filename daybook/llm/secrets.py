@@ -3,10 +3,12 @@
 The base patterns find assignments, access keys and hexadecimal runs. The CRF
 tags tokens as begin, inside or outside of a secret from their shape, the words
 beside them and features of the file, and is decoded by Viterbi; its spans are
-added where no base span is. Tokens are runs of ``[A-Za-z0-9+/_.=-]``. Only
-runs of eight or more characters with a digit or one of ``+/_=`` can be part of
-a secret: in the lattice every other token is fixed to outside, in training and
-decoding alike, so a text falls into short chains that are decoded exactly.
+added where no base span is. Tokens are runs of ``[A-Za-z0-9+/_.=-]``, and a
+chain has those of a line. Part of a secret can be every token that follows a
+hint word, an assignment mark or a quote, that changes case twice, or that has
+16 characters, or eight and a digit or one of ``+/_=``. All others are fixed to
+outside, in training and decoding alike; what stands between two free tokens
+then counts as one outside token, which changes no path and no likelihood.
 """
 
 from __future__ import annotations
@@ -43,6 +45,10 @@ _VALUE = np.zeros(256, dtype=bool)
 _VALUE[[ord(c) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"]] = True
 _STRONG = np.zeros(256, dtype=bool)
 _STRONG[[ord(c) for c in "0123456789+/_="]] = True
+_QUOTE = np.zeros(256, dtype=bool)
+_QUOTE[[ord(c) for c in "\"'`"]] = True
+_ALNUM = _VALUE.copy()
+_ALNUM[[ord(c) for c in "+/_.=-"]] = False
 _HINTS = ("password", "passwd", "pwd", "secret", "token", "key", "apikey", "api_key", "auth", "bearer", "credential", "credentials", "private")
 
 
@@ -59,17 +65,45 @@ def _runs(mask: np.ndarray, offsets: np.ndarray, least: int) -> tuple[np.ndarray
     return starts[long], stops[long]
 
 
+_HINT_WORD = re.compile(rb"(?<![A-Za-z])(?:" + "|".join(sorted(_HINTS, key=len, reverse=True)).encode() + rb")(?![A-Za-z])")
+
+
+def _free_tokens(data: np.ndarray, offsets: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which of the value runs ``a .. b`` can be part of a secret."""
+    def total(mask):
+        return np.concatenate([[0], np.cumsum(mask)])
+
+    if not len(a):
+        return np.zeros(0, dtype=bool)
+    size, at = b - a, np.arange(len(data))
+    strong, alnum = total(_STRONG[data]), total(_ALNUM[data])
+    upper, lower = (data >= 65) & (data <= 90), (data >= 97) & (data <= 122)
+    humps = total(np.append(lower[:-1] & upper[1:], False))
+    text_start = offsets[np.searchsorted(offsets, a, side="right") - 1]
+    # The last byte before a token that is neither blank nor quote, and the start of its line.
+    before = np.maximum.accumulate(np.where((data != 32) & ~_QUOTE[data], at, -1))[np.maximum(a - 1, 0)]
+    assigned = (before >= text_start) & (a > text_start) & ((data[before] == ord(":")) | (data[before] == ord("=")))
+    quote = (a > text_start) & _QUOTE[data[np.maximum(a - 1, 0)]]
+    quoted = quote & ~((a - 1 > text_start) & _ALNUM[data[np.maximum(a - 2, 0)]])
+    line_start = np.maximum(np.maximum.accumulate(np.where(data == 10, at + 1, 0))[np.maximum(a - 1, 0)], text_start)
+    low = np.where(upper, data + 32, data).astype(np.uint8).tobytes()
+    ends = np.array([-100] + [m.end() for m in _HINT_WORD.finditer(low)], dtype=np.int64)
+    last = ends[np.searchsorted(ends, a, side="right") - 1]
+    hinted = (last >= line_start) & (a - last <= 40)
+    long = (size >= 8) & (strong[b] > strong[a]) | (size >= 16) | (humps[np.maximum(b - 1, 0)] - humps[a] >= 2)
+    return (alnum[b] > alnum[a]) & (long | assigned | quoted | hinted)
+
+
 def scan(column: pa.Array) -> Iterator[tuple[str, list, list]]:
-    """``(text, hex runs, candidate tokens)`` of every row; spans count code points."""
+    """``(text, hex runs, free tokens)`` of every row; spans count code points."""
     texts = column.to_pylist()
     for first, data, offsets in text_slices(column):
-        strong = np.concatenate([[0], np.cumsum(_STRONG[data])])
         points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
         found = []
-        for kind, mask, least in ((0, _HEX, 16), (1, _VALUE, 8)):
+        for kind, mask, least in ((0, _HEX, 16), (1, _VALUE, 1)):
             a, b = _runs(mask[data], offsets, least)
             if kind:
-                held = strong[b] > strong[a]
+                held = _free_tokens(data, offsets, a, b)
                 a, b = a[held], b[held]
             text_of = np.searchsorted(offsets, a, side="right") - 1
             base = points[offsets[text_of]]
@@ -125,24 +159,42 @@ def token_features(text: str, a: int, b: int, file: list[str]) -> list[str]:
     ]
 
 
-def chains(text: str, tokens: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
-    """Candidate tokens, trimmed, grouped where nothing but blanks and marks stands between them."""
-    out: list[list[tuple[int, int]]] = []
+_WORD = re.compile(r"[A-Za-z0-9]")
+_WORD_OR_END = re.compile(r"[A-Za-z0-9\n]")
+
+
+def chains(text: str, tokens: list[tuple[int, int]]) -> list[list[tuple[int, int] | None]]:
+    """Free tokens, trimmed, line by line; None stands for the outside tokens before, between and after them."""
+    out: list[list[tuple[int, int] | None]] = []
+    end = -1
+
+    def close() -> None:
+        if out and (m := _WORD_OR_END.search(text, end)) and m.group(0) != "\n":
+            out[-1].append(None)
+
     for a, b in tokens:
         while b > a and text[b - 1] in ".-":
             b -= 1
         while a < b and text[a] in ".-=":
             a += 1
-        if b - a < 8:
+        if a == b:
             continue
-        between = text[out[-1][-1][1] : a] if out else "x"
-        if len(between) <= 4 and not any(c.isalnum() for c in between):
-            out[-1].append((a, b))
-        else:
-            out.append([(a, b)])
+        if not out or text.find("\n", end, a) >= 0:
+            close()
+            out.append([])
+            end = text.rfind("\n", 0, a) + 1
+        if _WORD.search(text, end, a):
+            out[-1].append(None)
+        out[-1].append((a, b))
+        end = b
+    close()
     return out
 
 
+#: Score of the tags of outside tokens.
+_OUTSIDE = np.array([0.0, -1e6, -1e6])
+
+
 @dataclass
 class Crf:
     """Weights of a three-tag chain: 0 outside, 1 begin, 2 inside (only after begin or inside)."""
@@ -150,12 +202,12 @@ class Crf:
     weights: dict[str, np.ndarray]
     moves: np.ndarray  # from tag (row 3: the start) to tag
 
-    def emissions(self, features: list[list[str]]) -> np.ndarray:
+    def emissions(self, features: list[list[str] | None]) -> np.ndarray:
         zero = np.zeros(3)
-        return np.array([np.sum([self.weights.get(f, zero) for f in fs], axis=0) for fs in features])
+        return np.array([_OUTSIDE if fs is None else np.sum([self.weights.get(f, zero) for f in fs], axis=0) for fs in features])
 
-    def decode(self, features: list[list[str]]) -> list[int]:
-        """Viterbi."""
+    def decode(self, features: list[list[str] | None]) -> list[int]:
+        """Viterbi; a token without features is outside."""
         e = self.emissions(features)
         best, back = self.moves[3] + e[0], []
         for x in e[1:]:
@@ -173,72 +225,74 @@ def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
     return (top + np.log(np.exp(x - top).sum(axis=axis, keepdims=True))).squeeze(axis)
 
 
-def fit_crf(sequences: list[tuple[list[list[str]], list[int]]], epochs: int = EPOCHS, rate: float = 0.3, decay: float = 1e-3) -> Crf:
+def fit_crf(sequences: list[tuple[list[list[str] | None], list[int]]], epochs: int = EPOCHS, rate: float = 0.3, decay: float = 1e-3) -> Crf:
     """Maximum likelihood by gradient steps (Adagrad, weight decay) over the sequences, in a fixed order."""
-    model = Crf({}, np.zeros((4, 3)))
-    model.moves[3, 2] = model.moves[0, 2] = -1e6  # inside needs a begin
-    sums: dict[str, np.ndarray] = {}
+    number: dict[str, int] = {}
+    numbered = [([None if fs is None else np.array([number.setdefault(f, len(number)) for f in dict.fromkeys(fs)]) for fs in features], tags) for features, tags in sequences]
+    weights, sums = np.zeros((len(number), 3)), np.full((len(number), 3), 1e-6)
+    moves = np.zeros((4, 3))
+    moves[3, 2] = moves[0, 2] = -1e6  # inside needs a begin
     move_sum = np.full((4, 3), 1e-6)
+    free = moves > -1e5
     order = list(range(len(sequences)))
     shuffle = random.Random(9)
     for _ in range(epochs):
         shuffle.shuffle(order)
         for i in order:
-            features, tags = sequences[i]
-            e, n = model.emissions(features), len(tags)
-            forward, backward = [model.moves[3] + e[0]], [np.zeros(3)]
+            features, tags = numbered[i]
+            e, n = np.array([_OUTSIDE if fs is None else weights[fs].sum(axis=0) for fs in features]), len(tags)
+            forward, backward = [moves[3] + e[0]], [np.zeros(3)]
             for x in e[1:]:
-                forward.append(_logsum(forward[-1][:, None] + model.moves[:3], 0) + x)
+                forward.append(_logsum(forward[-1][:, None] + moves[:3], 0) + x)
             for x in e[:0:-1]:
-                backward.append(_logsum(model.moves[:3] + x + backward[-1], 1))
+                backward.append(_logsum(moves[:3] + x + backward[-1], 1))
             backward.reverse()
             whole = _logsum(forward[-1], 0)
             step = np.zeros((4, 3))
             for k in range(n):
                 push = -np.exp(forward[k] + backward[k] - whole)
                 push[tags[k]] += 1
-                for f in features[k]:
-                    w = model.weights.setdefault(f, np.zeros(3))
-                    s = sums.setdefault(f, np.full(3, 1e-6))
-                    g = push - decay * w
-                    s += g * g
-                    w += rate * g / np.sqrt(s)
+                if (fs := features[k]) is not None:
+                    g = push - decay * weights[fs]
+                    sums[fs] += g * g
+                    weights[fs] += rate * g / np.sqrt(sums[fs])
                 if k == 0:
                     step[3] += push
                 else:
-                    pair = np.exp(forward[k - 1][:, None] + model.moves[:3] + e[k] + backward[k] - whole)
+                    pair = np.exp(forward[k - 1][:, None] + moves[:3] + e[k] + backward[k] - whole)
                     step[:3] -= pair
                     step[tags[k - 1], tags[k]] += 1
-            free = model.moves > -1e5
             move_sum += step * step
-            model.moves[free] += (rate * step / np.sqrt(move_sum))[free]
-    return model
+            moves[free] += (rate * step / np.sqrt(move_sum))[free]
+    return Crf({f: weights[i] for f, i in number.items()}, moves)
 
 
-_ALPHABETS = ("0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
+_ALPHABETS = ("0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
 
 
-def training_sequences(texts: list[str | None]) -> list[tuple[list[list[str]], list[int]]]:
+def training_sequences(texts: list[str | None]) -> list[tuple[list[list[str] | None], list[int]]]:
     """Chains of the texts, tagged by the base patterns.
 
     An assignment is met once as it stands and once with its value redrawn from another alphabet
     and its key word replaced, so that the field learns shape and neighbours, not the patterns.
-    Digit runs alone (card numbers, which the hex pattern takes too) teach nothing and are left out.
+    Of an assignment the value is tagged. Digit runs alone that the hex pattern takes (card numbers
+    among them) teach nothing and count as outside tokens.
     """
     draw = random.Random(7)
     out = []
 
     def add(text: str, hex_runs, tokens) -> None:
-        spans = base_spans(text, hex_runs)
+        spans = [(a, b) for a, kind, b in base_spans(text, hex_runs) if kind]
+        spans += [m.span(2) for m in ASSIGN.finditer(text) if len(m.group(2)) >= 12]
         file = file_features(text, len(tokens))
         for chain in chains(text, tokens):
             tags: list[int] = []
-            if any(text[a:b].isdigit() for a, b in chain):
-                continue
-            for a, b in chain:
-                inside = any(x < b and a < y for x, _, y in spans)
-                tags.append((2 if tags and tags[-1] and any(x < chain[len(tags) - 1][1] and a < y for x, _, y in spans) else 1) if inside else 0)
-            out.append(([list(map(sys.intern, token_features(text, a, b, file))) for a, b in chain], tags))
+            chain = [None if t and text[t[0] : t[1]].isdigit() and any(x < t[1] and t[0] < y for x, y in spans) else t for t in chain]
+            for k, t in enumerate(chain):
+                own = [s for s in spans if t and s[0] < t[1] and t[0] < s[1]]
+                goes_on = k > 0 and tags[-1] and any(x < chain[k - 1][1] for x, _ in own)
+                tags.append((2 if goes_on else 1) if own else 0)
+            out.append(([t and list(map(sys.intern, token_features(text, *t, file))) for t in chain], tags))
 
     def redrawn(text: str) -> str:
         def change(m: re.Match) -> str:
@@ -261,12 +315,12 @@ def all_spans(model: Crf, text: str, hex_runs, tokens) -> list[tuple[int, int, i
     file = file_features(text, len(tokens))
     more = []
     for chain in chains(text, tokens):
-        tags = model.decode([token_features(text, a, b, file) for a, b in chain])
-        for (a, b), tag in zip(chain, tags, strict=True):
+        tags = model.decode([t and token_features(text, *t, file) for t in chain])
+        for t, tag in zip(chain, tags, strict=True):
             if tag == 1:
-                more.append([a, b])
+                more.append([*t])
             elif tag == 2:
-                more[-1][1] = b
+                more[-1][1] = t[1]
     spans += [(a, 3, b) for a, b in more if not any(x < b and a < y for x, _, y in spans)]
     return sorted(spans)
 

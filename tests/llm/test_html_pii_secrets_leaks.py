@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from daybook.llm.decontaminate import MASKS, best_stretch, contamination, drop_contaminated, needed_words
 from daybook.llm.html_text import extract_text, main_text, node_features, style_tree
 from daybook.llm.pii import ANY, replace_pii, surrogates
-from daybook.llm.secrets import Crf, all_spans, file_features, fit_crf, redact, redact_secrets, scan, scan_secrets, training_sequences
+from daybook.llm.secrets import Crf, all_spans, chains, file_features, fit_crf, redact, redact_secrets, scan, scan_secrets, training_sequences
 
 PAGE = """<!DOCTYPE html><html><head><title>T &amp; t</title><style>p{margin:0}</style><script>var t="</p>";</script></head>
 <body class="ad-free has-sidebar"><header><h1>Site</h1></header><nav><ul><li><a href="/a">Home</a></ul></nav><!-- ad -->
@@ -192,6 +192,26 @@ def test_the_field_generalises():
     assert not any(found(f"in 2024-0{i % 9 + 1}-11 file_name_{i}.txt and call {i}5551234567") for i in range(20))
 
 
+def test_secrets_of_letters_alone_are_found():
+    draw = random.Random(5)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    make = lambda n: "".join(draw.choice(letters) for _ in range(n))
+    train = [f"some words secret: {make(20)} and more\nNote: the words say so" for _ in range(60)] + [f'he said: "nothing here" about key {i}' for i in range(60)]
+    sequences = training_sequences([*train, "card 4844168114407329 secret: abcdefghijklmnop end"])
+    assert any(None in f and 1 in t for f, t in sequences)
+    model = fit_crf(sequences)
+
+    def found(text):
+        ((t, hexes, tokens),) = scan(pa.array([text]))
+        return [t[a:b] for a, k, b in all_spans(model, t, hexes, tokens) if k == 3]
+
+    assert found("é pwd: QwErTyUiOpAsDfGhJk\n") == ["QwErTyUiOpAsDfGhJk"]
+    values = [make(24) for _ in range(20)]
+    assert sum(found(f"the credential: {v} here") == [v] for v in values) >= 18
+    assert not found('Note: the words "say" nothing, and the key idea is this')
+    assert chains("a b: cd ef\ngh", [(5, 7), (11, 13)]) == [[None, (5, 7), None], [(11, 13)]]
+
+
 def test_file_features_see_the_whole_text():
     prose = "plain words " * 1000
     for mark in ("a = b", "x | y", "f() {", "end;"):
