@@ -29,7 +29,7 @@ PENALTY = 2
 #: A stretch counts with this many matched words, or this share of the item's words if that is less.
 MIN_MATCH = 13
 MIN_SHARE = 0.7
-#: An item of fewer words is only found in a text that has no other words.
+#: An item of fewer words has to match in all of them, and is marked where the text has other words.
 LEAST_WORDS = 8
 #: A benchmark of up to this many words goes to the tasks whole (8 bytes a word, plus its
 #: window hashes); a larger one is joined by its hashes.
@@ -123,28 +123,28 @@ def needed_words(n: int, min_match: int = MIN_MATCH, min_share: float = MIN_SHAR
     return max(1, min(min_match, int(np.ceil(min_share * n))))
 
 
-def verified(bench: Benchmark, h: np.ndarray, a: int, b: int, pos, item_pos, items) -> list[tuple[int, int, int, int]]:
-    """``(item, matched words, begin, end)`` of one text's hits that hold up, one per item (the longest)."""
+def verified(bench: Benchmark, h: np.ndarray, a: int, b: int, pos, item_pos, items) -> list[tuple[int, int, int, int, bool]]:
+    """``(item, matched words, begin, end, short item inside a longer text)`` of one text's hits that hold up, one per item (the longest)."""
     best: dict[int, tuple[tuple[int, int], int, int]] = {}
     for item, shift in sorted(set(zip(items.tolist(), (pos - item_pos).tolist(), strict=True))):
         lo, hi = int(bench.firsts[item]), int(bench.firsts[item + 1])
-        if hi - lo < LEAST_WORDS and hi - lo != b - a:
-            continue
         begin, end = max(a, lo + shift), min(b, hi + shift)
         n, i, j = best_stretch(h[begin:end], bench.words[begin - shift : end - shift])
         rank = (n, -begin - i)
-        if n >= needed_words(hi - lo) and (item not in best or rank > best[item][0]):
+        if n >= (needed_words(hi - lo) if hi - lo >= LEAST_WORDS else hi - lo) and (item not in best or rank > best[item][0]):
             best[item] = (rank, begin + i - a, begin + j - a)
-    return [(item, rank[0], i, j) for item, (rank, i, j) in sorted(best.items())]
+    size = np.diff(bench.firsts)
+    return [(item, rank[0], i, j, bool(size[item] < min(LEAST_WORDS, b - a))) for item, (rank, i, j) in sorted(best.items())]
 
 
 def contamination(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     item_col: str = "item_id", item_text: str = "text", benchmark_words: int = BENCHMARK_WORDS,
 ) -> DataFrame:
-    """``(doc_id, item_id, matched, begin, end)``: the longest verified stretch of each item in each text.
+    """``(doc_id, item_id, matched, begin, end, short_inside)``: the longest verified stretch of each item in each text.
 
-    ``begin`` and ``end`` count words of the text. Null and empty texts and items match nothing; equal
+    ``begin`` and ``end`` count words of the text. ``short_inside``: an item of fewer than
+    ``LEAST_WORDS`` words that stands, word for word, in a text with other words. Null and empty texts and items match nothing; equal
     rows each give their matches; an item that occurs twice is reported per row of the benchmark.
     """
     bench = benchmark.select(F.col(item_col).alias("item"), F.col(item_text).alias("text"))
@@ -165,15 +165,16 @@ def contamination(
                     batch.column(0).take(pa.array([r[0] for r in rows], pa.int64())),
                     pa.array([b.ids[r[1]] for r in rows], held.schema.field("item").type),
                     *(pa.array([r[k] for r in rows], pa.int64()) for k in (2, 3, 4)),
+                    pa.array([r[5] for r in rows], pa.bool_()),
                 ],
-                names=["doc_id", "item_id", "matched", "begin", "end"],
+                names=["doc_id", "item_id", "matched", "begin", "end", "short_inside"],
             )
 
-    return docs.mapInArrow(scan, f"doc_id {id_type}, item_id {item_type}, matched long, begin long, end long")
+    return docs.mapInArrow(scan, f"doc_id {id_type}, item_id {item_type}, matched long, begin long, end long, short_inside boolean")
 
 
-def _scan(bench: Benchmark, column: pa.Array) -> Iterator[tuple[int, int, int, int, int]]:
-    """``(row, item, matched, begin, end)`` of a column of texts."""
+def _scan(bench: Benchmark, column: pa.Array) -> Iterator[tuple[int, int, int, int, int, bool]]:
+    """``(row, item, matched, begin, end, short_inside)`` of a column of texts."""
     for first, h, firsts in plain_words(column):
         if len(h) == 0:
             continue
@@ -227,10 +228,10 @@ def _joined(docs: DataFrame, bench: DataFrame, masks: tuple[str, ...] = MASKS) -
                 one = Benchmark([items[i]], batch.column(3).slice(i, 1), masks)
                 rows += [(i, *r[2:]) for r in _scan(one, batch.column(1).slice(i, 1))]
             at = pa.array([r[0] for r in rows], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(2).take(at), *(pa.array([r[k] for r in rows], pa.int64()) for k in (1, 2, 3))], names=["doc_id", "item_id", "matched", "begin", "end"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(2).take(at), *(pa.array([r[k] for r in rows], pa.int64()) for k in (1, 2, 3)), pa.array([r[4] for r in rows], pa.bool_())], names=["doc_id", "item_id", "matched", "begin", "end", "short_inside"])
 
     met = docs.withColumn("k", F.struct("doc_id")).join(pairs, "k").select("doc_id", "text", "item", "item_text")
-    return met.mapInArrow(check, f"doc_id {id_type}, item_id {item_type}, matched long, begin long, end long")
+    return met.mapInArrow(check, f"doc_id {id_type}, item_id {item_type}, matched long, begin long, end long, short_inside boolean")
 
 
 def _short_sizes(bench: DataFrame, masks: tuple[str, ...]) -> list[int]:
@@ -248,9 +249,10 @@ def _short_sizes(bench: DataFrame, masks: tuple[str, ...]) -> list[int]:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` in which no benchmark item was found, all columns as they came.
 
+    A short item inside a longer text drops nothing: one of a single word would drop most texts.
     Rows with an equal id and text are judged alike; a null id is an id of its own.
     """
     rows = docs.select(F.struct(F.col(id_col), F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))).alias("_row"), F.col(text_col).alias("text"))
-    bad = stored(contamination(rows, benchmark, "_row", "text").select(F.col("doc_id").alias("_row")).distinct(), "contaminated")
+    bad = stored(contamination(rows, benchmark, "_row", "text").where("NOT short_inside").select(F.col("doc_id").alias("_row")).distinct(), "contaminated")
     key = F.struct(docs[id_col], F.xxhash64(F.coalesce(docs[text_col], F.lit(""))))
     return docs.join(broadcast_if_small(bad), key == F.col("_row"), "left_anti")

@@ -253,6 +253,16 @@ def test_substituted_passages_are_found(docs, spark):
     assert contamination(frame, bench.limit(0)).count() == 0 and contamination(docs([]), bench).count() == 0
 
 
+def test_short_items_are_found_inside_longer_texts(docs, spark):
+    bench = spark.createDataFrame([(1, "Who wrote the Iliad?"), (2, "one two three four five six seven"), (3, "yes")], "item_id long, text string")
+    rows = [(1, "He asked: who wrote the ILIAD, and when?", "s"), (2, "who wrote the Iliad", "s"), (3, "who wrote an Iliad or so", "s"),
+            (4, "zero one two three four five six seven eight yes yes", "s"), (5, "one two three four five six eight", "s")]
+    want = {(1, 1, 4, 2, 6, True), (2, 1, 4, 0, 4, False), (4, 2, 7, 1, 8, True), (4, 3, 1, 9, 10, True)}
+    for words in (2_000_000, 0):
+        assert {tuple(r) for r in contamination(docs(rows), bench, benchmark_words=words).collect()} == want
+    assert {r["doc_id"] for r in drop_contaminated(docs(rows), bench).collect()} == {1, 3, 4, 5}
+
+
 def test_masks_survive_two_substitutions():
     for a, b in itertools.combinations(range(12), 2):
         assert any(m[a] == m[b] == "0" for m in MASKS) or b - a > 0  # some pairs need a shifted window
