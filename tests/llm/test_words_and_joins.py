@@ -148,8 +148,9 @@ def test_overlaps_cut_into_parts_are_whole(spark, monkeypatch):
     sets = {i: shingle_set(t) for i, t in rows}
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     reps = join._rows(frame, "doc_id", "text", join.column_sketch(frame, "text")).withColumnRenamed("doc_id", "rep")
-    alone = reps.select(F.col("rep").alias("id"), F.col("rep").alias("component"))
-    pairs = {(r["a"], r["b"]) for r in join._mixed_pairs(reps, alone).collect()}
+    held = reps.collect()  # here, since a worker would not see the changed limit
+    p = join._postings([r["rep"] for r in held], [r["n"] for r in held], [bytes(r["prefix"]) for r in held], comps=[r["rep"] for r in held])
+    pairs = {(int(r["a"]), int(r["b"])) for r in join._products(p, p, True)}
     linked = {(i, j) for i in sets for j in sets if i < j and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])}
     assert len(linked) > 100 and linked <= pairs
 
