@@ -6,9 +6,13 @@ and returns the whole result.
 
 from __future__ import annotations
 
+from zlib import crc32
+
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from daybook.llm import chat, decontaminate, html_text, mixing, ngram_join, pii, quality, secrets, token_counts, toxicity
+from daybook.llm import chat, decontaminate, html_text, mixing, ngram_join, periodic, pii, quality, secrets, token_counts, toxicity
 from daybook.llm.tables import table
 
 
@@ -54,11 +58,34 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def planted_order(doc_id: int | None, n: int) -> np.ndarray | None:
+    """Places from which ``op13`` reads the words of a document: those of the periodic documents repeat."""
+    h = crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10 or not n:
+        return None
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    i = np.arange(n)
+    return np.where(i < a, i, a + (i - a) % p)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(table(spark, sf_dir, "documents"), order=planted_order)
+    best = periodic.longest_run(F.col("runs"))
+    out = found.select(
+        "doc_id", "n_words", F.size("runs").cast("long").alias("n_runs"), best.alias("best"),
+        periodic.runs_digest(F.col("runs")).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+    exponent = F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli")
+    return out.select("doc_id", "n_words", "n_runs", "best.start", "best.length", "best.period", exponent, "runs_sha256", "collapsed_sha256")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_ngram_jaccard, op2_quality_rules, op3_token_counts, op4_toxicity, op5_mixing,
-        op6_chat_format, op7_html_text, op8_pii_surrogates, op9_secrets, op10_decontamination,
+        op6_chat_format, op7_html_text, op8_pii_surrogates, op9_secrets, op10_decontamination, op13_periodic_runs,
     )
 }
 
@@ -80,3 +107,31 @@ reach(a, b) AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN li
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(r.b, d.doc_id)) AS component_id
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a, min(b) AS b FROM reach GROUP BY 1) r ON r.a = d.doc_id
 """
+
+#: crc32 of the text of an integer, from the ASCII codes of its digits (polynomial 0xEDB88320, one bit at a time).
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::UBIGINT)),
+  lambda c, x: list_reduce(list_prepend(xor(c, x), list_transform(range(8), lambda z: 0::UBIGINT)), lambda d, z: xor(d >> 1, (d & 1) * 3988292384::UBIGINT))))"""
+
+# Two equal five-word passages p apart start in every word of a run but its last p + 4, without a gap.
+ORACLE_SQL["op13_periodic_runs"] = f"""
+WITH d AS MATERIALIZED (
+  SELECT doc_id, list_filter(string_split(translate(coalesce(text, ''), chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '     '), ' '), lambda x: x <> '') AS w,
+    {_CRC} AS h FROM documents),
+p AS (SELECT doc_id, w, len(w) AS n, h, CASE WHEN len(w) > 0 THEN ((h // 10) % len(w))::BIGINT END AS a FROM d),
+q AS (SELECT *, (1 + (n - a) // (3 + (h // 10) % 8))::BIGINT AS p FROM p),
+t AS MATERIALIZED (SELECT doc_id, n, CASE WHEN n > 0 AND h % 10 = 0
+  THEN list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) ELSE w END AS w FROM q),
+g AS MATERIALIZED (SELECT doc_id, i, array_to_string(w[i + 1:i + 5], ' ') AS g FROM (SELECT doc_id, w, unnest(range(n - 4)) AS i FROM t WHERE n >= 6)),
+o AS (SELECT x.doc_id, x.i, y.i - x.i AS p FROM g x JOIN g y ON x.doc_id = y.doc_id AND x.g = y.g AND y.i > x.i),
+e AS (SELECT doc_id, p, i, i - row_number() OVER (PARTITION BY doc_id, p ORDER BY i) AS island FROM o),
+s AS (SELECT doc_id, p, min(i) AS start, count(*) + 4 + p AS length FROM e GROUP BY doc_id, p, island HAVING count(*) + 4 + p >= greatest(6, 4 * p)),
+r AS MATERIALIZED (SELECT doc_id, start, length, min(p) AS period FROM s GROUP BY 1, 2, 3),
+f AS (SELECT doc_id, count(*) AS n_runs, arg_min(struct_pack(s := start, l := length, p := period), (-length, start, period)) AS b,
+  string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS runs FROM r GROUP BY 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM r),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS collapsed FROM (SELECT doc_id, unnest(w) AS x, unnest(range(n)) AS i FROM t)
+  ANTI JOIN gone USING (doc_id, i) GROUP BY 1)
+SELECT doc_id, n AS n_words, coalesce(n_runs, 0)::BIGINT AS n_runs, b.s::BIGINT AS start, b.l::BIGINT AS length, b.p::BIGINT AS period,
+  (1000 * b.l // b.p)::BIGINT AS exponent_milli, sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM t LEFT JOIN f USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
