@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import chat, decontaminate, html_text, mixing, ngram_join, periodic, pii, quality, secrets, token_counts, toxicity
+from daybook.llm import chat, decontaminate, hard_negatives, html_text, language_id, mixing, ngram_join, periodic, pii, quality, secrets, token_counts, toxicity
 from daybook.llm.tables import table
 
 
@@ -58,6 +58,16 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify_languages(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.quantised(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", label)
+    return hard_negatives.hard_negatives(rows, F.col("id") % 100 == 0)
+
+
 def planted_order(doc_id: int | None, n: int) -> np.ndarray | None:
     """Places from which ``op13`` reads the words of a document: those of the periodic documents repeat."""
     h = crc32(str(doc_id).encode()) if doc_id is not None else 1
@@ -85,7 +95,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_ngram_jaccard, op2_quality_rules, op3_token_counts, op4_toxicity, op5_mixing,
-        op6_chat_format, op7_html_text, op8_pii_surrogates, op9_secrets, op10_decontamination, op13_periodic_runs,
+        op6_chat_format, op7_html_text, op8_pii_surrogates, op9_secrets, op10_decontamination, op11_language_id, op12_hard_negatives, op13_periodic_runs,
     )
 }
 
@@ -108,6 +118,23 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesc
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a, min(b) AS b FROM reach GROUP BY 1) r ON r.a = d.doc_id
 """
 
+ORACLE_SQL["op12_hard_negatives"] = """
+WITH e AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+s AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+n AS (SELECT anchor_id, positive_id, other_id AS negative_id, positive_score, score AS negative_score,
+    row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS rank
+  FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
+
 #: crc32 of the text of an integer, from the ASCII codes of its digits (polynomial 0xEDB88320, one bit at a time).
 _CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::UBIGINT)),
   lambda c, x: list_reduce(list_prepend(xor(c, x), list_transform(range(8), lambda z: 0::UBIGINT)), lambda d, z: xor(d >> 1, (d & 1) * 3988292384::UBIGINT))))"""
