@@ -3,13 +3,12 @@
 An inventory is the set of dates for which a dataset really holds data, as a
 DataFrame ``(d date)``.  One operator serves every storage kind:
 
-* files (local, ``s3a://``, ``hdfs://`` … — the Hadoop file-system layer reads
-  them all): one level of date folders is listed, for a window only the
-  folders that it can touch, and each is probed up to its first data file.
-  The work is bounded by folders (window dates), not by files or bytes.
+* files (local, ``s3a://``, ``hdfs://`` …): a data source whose tasks probe a
+  slice of the date folders each, for a window only the folders that it can
+  touch, up to the first data file.  The work is bounded by folders (window
+  dates), not by files or bytes, and no folder is visited by the driver.
   A partition counts as present when it holds a data file; empty folders and
-  ``_``/``.``-prefixed files are not data.  Datasets with very many folders
-  belong in a catalog;
+  ``_``/``.``-prefixed files are not data;
 * catalog tables: ``SHOW PARTITIONS`` — catalog metadata only.
 
 Completeness is ``expected LEFT ANTI inventory`` where *expected* is the
@@ -21,7 +20,6 @@ same number and is broadcast.
 
 from __future__ import annotations
 
-import datetime as _dt
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -89,9 +87,10 @@ def window_glob_parts(spark: SparkSession, processing_date, n: int, unit: str, s
 
 
 def list_file_partitions(
-    spark: SparkSession, root: str, partition_column: str | None = None, only: list[str] | None = None
+    spark: SparkSession, root: str, partition_column: str | None = None, only: list[str] | None = None,
+    arrow: bool | None = None, lenient: bool = False,
 ) -> DataFrame:
-    """Dates present under a folder tree.
+    """Dates present under a folder tree (P1-P4), listed by executors (:mod:`daybook.sources.listing`).
 
     With a partition column the child folders must be ``<col>=<date>``;
     without one (or with the text ``none``) the folder name is the date.
@@ -99,51 +98,18 @@ def list_file_partitions(
 
     ``only`` restricts the listing to folder names matching those globs (see
     :func:`window_glob_parts`), so a completeness check on a long-lived table
-    lists the window's folders instead of the whole tree.
+    lists the window's folders instead of the whole tree.  ``arrow`` says
+    whether tasks open the folders themselves through pyarrow (the default for
+    local paths; S3 and HDFS with pyarrow's own credentials) or Spark's file
+    index lists the files (the default for every other scheme).  ``lenient``
+    takes folders that cannot be opened for empty ones.
     """
-    column = partition_column if partition_column and partition_column.lower() != "none" else None
-    prefix = f"{column}=" if column else ""
-    if only is None:
-        names = [f"{prefix}*"]
-    else:
-        names = [f"{prefix}{x}" for x in sorted(set(only))]
-    found = sorted({d for n in names for d in _dated_folders(spark, root.rstrip("/"), n, prefix)})
-    return spark.createDataFrame([(d,) for d in found], "d date")
-
-
-def _dated_folders(spark: SparkSession, root: str, name: str, prefix: str) -> list[_dt.date]:
-    """Dates of the folders ``root/<name glob>`` that hold a data file.
+    from daybook.sources.listing import read_dated_folders
 
-    One level of folders is listed, and each is probed for its first data
-    file; what reaches the driver is one date per folder (per window date
-    with an exact name), never a file list.
-    """
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    dates = []
-    for status in fs.globStatus(path) or []:
-        text = status.getPath().getName()[len(prefix):]
-        if not status.isDirectory() or not re.match(_STRICT_DATE, text):
-            continue
-        try:
-            d = _dt.date.fromisoformat(text)
-        except ValueError:
-            continue
-        if _has_data_file(fs, status.getPath()):
-            dates.append(d)
-    return dates
-
-
-def _has_data_file(fs, folder) -> bool:
-    """Is there a file below ``folder`` outside hidden (``_``/``.``) files and folders?"""
-    top = folder.toString()
-    files = fs.listFiles(folder, True)
-    while files.hasNext():
-        below = files.next().getPath().toString()[len(top):].strip("/")
-        if not any(x[:1] in ("_", ".") for x in below.split("/")):
-            return True
-    return False
+    column = partition_column if partition_column and partition_column.lower() != "none" else None
+    if arrow is None:
+        arrow = classify(root) == "local"
+    return read_dated_folders(spark, root.rstrip("/"), f"{column}=" if column else "", only, arrow=arrow, lenient=lenient)
 
 
 def list_table_partitions(spark: SparkSession, table: str, partition_column: str) -> DataFrame:
@@ -167,7 +133,7 @@ def list_table_partitions(spark: SparkSession, table: str, partition_column: str
 
 
 def list_partitions(
-    spark: SparkSession, location: str, partition_column: str | None = None, only: list[str] | None = None
+    spark: SparkSession, location: str, partition_column: str | None = None, only: list[str] | None = None, lenient: bool = False
 ) -> DataFrame:
     """Inventory of any location: a path (any scheme) or a catalog table.
 
@@ -178,7 +144,7 @@ def list_partitions(
         if not partition_column:
             raise ValueError(f"table {location!r} needs a partition column")
         return list_table_partitions(spark, location, partition_column)
-    return list_file_partitions(spark, location, partition_column, only)
+    return list_file_partitions(spark, location, partition_column, only, lenient=lenient)
 
 
 def expected_dates(spark: SparkSession, processing_date, n: int, unit: str, shape: str = "contiguous") -> DataFrame:
