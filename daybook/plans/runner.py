@@ -1,7 +1,7 @@
 """The gated runner (G8-G10): decide per step, read the windows, run, write, log.
 
-Steps run in declaration order on the driver thread; each one is a Spark
-job (or a few) that writes its outputs.  The decision for a step is taken
+Steps run in dependency order (:func:`daybook.plans.steps.in_dependency_order`)
+on the driver thread; each one is a Spark job (or a few) that writes its outputs.  The decision for a step is taken
 right before it runs, because a step may depend on what the previous one
 just wrote; :meth:`GatedRunner.plan` gives the all-steps dry run.
 """
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from daybook.functions.calendar import validate_window
 from daybook.operators.gating import gate_decision, inventory_for
 from daybook.operators.runlog import RunLog
-from daybook.plans.steps import PARAMS, PARSED_SPECS_SCHEMA, Dataset, Step, datasets_table, specs_table
+from daybook.plans.steps import PARAMS, PARSED_SPECS_SCHEMA, Dataset, Step, datasets_table, in_dependency_order, specs_table
 from daybook.sinks.catalog import save_table
 from daybook.sinks.files import write_folder, write_partitioned
 from daybook.sources.catalog import read_table
@@ -146,11 +146,15 @@ class GatedRunner:
         self.run_log.append_run(run_id=run_id, status="ERROR", start_time=started, finish_time=_now(), nodes=[s.name for s in steps])
 
     def run(self, steps: Sequence[Step], processing_date, run_id: str | None = None) -> DataFrame:
-        """Run the steps; returns ``(step, seq, status, reason, detail)`` rows."""
+        """Run the steps; returns ``(step, seq, status, reason, detail)`` rows.
+
+        ``seq`` counts the steps in the order in which they run, whatever the order of their declaration.
+        """
         spec = validate_window(processing_date, 1, "day")
         run_id = run_id or uuid.uuid4().hex
         parsed = specs_table(self.spark, steps).collect()  # every spec parsed in one small job
         self.check_inputs(steps, parsed)
+        steps = in_dependency_order(steps)
         started = _now()
         if self.run_log:
             self.run_log.append_run(run_id=run_id, status="RUNNING", start_time=started, nodes=[s.name for s in steps])

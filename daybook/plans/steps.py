@@ -10,6 +10,7 @@ decisions are computed by Spark.
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -130,6 +131,44 @@ def specs_table(spark: SparkSession, steps: Sequence[Step]) -> DataFrame:
     return parse_specs(spark.createDataFrame(specs_rows(steps), SPECS_SCHEMA))
 
 
+def in_dependency_order(steps: Sequence[Step]) -> list[Step]:
+    """The steps so that each one comes after all that write what it reads.
+
+    The frontier holds the steps that wait for no other; the one declared first
+    leaves it next, so steps keep the order of their declaration wherever their
+    datasets allow it, and so do two steps that write one dataset. A cycle is
+    refused.
+    """
+    def names(specs) -> set[str]:
+        return {x.split(":", 1)[0].strip() for x in specs if not x.startswith(PARAMS)}
+
+    reads = [names(x for _, x in s.input_specs()) for s in steps]
+    writers: dict[str, list[int]] = {}
+    for k, s in enumerate(steps):
+        for name in names(s.output_specs()):
+            writers.setdefault(name, []).append(k)
+    before = [{w for name in reads[k] for w in writers.get(name, ()) if w != k} for k in range(len(steps))]
+    for order in writers.values():
+        for earlier, later in zip(order, order[1:], strict=False):
+            before[later].add(earlier)
+    after: dict[int, list[int]] = {}
+    for k, waits in enumerate(before):
+        for w in waits:
+            after.setdefault(w, []).append(k)
+    frontier = [k for k, waits in enumerate(before) if not waits]
+    out: list[Step] = []
+    while frontier:
+        k = heapq.heappop(frontier)
+        out.append(steps[k])
+        for later in after.get(k, ()):
+            before[later].discard(k)
+            if not before[later]:
+                heapq.heappush(frontier, later)
+    if len(out) < len(steps):
+        raise ValueError(f"steps {sorted(s.name for k, s in enumerate(steps) if before[k])} wait for each other")
+    return out
+
+
 DATASETS_SCHEMA = "dataset string, kind string, location string, partition_column string, validate boolean"
 
 
