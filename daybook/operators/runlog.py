@@ -44,6 +44,60 @@ def latest_per_key(events: DataFrame, keys: Sequence[str], order: Sequence[str])
     return folded.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
 
 
+class FoldedLog:
+    """An append-only event table with snapshots of its folded state (L1/L2 at scale).
+
+    ``root/events`` takes appends. :meth:`snapshot` folds everything so far into
+    ``root/state/<mark>``, where ``mark`` is the wall clock (milliseconds) taken
+    before the files were listed. :meth:`state` folds the newest snapshot with the
+    files that arrived since: by their modification time, which Spark prunes
+    files with, not by the order of the events in them. So an event that comes
+    late, older than others already folded, is not lost; and since folding the
+    same event twice changes nothing, ``margin_ms`` may reach back as far as
+    the writers' clocks can differ. Snapshots and events are never rewritten: a
+    reader that still uses an older snapshot reads the same state.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, schema: str, keys: Sequence[str], order: Sequence[str], margin_ms: int = 60_000):
+        self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
+        self.keys, self.order, self.margin_ms = list(keys), list(order), margin_ms
+
+    @property
+    def events_path(self) -> str:
+        return f"{self.root}/events"
+
+    def append(self, events: DataFrame) -> None:
+        events.write.mode("append").parquet(self.events_path)
+
+    def events(self, since_ms: int | None = None) -> DataFrame:
+        """All events, or those of the files that arrived at or after a time."""
+        df = self.spark.read.schema(self.schema).parquet(self.events_path)
+        if since_ms is None:
+            return df
+        return df.where(F.col("_metadata.file_modification_time") >= F.timestamp_millis(F.lit(since_ms)))
+
+    def marks(self) -> list[int]:
+        """Marks of the complete snapshots, oldest first."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/state/*/_SUCCESS")
+        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return sorted(int(x.getPath().getParent().getName()) for x in files.globStatus(path) or [])
+
+    def snapshot(self) -> int:
+        """Writes the folded state as a new snapshot; returns its mark."""
+        marks = self.marks()
+        mark = max(int(_dt.datetime.now().timestamp() * 1000), marks[-1] + 1 if marks else 0)
+        self.state().write.mode("errorifexists").parquet(f"{self.root}/state/{mark}")
+        return mark
+
+    def state(self) -> DataFrame:
+        """The newest event per key."""
+        marks = self.marks()
+        if not marks:
+            return latest_per_key(self.events(), self.keys, self.order)
+        folded = self.spark.read.schema(self.schema).parquet(f"{self.root}/state/{marks[-1]}")
+        return latest_per_key(folded.unionByName(self.events(marks[-1] - self.margin_ms)), self.keys, self.order)
+
+
 def max_id(df: DataFrame, column: str) -> DataFrame:
     """``coalesce(max(column), 0)`` as a one-row frame ``(max_id)``."""
     return df.agg(F.coalesce(F.max(column), F.lit(0)).cast("bigint").alias("max_id"))
@@ -89,7 +143,7 @@ def _text_list(x) -> list[str]:
 
 
 class RunLog:
-    """An append-only run log stored as two Parquet folders under ``root``.
+    """An append-only run log: two :class:`FoldedLog` tables (steps and runs) and the metrics under ``root``.
 
     ``root`` should live in the shared folder (see
     :func:`daybook.session.shared_dir`).  Passing no RunLog to the runner turns
@@ -100,14 +154,8 @@ class RunLog:
         self.spark = spark
         self.root = root.rstrip("/")
         self._seq = 0
-
-    @property
-    def steps_path(self) -> str:
-        return f"{self.root}/steps"
-
-    @property
-    def runs_path(self) -> str:
-        return f"{self.root}/runs"
+        self._steps = FoldedLog(spark, f"{self.root}/steps", STEP_LOG_SCHEMA, ["run_id", "name"], ["event_seq"])
+        self._runs = FoldedLog(spark, f"{self.root}/runs", RUN_LOG_SCHEMA, ["run_id"], ["event_seq"])
 
     def _next_seq(self) -> int:
         """Event order: wall-clock microseconds, forced strictly increasing
@@ -135,7 +183,7 @@ class RunLog:
         """L1, batch form: many step events in one append job."""
         rows = [self._step_row(**e) for e in events]
         if rows:
-            self.spark.createDataFrame(rows, STEP_LOG_SCHEMA).write.mode("append").parquet(self.steps_path)
+            self._steps.append(self.spark.createDataFrame(rows, STEP_LOG_SCHEMA))
 
     def append_run(self, *, run_id, status, start_time, finish_time=None, nodes=None, dag_name=None,
                    inputs=None, outputs=None, parameters=None, tags=None, namespace=None):
@@ -144,40 +192,42 @@ class RunLog:
             _text_list(inputs), _text_list(outputs), _text_list(parameters), _text_list(tags),
             namespace, status, self._next_seq(),
         )
-        self.spark.createDataFrame([row], RUN_LOG_SCHEMA).write.mode("append").parquet(self.runs_path)
+        self._runs.append(self.spark.createDataFrame([row], RUN_LOG_SCHEMA))
 
     @property
     def metrics_path(self) -> str:
         return f"{self.root}/metrics"
 
     def record_metrics(self, run_id: str, metrics: DataFrame) -> None:
-        """M3: append a run's ``(metric, value)`` rows, tagged with the run id."""
-        metrics.select(F.lit(str(run_id)).alias("run_id"), "metric", F.col("value").cast("double").alias("value")).write.mode(
-            "append"
-        ).parquet(self.metrics_path)
+        """M3: append a run's ``(metric, value[, text])`` rows, tagged with the run id."""
+        text = F.col("text").cast("string") if "text" in metrics.columns else F.lit(None).cast("string").alias("text")
+        metrics.select(
+            F.lit(str(run_id)).alias("run_id"), "metric", F.col("value").cast("double").alias("value"), text
+        ).write.mode("append").parquet(self.metrics_path)
 
     def metrics(self, run_id: str | None = None) -> DataFrame:
-        df = self.spark.read.schema("run_id string, metric string, value double").parquet(self.metrics_path)
+        """``(run_id, metric, value, text)``; a parameter that is no number has only its ``text``."""
+        df = self.spark.read.schema("run_id string, metric string, value double, text string").parquet(self.metrics_path)
         return df if run_id is None else df.where(F.col("run_id") == run_id)
 
     def step_events(self) -> DataFrame:
-        return self.spark.read.schema(STEP_LOG_SCHEMA).parquet(self.steps_path)
+        return self._steps.events()
 
     def run_events(self) -> DataFrame:
-        return self.spark.read.schema(RUN_LOG_SCHEMA).parquet(self.runs_path)
+        return self._runs.events()
 
     def steps(self) -> DataFrame:
-        """Current state per ``(run_id, name)``."""
-        return latest_per_key(self.step_events(), ["run_id", "name"], ["event_seq"])
+        """Current state per ``(run_id, name)``: the newest snapshot and what came after it."""
+        return self._steps.state()
 
     def runs(self) -> DataFrame:
         """Current state per ``run_id``."""
-        return latest_per_key(self.run_events(), ["run_id"], ["event_seq"])
+        return self._runs.state()
 
     def report(self, run_id: str | None = None) -> DataFrame:
         return run_report(self.steps(), run_id)
 
-    def compact(self, target: str) -> None:
-        """Rewrite the folded state to ``target`` (a new folder) to bound read cost."""
-        self.steps().write.mode("overwrite").parquet(f"{target.rstrip('/')}/steps")
-        self.runs().write.mode("overwrite").parquet(f"{target.rstrip('/')}/runs")
+    def compact(self) -> None:
+        """Snapshots both tables, so that later reads fold only what arrives from now on."""
+        self._steps.snapshot()
+        self._runs.snapshot()
