@@ -36,7 +36,7 @@ def key_counts(right: DataFrame, key: str, alias: str) -> DataFrame:
     )
 
 
-def join_keep_left(left: DataFrame, rights: Sequence[tuple], *, chunk: int = CHUNK, spread: bool = False) -> DataFrame:
+def join_keep_left(left: DataFrame, rights: Sequence[tuple], *, chunk: int = CHUNK, spread: bool = False, strategy: str | None = None) -> DataFrame:
     """Chain of inner equi-joins, each ``(right, left_key, right_key[, keys_bound])``,
     that returns only ``left``'s columns, with join multiplicity preserved.
 
@@ -44,7 +44,10 @@ def join_keep_left(left: DataFrame, rights: Sequence[tuple], *, chunk: int = CHU
     NULL keys never match, as in an inner join.  ``keys_bound``: a proven
     bound on the distinct keys of that right side, or None.  ``spread`` deals
     the joined rows out again before they are repeated, for keys whose count
-    is far above ``chunk``; it costs a shuffle of the left rows.
+    is far above ``chunk``; it costs a shuffle of the left rows. ``strategy``
+    hints the join (``merge``, ``shuffle_hash``): sides that are bucketed alike
+    by their keys (:func:`daybook.sinks.catalog.save_bucketed`) are then joined
+    where they lie, without an exchange.
     """
     out = left
     for i, (right, left_key, right_key, *bound) in enumerate(rights):
@@ -56,6 +59,8 @@ def join_keep_left(left: DataFrame, rights: Sequence[tuple], *, chunk: int = CHU
         ).select(k, F.least(F.lit(chunk).cast("bigint"), F.col("_all") - F.col("_chunk") * chunk).alias(n))
         if small:
             counts = F.broadcast(counts)
+        elif strategy:
+            counts = counts.hint(strategy)
         met = out.join(counts, out[left_key] == counts[k], "inner").select(*left.columns, n)
         if spread:
             met = met.hint("rebalance")
@@ -66,10 +71,10 @@ def join_keep_left(left: DataFrame, rights: Sequence[tuple], *, chunk: int = CHU
 
 def join_on_date(
     left: DataFrame, right: DataFrame, left_key: str = "processed_date", right_key: str = "created_at",
-    *, keys_bound: int | None = None, chunk: int = CHUNK, spread: bool = False,
+    *, keys_bound: int | None = None, chunk: int = CHUNK, spread: bool = False, strategy: str | None = None,
 ) -> DataFrame:
     """T1 (``processed_date = created_at``) and T2 (other key names)."""
-    return join_keep_left(left, [(right, left_key, right_key, keys_bound)], chunk=chunk, spread=spread)
+    return join_keep_left(left, [(right, left_key, right_key, keys_bound)], chunk=chunk, spread=spread, strategy=strategy)
 
 
 def join_on_two_dates(
@@ -84,10 +89,11 @@ def join_on_two_dates(
     third_bound: int | None = None,
     chunk: int = CHUNK,
     spread: bool = False,
+    strategy: str | None = None,
 ) -> DataFrame:
     """Left ⋈ mapping on the mapping key, then ⋈ third on the left key."""
     sides = [(mapping, left_key, mapping_key, mapping_bound), (third, left_key, third_key, third_bound)]
-    return join_keep_left(left, sides, chunk=chunk, spread=spread)
+    return join_keep_left(left, sides, chunk=chunk, spread=spread, strategy=strategy)
 
 
 def passthrough(df: DataFrame) -> DataFrame:

@@ -7,9 +7,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from daybook.session import scratch_path
 from daybook.sources.catalog import table_exists, table_location, table_provider, table_storage_properties
 
 _V2_PROVIDERS = ("iceberg", "delta")
+#: Partitions that one statement registers.
+STATEMENT_PARTITIONS = 500
 
 
 def _dynamic_table(spark, name: str) -> bool:
@@ -87,20 +90,43 @@ def save_table(
         return mode
     # A table created elsewhere follows the session setting, and insertInto
     # ignores a per-write partitionOverwriteMode (static would drop every
-    # partition).  Write the touched partitions straight into the table's
-    # folder with a per-write dynamic overwrite, then register the touched
-    # ones (one statement per partition of the write, not a scan of the table).
+    # partition).  The rows are written once to a folder of their own; what they
+    # touch is read from that write, and the touched partitions go into the
+    # table's folder with a per-write dynamic overwrite.  They are registered
+    # with one statement per STATEMENT_PARTITIONS of them.
     location = table_location(spark, name)
-    touched = df.select(*part_cols).distinct().collect()
+    staged = scratch_path(spark, "staged_partitions")
+    ordered.write.partitionBy(*part_cols).parquet(staged)
+    written = spark.read.schema(ordered.schema).parquet(staged).select(*ordered.columns)
     (
-        ordered.write.mode("overwrite")
+        written.hint("rebalance", *part_cols).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .format(existing or provider)
         .partitionBy(*part_cols)
         .save(location)
     )
-    for row in touched:
-        spec = ", ".join(f"{c} = {_literal(row[c])}" for c in part_cols)
-        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({spec})")
+    specs = []
+    for row in written.select(*part_cols).distinct().toLocalIterator():
+        specs.append(f"PARTITION ({', '.join(f'{c} = {_literal(row[c])}' for c in part_cols)})")
+        if len(specs) == STATEMENT_PARTITIONS:
+            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(specs)}")
+            specs.clear()
+    if specs:
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(specs)}")
     spark.catalog.refreshTable(name)
     return mode
+
+
+def save_bucketed(df: DataFrame, name: str, keys: Sequence[str] | str, buckets: int, *, location: str | None = None, provider: str = "parquet") -> None:
+    """Save to a new table bucketed and sorted by ``keys``.
+
+    Tables with the same number of buckets on their join keys are joined, and a
+    table is aggregated by its keys, without an exchange: equal keys are in
+    files of the same number already. The rows are dealt out by the keys first,
+    so that each bucket is one file.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    writer = df.repartition(buckets, *keys).write.format(provider).bucketBy(buckets, *keys).sortBy(*keys)
+    if location:
+        writer = writer.option("path", location)
+    writer.mode("errorifexists").saveAsTable(name)

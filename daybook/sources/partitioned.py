@@ -6,9 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from daybook.functions.calendar import validate_window, window_predicate
+from daybook.functions.calendar import validate_window, window_dates, window_predicate, window_valid
 
 
 def _field_type(df: DataFrame, column: str):
@@ -101,3 +102,23 @@ def read_partitioned(
         unit=unit,
         filters=filters,
     )
+
+
+def read_windows(
+    spark: SparkSession, root: str, partition_column: str, specs: DataFrame, *, shape: str = "contiguous", file_format: str = "parquet",
+    schema: StructType | str | None = None,
+) -> DataFrame:
+    """Rows of ``root`` in any window of a table ``specs(processing_date, n, unit)`` (S4 for windows that are data).
+
+    The dates of the windows are rows, so no predicate can be built from them before the scan. They are joined to the
+    partition column instead: Spark broadcasts them and prunes the partitions with them at run time
+    (``dynamicpruning`` among the ``PartitionFilters``). Windows that cannot be valid (C4) ask for nothing, and a row
+    in several windows comes once. The dates that are broadcast are distinct days, so their number is bounded by
+    the span of the calendar.
+    """
+    valid = specs.where(window_valid(F.col("n"), F.col("unit")) & F.col("processing_date").isNotNull())
+    dates = valid.select(F.explode(window_dates(F.col("processing_date"), F.col("n"), F.col("unit"), F.lit(shape))).alias("_window_date")).distinct()
+    reader = spark.read.format(file_format)
+    df = (reader.schema(schema) if schema is not None else reader).load(root)
+    dates = F.broadcast(dates.where(F.col("_window_date") >= "0001-01-01"))
+    return df.join(dates, df[partition_column] == dates["_window_date"], "left_semi")
