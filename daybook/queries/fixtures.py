@@ -192,11 +192,11 @@ def metadata_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def table_format_files(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
     """A table's metadata as files, from :func:`manifest_entries` and :func:`position_deletes`.
 
-    Parquet manifests (all entries), two delete files listed by entries of
-    their own, a Parquet manifest list, and one JSON document per version, the
+    Avro manifests (the data entries, and an entry for each of the two delete
+    files), an Avro manifest list, and one JSON document per version, the
     newest of which points at it.  Returns the metadata log and the folder.
     """
-    from daybook.sources.files import read_parquet
+    from daybook.sources.avro import write_avro
 
     root = scratch_path(spark, "table_format")
     position_deletes(spark, sf_dir).repartition(2).write.parquet(f"{root}/deletes")
@@ -206,11 +206,106 @@ def table_format_files(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str
         F.lit(1).alias("status"),
         F.struct(F.lit(1).alias("content"), "file_path", F.struct(F.lit(None).cast("date").alias("processed_date")).alias("partition")).alias("data_file"),
     )
-    data.unionByName(listed).write.parquet(f"{root}/manifests")
-    read_parquet(spark, f"{root}/manifests").select(F.input_file_name().alias("manifest_path")).distinct().write.parquet(f"{root}/list-2")
+    write_avro(data.unionByName(listed), f"{root}/manifests")
+    manifests = spark.read.format("binaryFile").load(f"{root}/manifests").select(F.col("path").alias("manifest_path"))
+    write_avro(manifests.coalesce(1), f"{root}/list-2")
     version = lambda current: F.lit(current).cast("long").alias("current-snapshot-id")
     snapshots = F.array(*[F.struct(F.lit(i).cast("long").alias("snapshot-id"), F.lit(f"list-{i}").alias("manifest-list")) for i in (1, 2)]).alias("snapshots")
     for n in (1, 2):
         spark.range(1).select(version(n), snapshots).coalesce(1).write.json(f"{root}/v{n}.metadata.json")
     log = spark.createDataFrame([("v1.metadata.json", "2024-01-01"), ("v2.metadata.json", "2024-01-02")], "file string, timestamp string")
     return log, root
+
+
+def counted_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest entries with row counts: the file of an order holds one row per item, at the positions from 0."""
+    o, li = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    n = li.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("record_count"))
+    return o.join(n, "o_orderkey", "left").select(
+        (F.col("o_orderkey") % 3).cast("int").alias("status"),
+        F.struct(
+            F.lit(0).alias("content"),
+            F.concat(F.lit("f"), F.col("o_orderkey").cast("string")).alias("file_path"),
+            F.struct(F.to_date("o_orderdate").alias("processed_date")).alias("partition"),
+            F.coalesce("record_count", F.lit(0)).alias("record_count"),
+        ).alias("data_file"),
+    )
+
+
+def item_deletes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two sets of position deletes, which overlap: the returned items and the strongly discounted ones.
+
+    Positions are the places of an order's items by line number (then part and supplier).
+    """
+    from pyspark.sql import Window
+
+    li = table(spark, sf_dir, "lineitem")
+    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")) - 1
+    at = li.select(F.concat(F.lit("f"), F.col("l_orderkey").cast("string")).alias("file_path"), place.cast("bigint").alias("pos"), "l_returnflag", "l_discount")
+    keep = ("file_path", "pos")
+    return at.where("l_returnflag = 'R'").select(*keep), at.where("l_discount > 0.05").select(*keep)
+
+
+def equality_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Rows and equality deletes derived from ``events``: an error deletes what its user did before.
+
+    The sequence number is the event id; every 40th event has no user, as rows and as deletes.
+    """
+    e = table(spark, sf_dir, "events").select(
+        "event_id", F.when(F.col("event_id") % 40 != 0, F.col("user_id")).alias("user_id"), "event_type", F.col("event_id").alias("sequence")
+    )
+    return e.where("event_type <> 'error'"), e.where("event_type = 'error'").select("user_id", "sequence")
+
+
+def history_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata documents of a table with one snapshot per order month, committed on its tenth at noon.
+
+    Each document logs the up to three documents before it, as a table keeps its log.
+    """
+    months = table(spark, sf_dir, "orders").select(F.trunc(F.to_date("o_orderdate"), "month").alias("m")).distinct()
+    day = F.date_add("m", 9)
+    ms = lambda d: F.unix_millis(F.make_timestamp(F.year(d), F.month(d), F.dayofmonth(d), F.lit(12), F.lit(0), F.lit(0), F.lit("UTC")))
+    number = lambda d: F.year(d) * 100 + F.month(d)
+    name = lambda d: F.concat(F.lit("v"), number(d).cast("string"), F.lit(".metadata.json"))
+    earlier = [F.add_months("m", -k) for k in (1, 2, 3)]
+    log = F.array(*[F.struct(name(x).alias("metadata-file"), ms(F.date_add(x, 9)).alias("timestamp-ms")) for x in earlier])
+    first = months.agg(F.min("m").alias("first"))
+    return months.join(F.broadcast(first)).select(
+        name(F.col("m")).alias("metadata-file"), ms(day).alias("last-updated-ms"), number(F.col("m")).cast("long").alias("current-snapshot-id"),
+        F.array(F.struct(number(F.col("m")).cast("long").alias("snapshot-id"), F.concat(F.lit("list-"), number(F.col("m")).cast("string")).alias("manifest-list"))).alias("snapshots"),
+        F.filter(log, lambda x: x["metadata-file"] >= F.concat(F.lit("v"), number(F.col("first")).cast("string"))).alias("metadata-log"),
+    )
+
+
+def history_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(manifest_list, status, data_file)``: a month's snapshot lists the files of its orders and of the month before."""
+    o = manifest_entries(spark, sf_dir)
+    d = F.col("data_file.partition.processed_date")
+    listed = F.transform(F.array(F.lit(0), F.lit(1)), lambda k: F.concat(F.lit("list-"), F.date_format(F.add_months(F.trunc(d, "month"), k), "yyyyMM")))
+    return o.select(F.explode(listed).alias("manifest_list"), "status", "data_file")
+
+
+def dated_buckets(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
+    """Tables bucketed by date: a month of orders, the items' ship dates and flags, all orders' dates and priorities."""
+    from daybook.session import scratch_table_name
+    from daybook.sinks.catalog import save_bucketed
+
+    def build(spark: SparkSession, sf_dir: str) -> str:
+        o, li = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+        d = F.to_date("o_orderdate")
+        frames = {
+            "facts": (o.select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("name"), d.alias("processed_date")), "processed_date"),
+            "mapping": (li.select(F.to_date("l_shipdate").alias("primary_date"), "l_returnflag").distinct(), "primary_date"),
+            "third": (o.select(d.alias("processed_date"), "o_orderpriority").distinct(), "processed_date"),
+        }
+        names = []
+        for name, (df, key) in frames.items():
+            names.append(scratch_table_name(name))
+            save_bucketed(df, names[-1], key, BUCKETS, location=scratch_path(spark, name))
+        return ",".join(names)
+
+    return tuple(shared(spark, sf_dir, "dated_buckets", build).split(","))
+
+
+#: Buckets of the tables that are joined by date.
+BUCKETS = 8

@@ -2,7 +2,7 @@
 
 Tables are the driver views ``region nation customer supplier part orders
 lineitem events documents embeddings pages benchmark labels conversations``.
-Queries that depend on a trained model (``train_logistic``) have no entry.
+``train_logistic_lbfgs``, whose solver stops by itself, has no entry.
 """
 
 from __future__ import annotations
@@ -356,6 +356,69 @@ UNION ALL SELECT 'family', NULL, 'multi''nomial'""",
 SELECT *, n > 0 AND unit <> 'week' AS valid FROM e""",
 }
 
+# --- windows, spans and histories as tables ------------------------------------------
+
+_PENDING = "SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderstatus = 'P'"
+_ISLANDS = f"""WITH d AS ({_PENDING}), i AS (SELECT d, d - CAST(row_number() OVER (ORDER BY d) AS INTEGER) AS island FROM d),
+s AS (SELECT min(d) AS first, max(d) AS last, count(*) AS n_dates FROM i GROUP BY island)"""
+
+TABLES_OF_WINDOWS = {
+    "inventory_spans": f"{_ISLANDS} SELECT first, last, n_dates FROM s",
+    "inventory_gaps": f"""{_ISLANDS}, g AS (SELECT last + 1 AS first, lead(first) OVER (ORDER BY first) - 1 AS last FROM s)
+SELECT CAST(first AS DATE) AS first, CAST(last AS DATE) AS last, datediff('day', first, last) + 1 AS n_dates FROM g WHERE last IS NOT NULL""",
+    "completeness_all_dates": f"""{_P}, inv AS MATERIALIZED ({_PENDING}),
+w AS (SELECT processing_date, 'day' AS unit, processing_date - 4 AS lo, processing_date AS hi FROM p
+  UNION ALL SELECT processing_date, 'month', CAST(date_trunc('month', processing_date) - to_months(1) AS DATE), last_day(processing_date) FROM p
+  UNION ALL SELECT processing_date, 'quarter', CAST(date_trunc('quarter', processing_date) - to_months(3) AS DATE),
+    last_day(CAST(date_trunc('quarter', processing_date) AS DATE) + to_months(2)) FROM p
+  UNION ALL SELECT processing_date, 'year', make_date(year(processing_date) - 1, 1, 1), make_date(year(processing_date), 12, 31) FROM p),
+e AS (SELECT processing_date, unit, unnest(generate_series(0, datediff('day', lo, hi))) AS i, lo FROM w)
+SELECT processing_date, unit, count(*) AS n_expected, count(*) - count(inv.d) AS n_missing
+FROM e LEFT JOIN inv ON inv.d = CAST(e.lo + CAST(e.i AS INTEGER) AS DATE) GROUP BY 1, 2""",
+    "scan_windows_table": f"""WITH e AS ({_EV}),
+s AS (SELECT processed_date AS p FROM e WHERE event_type = 'error' AND value > 60 GROUP BY 1 HAVING max(value) > 300)
+SELECT * FROM e WHERE EXISTS (SELECT 1 FROM s WHERE e.processed_date BETWEEN s.p - 1 AND s.p)""",
+    "live_rows_by_date": """WITH li AS (SELECT l_orderkey, l_returnflag = 'R' OR l_discount > 0.05 AS gone FROM lineitem),
+f AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d, count(l_orderkey) FILTER (NOT gone) AS n FROM orders LEFT JOIN li ON l_orderkey = o_orderkey
+  WHERE o_orderkey % 3 <> 2 GROUP BY 1, 2)
+SELECT d AS partition_date, count(*) AS n_files, CAST(sum(n) AS BIGINT) AS n_rows FROM f WHERE n > 0 GROUP BY 1""",
+    "live_rows_equality": """WITH e AS (SELECT event_id, CASE WHEN event_id % 40 <> 0 THEN user_id END AS user_id, event_type FROM events)
+SELECT event_id, user_id, event_type FROM e WHERE event_type <> 'error' AND NOT EXISTS (
+  SELECT 1 FROM e x WHERE x.event_type = 'error' AND x.user_id IS NOT DISTINCT FROM e.user_id AND x.event_id > e.event_id)""",
+    "live_dates_as_of": f"""{_P}, m AS (SELECT DISTINCT CAST(date_trunc('month', processing_date) AS DATE) AS m FROM p),
+a AS (SELECT processing_date AS asked, (SELECT max(m) FROM m WHERE CAST(m.m + 9 AS TIMESTAMP) + INTERVAL 12 HOUR <= CAST(p.processing_date AS TIMESTAMP)) AS m FROM p),
+l AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderkey % 10 <> 0 AND o_orderkey % 3 IN (0, 1))
+SELECT asked, CAST(year(m) * 100 + month(m) AS BIGINT) AS snapshot_id, d AS live_date
+FROM a JOIN l ON CAST(date_trunc('month', d) AS DATE) IN (m, CAST(m - to_months(1) AS DATE))""",
+    "join_primary_bucketed": TRANSFORMS["join_primary"],
+    "join_feature_bucketed": TRANSFORMS["join_feature"],
+    "gated_run_unordered": GATING["gated_run"],
+    "runlog_snapshot_tail": RUNLOG["runlog_upsert_nodes"],
+}
+
+
+def _newton_sql(rounds: int) -> str:
+    """The rounds of the Newton solver one after another: probabilities, sums, new weights."""
+    test = "CAST('0x' || substr(md5('42:' || CAST(vec_id AS VARCHAR)), 1, 8) AS BIGINT) < CAST(floor(0.2 * 4294967296) AS BIGINT)"
+    sql = f"""WITH r AS MATERIALIZED (SELECT vec_id, label, {test} AS is_test, list_append(list_transform(embedding, lambda v: v::DOUBLE), 1.0::DOUBLE) AS x
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL),
+k AS MATERIALIZED (SELECT DISTINCT label AS k FROM r WHERE NOT is_test),
+j AS MATERIALIZED (SELECT unnest(range(1, (SELECT max(len(x)) FROM r) + 1)) AS j),
+w0 AS (SELECT k, list_transform(range((SELECT max(len(x)) FROM r)), lambda i: 0.0::DOUBLE) AS w FROM k)"""
+    for n in range(rounds):
+        sql += f""",
+z{n} AS (SELECT vec_id, label, x, k, w, exp(list_inner_product(x, w)) AS e FROM r, w{n} WHERE NOT is_test),
+p{n} AS MATERIALIZED (SELECT *, e / sum(e) OVER (PARTITION BY vec_id) AS p FROM z{n}),
+s{n} AS MATERIALIZED (SELECT k, j, any_value(w[j]) AS old, sum((p - (label = k)::INTEGER) * x[j]) AS g, sum(p * (1 - p) * x[j] * x[j]) AS c,
+  CASE WHEN j < (SELECT max(j) FROM j) THEN 1.0 ELSE 0.0 END AS ridge FROM p{n}, j GROUP BY k, j),
+w{n + 1} AS MATERIALIZED (SELECT k, list(CASE WHEN c + ridge > 0 THEN round(old - (g + ridge * old) / (c + ridge), 9) ELSE old END ORDER BY j) AS w FROM s{n} GROUP BY k)"""
+    return sql + f"""
+SELECT vec_id, label, CAST(arg_max(k, (round(list_inner_product(x, w), 9), -k)) AS INTEGER) AS prediction
+FROM r, w{rounds} WHERE is_test GROUP BY vec_id, label"""
+
+
+MODELS = {"train_logistic": _newton_sql(12)}
+
 ORACLE_SQL: dict[str, str] = {
     **CAL,
     "valid_iso_date": VALID_ISO_DATE,
@@ -365,4 +428,6 @@ ORACLE_SQL: dict[str, str] = {
     **TRANSFORMS,
     **GATING,
     **RUNLOG,
+    **TABLES_OF_WINDOWS,
+    **MODELS,
 }

@@ -11,10 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.functions.calendar import contiguous_dates, is_valid_iso_date, period_end_dates, window_valid
+from daybook.functions.calendar import contiguous_dates, is_valid_iso_date, period_end_dates, window_bounds, window_valid
 from daybook.functions.paths import location_kind, location_name
 from daybook.functions.specs import decode_tags, parse_spec
-from daybook.operators import evaluate, gating, inventory, joins, runlog, table_format
+from daybook.operators import evaluate, gating, inventory, joins, runlog, spans, table_format
 from daybook.plans.runner import GatedRunner
 from daybook.plans.steps import Dataset, Step, datasets_table, parse_specs, resolve_specs
 from daybook.queries import fixtures as fx
@@ -24,7 +24,7 @@ from daybook.sinks.files import write_partitioned
 from daybook.sources.catalog import describe_namespace, list_namespaces, read_table, table_exists
 from daybook.sources.files import read_csv, read_parquet
 from daybook.sources.folder import read_folders
-from daybook.sources.partitioned import apply_window_or_filters, read_partitioned
+from daybook.sources.partitioned import apply_window_or_filters, read_partitioned, read_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -490,6 +490,15 @@ def gated_run(spark, sf_dir):
 
     One row per step: the outcome, and the rows its output then holds.
     """
+    return _gated_run(spark, sf_dir, ("stage", "monthly", "clicks"))
+
+
+def gated_run_unordered(spark, sf_dir):
+    """The same steps, declared before what they depend on: they run in dependency order."""
+    return _gated_run(spark, sf_dir, ("clicks", "stage", "monthly"))
+
+
+def _gated_run(spark, sf_dir, declared):
     ev = fx.partitioned_events(spark, sf_dir)
     stage = scratch_path(spark, "staged")
     clicks = scratch_path(spark, "clicks")
@@ -504,6 +513,7 @@ def gated_run(spark, sf_dir):
         Step("clicks", _clicks, "staged_events:5d", "click_events:5d"),
     ]
     log = runlog.RunLog(spark, scratch_path(spark, "runlog"))
+    steps = sorted(steps, key=lambda x: declared.index(x.name))
     outcome = GatedRunner(spark, dsets, log).run(steps, fx.EVENTS_DATE)
     held = None
     for step, root in (("stage", stage), ("monthly", stage), ("clicks", clicks)):
@@ -566,6 +576,12 @@ def classification_metrics(spark, sf_dir):
 
 
 def train_logistic(spark, sf_dir):
+    _, pred = evaluate.train_newton(fx.table(spark, sf_dir, "embeddings"), "embedding", "label", "vec_id")
+    return pred.select("vec_id", "label", F.col("_prediction").cast("int").alias("prediction"))
+
+
+def train_logistic_lbfgs(spark, sf_dir):
+    """M1 with MLlib's solver (no oracle: it stops where it has converged)."""
     _, pred = evaluate.train_logistic(fx.table(spark, sf_dir, "embeddings"), "embedding", "label", "vec_id", max_iter=1000)
     return pred.select("vec_id", "label", F.col("_prediction").cast("int").alias("prediction"))
 
@@ -591,7 +607,90 @@ def window_checks(spark, sf_dir):
 def live_partitions_table(spark, sf_dir):
     """P5 end to end: from a table's metadata files to its live dates (S11-S13, P5a-P5g)."""
     log, location = fx.table_format_files(spark, sf_dir)
-    return table_format.live_partitions_of(spark, log, "processed_date", manifest_format="parquet", base=location)
+    return table_format.live_partitions_of(spark, log, "processed_date", manifest_format="avro", base=location)
+
+
+def live_rows_by_date(spark, sf_dir):
+    """P5f, exact: files and rows that position deletes leave, per date."""
+    returned, discounted = map(table_format.deleted_positions, fx.item_deletes(spark, sf_dir))
+    return table_format.live_rows(fx.counted_entries(spark, sf_dir), "processed_date", table_format.merged_positions(returned, discounted))
+
+
+def live_rows_equality(spark, sf_dir):
+    """P5 with equality deletes: the rows that no later delete of their key removes."""
+    rows, deletes = fx.equality_events(spark, sf_dir)
+    return table_format.drop_equal(rows, deletes, ["user_id"], spread=4).select("event_id", "user_id", "event_type")
+
+
+def live_dates_as_of(spark, sf_dir):
+    """The live dates of the table as they were at midnight of every order date."""
+    documents = fx.history_documents(spark, sf_dir)
+    asks = _order_dates(spark, sf_dir).withColumnRenamed("processing_date", "asked")
+    held = table_format.snapshots_as_of(asks, "asked", table_format.metadata_log_of(documents), documents, grain="year")
+    entries = fx.history_entries(spark, sf_dir)
+    live = entries.where("data_file.content = 0 AND status IN (0, 1)").select("manifest_list", F.col("data_file.partition.processed_date").alias("live_date")).distinct()
+    return held.join(live, "manifest_list").select("asked", "snapshot_id", "live_date")
+
+
+def inventory_spans(spark, sf_dir):
+    """The islands of consecutive dates that have a pending order."""
+    return spans.date_spans(_pending_dates(spark, sf_dir))
+
+
+def inventory_gaps(spark, sf_dir):
+    return spans.date_gaps(_pending_dates(spark, sf_dir))
+
+
+def _pending_dates(spark, sf_dir) -> DataFrame:
+    o = fx.table(spark, sf_dir, "orders").where("o_orderstatus = 'P'")
+    return o.select(F.to_date("o_orderdate").alias("d"))
+
+
+def completeness_all_dates(spark, sf_dir):
+    """P6 for a table of processing dates: the dates without a pending order in each of their windows."""
+    sizes = F.array(*[F.struct(F.lit(u).alias("unit"), F.lit(n).alias("n")) for u, n in CONTIGUOUS_N.items()])
+    asked = _order_dates(spark, sf_dir).select("processing_date", F.inline(sizes))
+    lo, hi = window_bounds(F.col("processing_date"), F.col("n"), F.col("unit"))
+    windows = asked.select("processing_date", "unit", lo.alias("lo"), hi.alias("hi"))
+    return spans.missing_counts(windows, _pending_dates(spark, sf_dir)).select("processing_date", "unit", "n_expected", "n_missing")
+
+
+def scan_windows_table(spark, sf_dir):
+    """S4 for windows that are data: the events of the two days up to a day with many costly errors."""
+    e = fx.events_with_date(spark, sf_dir).where("event_type = 'error' AND value > 60")
+    days = e.groupBy(F.col("processed_date").alias("processing_date")).agg(F.count("*").alias("k"), F.max("value").alias("top"))
+    specs = days.where("top > 300").select("processing_date", F.lit(2).alias("n"), F.lit("day").alias("unit"))
+    return read_windows(spark, fx.partitioned_events(spark, sf_dir), "processed_date", specs)
+
+
+def _bucketed_inputs(spark, sf_dir):
+    facts, mapping, third = (spark.read.table(x) for x in fx.dated_buckets(spark, sf_dir))
+    left = apply_window_or_filters(facts, partition_column="processed_date", processing_date=fx.ORDERS_DATE, n=1, unit="month")
+    return left, mapping, third
+
+
+def join_primary_bucketed(spark, sf_dir):
+    """T1 on tables bucketed by their dates: no exchange on either side."""
+    left, mapping, _ = _bucketed_inputs(spark, sf_dir)
+    return joins.join_on_date(left, mapping, "processed_date", "primary_date", strategy="merge")
+
+
+def join_feature_bucketed(spark, sf_dir):
+    left, mapping, third = _bucketed_inputs(spark, sf_dir)
+    return joins.join_on_two_dates(left, mapping, third, strategy="merge")
+
+
+def runlog_snapshot_tail(spark, sf_dir):
+    """L1/L2 as snapshot plus tail: most events folded into a snapshot, then late, new and repeated ones."""
+    e = fx.table(spark, sf_dir, "events")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in e.schema)
+    log = runlog.FoldedLog(spark, scratch_path(spark, "folded"), schema, ["user_id", "event_type"], ["ts", "event_id"], margin_ms=0)
+    log.append(e.where("event_id % 10 < 7"))
+    log.snapshot()
+    log.append(e.where("event_id % 10 BETWEEN 5 AND 8"))
+    log.snapshot()
+    log.append(e.where("event_id % 10 >= 8"))
+    return log.state()
 
 
 def delete_file_paths(spark, sf_dir):
@@ -646,6 +745,7 @@ QUERIES: dict[str, Query] = {
     "gate_outputs": gate_outputs,
     "gate_decision": gate_decision,
     "gated_run": gated_run,
+    "gated_run_unordered": gated_run_unordered,
     "runlog_upsert_nodes": runlog_upsert_nodes,
     "runlog_upsert_runs": runlog_upsert_runs,
     "runlog_max_id": runlog_max_id,
@@ -659,4 +759,15 @@ QUERIES: dict[str, Query] = {
     "window_checks": window_checks,
     "live_partitions_table": live_partitions_table,
     "delete_file_paths": delete_file_paths,
+    "live_rows_by_date": live_rows_by_date,
+    "live_rows_equality": live_rows_equality,
+    "live_dates_as_of": live_dates_as_of,
+    "inventory_spans": inventory_spans,
+    "inventory_gaps": inventory_gaps,
+    "completeness_all_dates": completeness_all_dates,
+    "scan_windows_table": scan_windows_table,
+    "join_primary_bucketed": join_primary_bucketed,
+    "join_feature_bucketed": join_feature_bucketed,
+    "runlog_snapshot_tail": runlog_snapshot_tail,
+    "train_logistic_lbfgs": train_logistic_lbfgs,
 }

@@ -15,7 +15,7 @@ def test_entry_smoke(spark):
 def test_every_query_has_oracle_or_is_rows_only():
     q, o = ent.queries(), ent.oracle_sql()
     assert set(o) <= set(q)
-    assert set(QUERIES) - set(ORACLE_SQL) == {"train_logistic"}
+    assert set(QUERIES) - set(ORACLE_SQL) == {"train_logistic_lbfgs"}
     assert set(QUERIES) <= set(q) and set(ORACLE_SQL) <= set(o)
 
 
