@@ -25,11 +25,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, rows: int | None = None) -> DataFrame:
+#: Rows of varying size (texts, arrays, maps) are broadcast only up to so many bytes in all.
+BROADCAST_BYTES = 32_000_000
+
+
+def broadcast_if_small(df: DataFrame, rows: int | None = None, size=None) -> DataFrame:
     """A broadcast hint where ``df`` has at most :data:`BROADCAST_ROWS` rows, else ``df`` as it is.
 
-    ``df`` should be a stored table, since it is counted first.
+    ``size`` is the bytes of a row as a column, for rows that are not of a few fixed-width columns:
+    their sum must stay below :data:`BROADCAST_BYTES` too. ``df`` should be a stored table, since it
+    is counted first.
     """
+    if size is not None:
+        held = df.agg(F.count("*"), F.sum(size)).first()
+        return F.broadcast(df) if held[0] <= BROADCAST_ROWS and (held[1] or 0) <= BROADCAST_BYTES else df
     return F.broadcast(df) if (df.count() if rows is None else rows) <= BROADCAST_ROWS else df
 
 
@@ -46,6 +55,12 @@ def bounded_sample(df: DataFrame, at: str, n: int) -> DataFrame:
     return df.dropDuplicates([at]).orderBy(at).limit(n)
 
 
+def numbered(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with its columns named ``c0, c1, …``, and the new name of each: no other name can clash with them."""
+    names = {c: f"c{i}" for i, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
+
+
 _SENT: set[str] = set()
 
 
