@@ -19,8 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.tables import broadcast_if_small, stored
-from daybook.llm.words import hash_spans, mix64, text_slices, window_hashes, word_hashes
+from daybook.llm.tables import broadcast_if_small, numbered, stored
+from daybook.llm.words import hash_spans, mix64, row_slices, text_slices, window_hashes, word_hashes
 
 MIN_DOCS = 10
 SHARE = 0.05
@@ -103,7 +103,7 @@ def document_stats(docs: DataFrame, id_col: str, text_col: str, host_col: str) -
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in _STATS.split(", ")]
         for batch in batches:
-            for part in (batch.slice(i, 1000) for i in range(0, batch.num_rows, 1000)):
+            for part in row_slices(batch, 3):
                 found = list(zip(*_text_stats(part.column(3)), strict=True))
                 types = [pa.int64()] * 6 + [pa.list_(pa.int64()), pa.list_(pa.int32())]
                 yield pa.RecordBatch.from_arrays(
@@ -155,14 +155,18 @@ def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
     Where a text changes, ``chars_col`` (if there) becomes its new length. Verdicts are joined
     on id, host and text digest, null ids included; rows without removed lines come back as they were.
     """
+    columns = docs.columns
+    docs, renamed = numbered(docs)
+    id_col, text_col, host_col, chars_col = renamed[id_col], renamed[text_col], renamed[host_col], renamed.get(chars_col)
     rules = quality_rules(docs, id_col, text_col, host_col).where("NOT kept OR n_removed > 0")
     acts = rules.select(F.col(id_col).alias("_id"), F.col("host").alias("_host"), F.col("digest").alias("_digest"), F.col("kept").alias("_kept"), F.col("removed_lines").alias("_lines"))
     acts = stored(acts.dropDuplicates(["_id", "_host", "_digest"]), "acts")
     host = F.when(F.col(host_col).isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col(host_col).cast("string")))
     same = docs[id_col].cast("long").eqNullSafe(F.col("_id")) & (host == F.col("_host")) & (F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == F.col("_digest"))
-    left = docs.join(broadcast_if_small(acts), same, "left").where(F.coalesce("_kept", F.lit(True))).select(*[docs[c] for c in docs.columns], "_lines")
+    wide = F.length("_host") + 8 * F.greatest(F.size("_lines"), F.lit(0)) + 48
+    left = docs.join(broadcast_if_small(acts, size=wide), same, "left").where(F.coalesce("_kept", F.lit(True))).select(*docs.columns, "_lines")
     names = docs.columns
-    text_at, lines_at, chars_at = names.index(text_col), len(names), names.index(chars_col) if chars_col in names else None
+    text_at, lines_at, chars_at = names.index(text_col), len(names), names.index(chars_col) if chars_col else None
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in (batch.slice(i, 500) for batch in batches for i in range(0, batch.num_rows, 500)):
@@ -175,7 +179,7 @@ def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
                 columns[chars_at] = pa.array([len(t) if g else w for t, g, w in zip(new, gone, was, strict=True)], columns[chars_at].type)
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return left.mapInArrow(strip, docs.schema)
+    return left.mapInArrow(strip, docs.schema).toDF(*columns)
 
 
 def without_lines(text: str, removed: set[int]) -> str:

@@ -118,6 +118,31 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesc
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a, min(b) AS b FROM reach GROUP BY 1) r ON r.a = d.doc_id
 """
 
+_PLAIN = "translate(coalesce(text, ''), chr(9) || chr(11) || chr(12) || chr(13), '    ')"
+_FOLD = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789', 'abcdefghijklmnopqrstuvwxyz0000000000'"
+
+ORACLE_SQL["op2_quality_rules"] = f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce('=' || source, '') AS host, coalesce(text, '') AS t,
+    string_split(coalesce(text, ''), chr(10)) AS raw, string_split({_PLAIN}, chr(10)) AS plain FROM documents),
+l AS MATERIALIZED (SELECT r, host, raw, list_filter(string_split(plain, ' '), lambda x: x <> '') AS w
+  FROM (SELECT r, host, unnest(raw) AS raw, unnest(plain) AS plain FROM d)),
+n AS MATERIALIZED (SELECT r, host, raw, len(w) AS n_words, translate(array_to_string(w, ' '), {_FOLD}) AS line FROM l WHERE len(w) > 0),
+w AS MATERIALIZED (SELECT r, host, doc_id, t, list_filter(string_split(translate({_PLAIN.replace("coalesce(text, '')", 't')}, chr(10), ' '), ' '), lambda x: x <> '') AS w FROM d),
+k AS MATERIALIZED (SELECT r, host, md5(translate(array_to_string(w, ' '), {_FOLD})) AS kind FROM w),
+common AS MATERIALIZED (SELECT host, line FROM n JOIN k USING (r, host) GROUP BY host, line
+  HAVING count(DISTINCT kind) > 10 AND count(DISTINCT kind) > 0.05 * (SELECT count(DISTINCT kind) FROM k h WHERE h.host = n.host)),
+removed AS (SELECT r, sum(n_words)::BIGINT AS n_removed FROM n JOIN common USING (host, line) GROUP BY r),
+dup AS (SELECT r, (count(*) - count(DISTINCT raw))::BIGINT AS n_dup_lines FROM n GROUP BY r),
+g AS (SELECT r, i, count(*) OVER (PARTITION BY r, a, b, c) AS k FROM (
+  SELECT r, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM w WHERE len(w) > 2))),
+rep AS (SELECT r, count(DISTINCT i)::BIGINT AS n_repeat_words FROM (SELECT r, unnest([i, i + 1, i + 2]) AS i FROM g WHERE k > 1) GROUP BY r),
+o AS (SELECT doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+    (length(t) - length(translate(t, '#*$%&|<>', '')))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+    coalesce(n_removed, 0) AS n_removed FROM w LEFT JOIN removed USING (r) LEFT JOIN dup USING (r) LEFT JOIN rep USING (r))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, n_removed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND NOT n_removed > 0.5 * n_words AS kept FROM o
+"""
+
 ORACLE_SQL["op12_hard_negatives"] = """
 WITH e AS MATERIALIZED (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,

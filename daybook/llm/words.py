@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 SHINGLE = 5
 #: Texts are hashed in slices of at most this many bytes (a longer text alone).
@@ -62,6 +63,18 @@ def text_slices(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]
     pa.default_memory_pool().release_unused()  # idle Python workers would keep it
 
 
+def row_slices(batch: pa.RecordBatch, column: int, most: int = 4 * SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with at most ``most`` bytes in a string column (a longer text alone)."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    first = 0
+    while first < batch.num_rows:
+        before = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield batch.slice(first, last - first)
+        first = last
+
+
 def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True):
     """``(hash, start byte, end byte, first word of each text)`` of the words of some texts.
 
