@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.tables import broadcast_if_small, stored
+from daybook.llm.tables import broadcast_if_small, numbered, stored
 from daybook.llm.words import mix64, text_slices, word_hashes
 
 #: Masks: 1 keeps a word position, 0 ignores it. Any two substitutions within a
@@ -252,7 +252,10 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
     A short item inside a longer text drops nothing: one of a single word would drop most texts.
     Rows with an equal id and text are judged alike; a null id is an id of its own.
     """
-    rows = docs.select(F.struct(F.col(id_col), F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))).alias("_row"), F.col(text_col).alias("text"))
-    bad = stored(contamination(rows, benchmark, "_row", "text").where("NOT short_inside").select(F.col("doc_id").alias("_row")).distinct(), "contaminated")
-    key = F.struct(docs[id_col], F.xxhash64(F.coalesce(docs[text_col], F.lit(""))))
-    return docs.join(broadcast_if_small(bad), key == F.col("_row"), "left_anti")
+    columns = docs.columns
+    docs, names = numbered(docs)
+    id_col, text_col = names[id_col], names[text_col]
+    row = F.struct(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("digest"))
+    found = contamination(docs.select(row.alias("_row"), F.col(text_col).alias("text")), benchmark, "_row", "text")
+    bad = stored(found.where("NOT short_inside").select(F.col("doc_id").alias("_row")).distinct(), "contaminated")
+    return docs.join(broadcast_if_small(bad), row == F.col("_row"), "left_anti").toDF(*columns)

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.components import connected_components
-from daybook.llm.tables import broadcast_if_small, stored
+from daybook.llm.tables import broadcast_if_small, numbered, stored
 from daybook.llm.words import column_shingles, mix64, text_slices, window_hashes, word_hashes
 
 #: Counters of the frequency sketch: 4 MB, whatever the input.
@@ -536,6 +536,9 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     Rows without words and rows with a null id are no part of a component and all stay.
     """
+    columns = docs.columns
+    docs, names = numbered(docs)
+    id_col, text_col = names[id_col], names[text_col]
     classes = stored(jaccard_classes(docs, id_col, text_col), "classes")
     known = classes.where("n_shingles > 0 AND doc_id IS NOT NULL")
     stay = known.where("doc_id = component_id").groupBy("doc_id").agg(F.min("digest").alias("first"))
@@ -545,4 +548,4 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     same = (docs[id_col] == F.col("_id")) & (F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == F.col("_digest"))
     rest = docs.join(broadcast_if_small(judged.drop("stays")), same, "left_anti")
     again = docs.join(broadcast_if_small(judged.where("stays").drop("stays")), same, "left_semi").dropDuplicates([id_col, text_col])
-    return rest.unionByName(again)
+    return rest.unionByName(again).toDF(*columns)
