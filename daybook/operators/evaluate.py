@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -92,20 +93,24 @@ def newton_sums(train: DataFrame, weights: list[list[float]], classes: list) ->
     ``train`` holds ``(x array<double>, y)``; the last weight of a class is its intercept, whose feature is 1. With
     the probabilities ``p`` of a row, feature ``j`` of class ``k`` adds ``(p_k - [y = k]) x_j`` and ``p_k (1 - p_k) x_j^2``.
     Batches are summed in numpy before anything is shuffled: a batch sends one row per class and feature.
+    A null or absent component counts as 0.
     """
-    w, labels = np.array(weights), list(classes)
+    w, number = np.array(weights), {c: k for k, c in enumerate(classes)}
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = np.array(batch.column(0).to_pylist(), dtype=np.float64)
-            x = np.hstack([x, np.ones((len(x), 1))])
-            y = np.array([labels.index(v) for v in batch.column(1).to_pylist()])
+            lists = batch.column(0)
+            sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+            x = np.zeros((batch.num_rows, w.shape[1]))
+            x[:, :-1][np.arange(w.shape[1] - 1) < sizes[:, None]] = pc.fill_null(lists.flatten(), 0.0).to_numpy(zero_copy_only=False)
+            x[:, -1] = 1.0
+            y = np.array([number[v] for v in batch.column(1).to_pylist()])
             z = x @ w.T
             e = np.exp(z - z.max(axis=1, keepdims=True))
             p = e / e.sum(axis=1, keepdims=True)
-            g = (p - np.eye(len(labels))[y]).T @ x
+            g = (p - np.eye(len(number))[y]).T @ x
             c = (p * (1 - p)).T @ (x * x)
             k, j = np.indices(g.shape)
             yield pa.RecordBatch.from_arrays(
