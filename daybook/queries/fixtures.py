@@ -217,31 +217,32 @@ def table_format_files(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str
     return log, root
 
 
+def _filed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every item with the file that holds it, five files a day by the order's key: ``(d, k, file_path, …)``."""
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.to_date("o_orderdate").alias("d"))
+    items = table(spark, sf_dir, "lineitem").join(o, "l_orderkey").withColumn("k", (F.col("l_orderkey") % 5).cast("int"))
+    return items.withColumn("file_path", F.concat(F.lit("f"), F.col("d").cast("string"), F.lit("-"), F.col("k").cast("string")))
+
+
 def counted_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Manifest entries with row counts: the file of an order holds one row per item, at the positions from 0."""
-    o, li = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
-    n = li.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("record_count"))
-    return o.join(n, "o_orderkey", "left").select(
-        (F.col("o_orderkey") % 3).cast("int").alias("status"),
-        F.struct(
-            F.lit(0).alias("content"),
-            F.concat(F.lit("f"), F.col("o_orderkey").cast("string")).alias("file_path"),
-            F.struct(F.to_date("o_orderdate").alias("processed_date")).alias("partition"),
-            F.coalesce("record_count", F.lit(0)).alias("record_count"),
-        ).alias("data_file"),
+    """Manifest entries of the files of :func:`_filed_items` with their row counts; every third file is removed."""
+    files = _filed_items(spark, sf_dir).groupBy("d", "k", "file_path").agg(F.count("*").alias("record_count"))
+    return files.select(
+        ((F.dayofyear("d") + F.col("k")) % 3).alias("status"),
+        F.struct(F.lit(0).alias("content"), "file_path", F.struct(F.col("d").alias("processed_date")).alias("partition"), "record_count").alias("data_file"),
     )
 
 
 def item_deletes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Two sets of position deletes, which overlap: the returned items and the strongly discounted ones.
 
-    Positions are the places of an order's items by line number (then part and supplier).
+    An item's position is its place in its file by order, line and all that could tie.
     """
     from pyspark.sql import Window
 
-    li = table(spark, sf_dir, "lineitem")
-    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")) - 1
-    at = li.select(F.concat(F.lit("f"), F.col("l_orderkey").cast("string")).alias("file_path"), place.cast("bigint").alias("pos"), "l_returnflag", "l_discount")
+    order = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_returnflag", "l_discount")
+    place = F.row_number().over(Window.partitionBy("file_path").orderBy(*order)) - 1
+    at = _filed_items(spark, sf_dir).select("file_path", place.cast("bigint").alias("pos"), "l_returnflag", "l_discount")
     keep = ("file_path", "pos")
     return at.where("l_returnflag = 'R'").select(*keep), at.where("l_discount > 0.05").select(*keep)
 
