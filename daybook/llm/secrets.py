@@ -35,9 +35,11 @@ ASSIGN = re.compile(rf"""({_ANY_CASE})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
-#: Texts that the CRF is fitted on: so many that hold a long run with a digit, and half as many others.
+#: Texts that the CRF is fitted on: so many that hold a long run with a digit, and half as many others,
+#: each of at most so many characters (a bound of the sample; texts of any length are scanned whole).
 TRAIN_TEXTS = 1000
-EPOCHS = 12
+TRAIN_CHARS = 20_000
+EPOCHS = 8
 
 _HEX = np.zeros(256, dtype=bool)
 _HEX[[ord(c) for c in "0123456789abcdef"]] = True
@@ -49,7 +51,10 @@ _QUOTE = np.zeros(256, dtype=bool)
 _QUOTE[[ord(c) for c in "\"'`"]] = True
 _ALNUM = _VALUE.copy()
 _ALNUM[[ord(c) for c in "+/_.=-"]] = False
-_HINTS = ("password", "passwd", "pwd", "secret", "token", "key", "apikey", "api_key", "auth", "bearer", "credential", "credentials", "private")
+_HINTS = (
+    "password", "passwd", "passphrase", "pass", "pwd", "secret", "token", "key", "apikey", "api_key", "auth", "authorization", "bearer", "credential", "credentials", "creds",
+    "private", "login", "signature", "session", "cookie", "license",
+)
 
 
 def _runs(mask: np.ndarray, offsets: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -267,22 +272,78 @@ def fit_crf(sequences: list[tuple[list[list[str] | None], list[int]]], epochs: i
     return Crf({f: weights[i] for f, i in number.items()}, moves)
 
 
-_ALPHABETS = ("0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
+_ALPHABETS = ("0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", "0123456789ABCDEF")
+#: What a planted secret follows, and what marks may stand between; none is a key word of the base patterns.
+_LEADS = ("pwd", "passphrase", "login", "auth", "bearer", "credential", "private key", "access key", "db_pass", "signing key", "Authorization: Bearer", "session", "creds")
+_MARKS = (" ", ": ", " = ", "=", " => ", " is ")
+
+
+def random_secret(draw: random.Random) -> str:
+    """A value as services issue them: one alphabet, a prefix and a value, or parts joined by dots."""
+    def run(least: int, most: int, letters: str | None = None) -> str:
+        letters = letters or draw.choice(_ALPHABETS)
+        return "".join(draw.choice(letters) for _ in range(draw.randrange(least, most)))
+
+    kind = draw.randrange(5)
+    if kind == 0:
+        return run(2, 5, _ALPHABETS[4]).lower() + draw.choice("_-") + run(16, 40, _ALPHABETS[1])
+    if kind == 1:
+        return ".".join(run(16, 40, _ALPHABETS[1]) for _ in range(3))
+    if kind == 2:
+        return run(10, 20, _ALPHABETS[1] + "_-+")
+    return run(16, 56, draw.choice(_ALPHABETS[1:]))
+
+
+def look_alike(draw: random.Random) -> str:
+    """A token that is no secret: an identifier, a path, a number, a date, a plain word after a hint."""
+    words = ["".join(draw.choice(("an", "ber", "cos", "du", "el", "for", "gi", "ho", "in", "ka", "lo", "mi", "nen", "or", "pe", "ra", "si", "tu")) for _ in range(draw.randrange(1, 4))) for _ in range(3)]
+    number = str(draw.randrange(10, 10**draw.randrange(2, 10)))
+    return draw.choice((
+        words[0] + words[1].title() + words[2].title(), "_".join(words), "_".join(words).upper(), "/".join(words) + ".txt", "-".join((words[0].upper()[:3], "2024", number)),
+        f"{draw.randrange(1990, 2030)}-{draw.randrange(10, 13)}-{draw.randrange(10, 29)}", f"{words[0]}.{words[1]}.com/{words[2]}/{number}", number, f"{number}.{draw.randrange(99)}",
+        f"{draw.choice(_LEADS)}{draw.choice(_MARKS)}{words[0]}", f"{words[0]} = {draw.choice(chr(34) + chr(39))}{words[1]} {words[2]}{chr(34)}", "".join(words).title(), words[0] + number, f"v{draw.randrange(9)}.{number[:2]}",
+    ))
+
+
+def planted(text: str, draw: random.Random) -> tuple[str, list[tuple[int, int]]]:
+    """``text`` with a secret and two look-alikes put between its words, and the secret's span.
+
+    The secret follows a hint, stands in quotes after a name and an assignment mark, between a user and a
+    host, or alone.
+    """
+    value, quote = random_secret(draw), draw.choice(("", "", '"', "'"))
+    name = f"{draw.choice(('cfg', 'db', 'svc', 'app', 'client'))}_{draw.choice(('id', 'value', 'param', 'conf', 'x'))}"
+    lead, tail = draw.choice((
+        (draw.choice(_LEADS) + draw.choice(_MARKS) + quote, quote), (draw.choice(_LEADS) + draw.choice(_MARKS) + quote, quote),
+        (f'{name}{draw.choice((" = ", ": ", "="))}"', '"'), (f"{draw.choice(('https', 'amqp', 'ftp'))}://{name}:", "@host.example"), ("", ""),
+    ))
+    if not lead:
+        value += "".join(draw.choice(_ALPHABETS[2]) for _ in range(max(0, 24 - len(value))))
+    places = [m.start() for m in re.finditer(r"\s", text)] or [len(text)]
+    for _ in range(2):
+        at = draw.choice(places)
+        text = f"{text[:at]} {look_alike(draw)}{text[at:]}"
+        places = [m.start() for m in re.finditer(r"\s", text)]
+    at = draw.choice(places)
+    start = at + 1 + len(lead)
+    return f"{text[:at]} {lead}{value}{tail}{text[at:]}", [(start, start + len(value))]
 
 
 def training_sequences(texts: list[str | None]) -> list[tuple[list[list[str] | None], list[int]]]:
-    """Chains of the texts, tagged by the base patterns.
+    """Chains of the texts, tagged by the base patterns, and chains of the texts with planted secrets.
 
     An assignment is met once as it stands and once with its value redrawn from another alphabet
-    and its key word replaced, so that the field learns shape and neighbours, not the patterns.
+    and its key word replaced, and every text once with a secret in it that the base patterns do not
+    find and with tokens that only look like one (:func:`planted`), so that the field learns shape and
+    neighbours, not the patterns.
     Of an assignment the value is tagged. Digit runs alone that the hex pattern takes (card numbers
     among them) teach nothing and count as outside tokens.
     """
     draw = random.Random(7)
     out = []
 
-    def add(text: str, hex_runs, tokens) -> None:
-        spans = [(a, b) for a, kind, b in base_spans(text, hex_runs) if kind]
+    def add(text: str, hex_runs, tokens, more=()) -> None:
+        spans = [(a, b) for a, kind, b in base_spans(text, hex_runs) if kind] + list(more)
         spans += [m.span(2) for m in ASSIGN.finditer(text) if len(m.group(2)) >= 12]
         file = file_features(text, len(tokens))
         for chain in chains(text, tokens):
@@ -306,6 +367,9 @@ def training_sequences(texts: list[str | None]) -> list[tuple[list[list[str] | N
     again = [redrawn(t) for t in texts if t and ASSIGN.search(t)]
     for text, hex_runs, tokens in scan(pa.array(again, pa.large_string())):
         add(text, hex_runs, tokens)
+    hidden = [planted(t or "", draw) for t in texts]
+    for (text, hex_runs, tokens), (_, spans) in zip(scan(pa.array([t for t, _ in hidden], pa.large_string())), hidden, strict=True):
+        add(text, hex_runs, tokens, spans)
     return out
 
 
@@ -327,7 +391,9 @@ def all_spans(model: Crf, text: str, hex_runs, tokens) -> list[tuple[int, int, i
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_texts: int = TRAIN_TEXTS) -> Crf:
     """The field, fitted on a bounded sample: the ``train_texts`` texts with the smallest digests (of id
-    and text) among those with a run of 16 letters and digits that has a digit, and half as many others."""
+    and text) among those with a run of 16 letters and digits that has a digit, and half as many others.
+    Only texts of at most ``TRAIN_CHARS`` characters are taken, so the bytes collected are bounded too."""
+    docs = docs.where(F.length(text_col) <= TRAIN_CHARS)
     likely = F.coalesce(F.col(text_col).rlike("[A-Za-z0-9]{0,40}[0-9][A-Za-z0-9]{15}"), F.lit(False))
     at = F.md5(F.concat_ws(":", F.col(id_col).cast("string"), F.xxhash64(text_col).cast("string")))
     keys = stored(docs.select(at.alias("at"), likely.alias("likely")), "keys")

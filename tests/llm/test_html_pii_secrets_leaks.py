@@ -282,3 +282,24 @@ def test_best_stretch_matches_search():
         value = lambda a, b: sum(1 if s else -2 for s in same[a:b])
         assert value(i, j) == max(value(a, b) for a in range(n) for b in range(a + 1, n + 1)) and got == sum(same[i:j])
     assert needed_words(36) == 13 and needed_words(10) == 7 and needed_words(1) == 1
+
+
+def test_planted_secrets_are_found_in_other_documents(documents):
+    """Secrets that no base pattern finds, behind hints the training never used, in texts it never saw."""
+    from daybook.llm import secrets
+
+    texts = [r["text"] for r in documents.orderBy("doc_id").collect()]
+    model = fit_crf(training_sequences(texts[:100]))
+    draw, leads = random.Random(11), secrets._LEADS
+    try:
+        secrets._LEADS = ("pin", "db login", "service auth", "my passphrase", "key material", "proxy pwd", "sess cookie")
+        hidden = [secrets.planted(t or "", draw) for t in texts[100:] * 4]
+    finally:
+        secrets._LEADS = leads
+    found = extra = 0
+    for (text, hexes, tokens), (_, [(a, b)]) in zip(scan(pa.array([t for t, _ in hidden])), hidden, strict=True):
+        own = [(x, y) for x, k, y in all_spans(model, text, hexes, tokens) if k == 3]
+        whole = any(x <= a and b <= y for x, y in own)
+        found += whole or any(k < 3 and x < b and a < y for x, k, y in all_spans(model, text, hexes, tokens))
+        extra += sum(not (x < b and a < y) for x, y in own)
+    assert found >= 0.9 * len(hidden) and extra <= 0.1 * found
