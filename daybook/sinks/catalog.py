@@ -99,7 +99,7 @@ def save_table(
     ordered.write.partitionBy(*part_cols).parquet(staged)
     written = spark.read.schema(ordered.schema).parquet(staged).select(*ordered.columns)
     (
-        written.hint("rebalance", *part_cols).write.mode("overwrite")
+        (written.hint("rebalance", *part_cols) if rebalance else written).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .format(existing or provider)
         .partitionBy(*part_cols)
