@@ -5,13 +5,19 @@ and classes are one node of the host's tree. A node's presentation is the
 sequence of its children; its content is the text below it. Over the distinct
 pages of the host that have the node, both have an entropy, divided by the log
 of the number of pages: 0 where every page shows the same, 1 where all differ.
-A node's importance is the larger of the two. Marked branches (menus, headers,
-footers, forms, ...) have importance 0, marked articles 1; branches below the
-threshold are removed from each page, and where a page has a marked article,
-what stands outside it is removed as well. Where few pages have a node, it is
-removed if its text is the same on all of them: the fewer they are, the longer
-that text has to be, and it must be the smaller part of the page's text, so
-that near copies of one page do not lose what they say.
+A node's importance is the larger of the two, ``H``, drawn towards 1 as long as
+there is little evidence: ``(H m + k) / (m + k)`` over ``m`` pages, with
+``k = STRENGTH / (max(8, bytes) (1 - share)^2)``. So a long text that repeats
+tells more than a short one, and the larger the ``share`` of the pages' text
+that is at stake, the more pages have to agree: near copies of one page do not
+lose what they say. This holds for hosts of any number of pages; on a single
+page every importance is 1. Marked branches (menus, headers, footers, forms,
+...) have importance 0, marked articles 1; branches below the threshold are
+removed from each page, and where a page has a marked article, what stands
+outside it is removed as well.
+
+Each page is parsed once: its nodes and its text blocks are stored, and the
+branches that the host's tree removes are dropped from the stored blocks.
 """
 
 from __future__ import annotations
@@ -27,12 +33,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.tables import broadcast_if_small, stored
+from daybook.llm.words import row_slices
 
-#: Importance under which a branch is removed, and the distinct pages needed to judge it by that.
+#: Importance under which a branch is removed, and the weight of the doubt in it.
 THRESHOLD = 0.25
-MIN_PAGES = 8
-#: With fewer pages: bytes that all pages after the first repeat, taken together.
-REPEATED_BYTES = 60
+STRENGTH = 20.0
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset(
@@ -214,7 +219,11 @@ _PRIME = (1 << 128) - 159
 
 def node_features(page: str | None) -> list[tuple[int, int, int, int]]:
     """``(path, presentation, content)`` digests of the unmarked nodes of a page, merged by path, and the bytes of their text."""
-    root = parse(page)
+    return _features(parse(page))[0]
+
+
+def _features(root: Node) -> tuple[list[tuple[int, int, int, int]], int]:
+    """The node features below ``root``, and the bytes of all unmarked text."""
     nodes: list[tuple[Node, int]] = []  # as they open
     todo = [(root, 0)]
     while todo:
@@ -246,35 +255,44 @@ def node_features(page: str | None) -> list[tuple[int, int, int, int]]:
     for path, *values in reversed(ended):
         for held, value in zip(found.setdefault(path, [[], [], []]), values, strict=True):
             held.append(value)
-    return [(path, _digest(*s), _digest(*t), sum(n)) for path, (s, t, n) in found.items()]
+    return [(path, _digest(*s), _digest(*t), sum(n)) for path, (s, t, n) in found.items()], texts[id(root)][1]
 
 
 def main_text(page: str | None, removed: frozenset[int] | set[int] = frozenset()) -> str:
     """Text of the blocks that stay, joined by line breaks."""
-    root = parse(page)
+    return kept_text(*page_blocks(parse(page)), removed)
+
+
+def page_blocks(root: Node) -> tuple[list[int], list[int | None], list[int], list[str]]:
+    """The text blocks of a page that no mark removes, in page order, and the nodes around them.
+
+    ``(parent of each node, its path, node of each block, text of each block)``; parents come before their
+    children, the root is node 0, and the path of a node that the tree cannot remove is None.
+    """
     menus = _menus(root)
     todo, has_article = [root], False
     while todo:
         node = todo.pop()
         has_article |= node.prior == 1
         todo += [x for x in node.items if not isinstance(x, str) and x.prior != 0]
-    blocks: list[str] = []
-    # (node, its path, whether its own text counts, next item): an explicit stack, since pages may nest deeply
+    parents, paths, owners, blocks = [0], [None], [], []
     held: list[str] = []
 
-    def flush() -> None:
+    def flush(number: int) -> None:
         if text := " ".join("".join(held).split()):
+            owners.append(number)
             blocks.append(text)
         held.clear()
 
-    work: list[list] = [[root, 0, not has_article, 0]]
+    # (node, its number and path, whether its own text counts, next item): an explicit stack, since pages may nest deeply
+    work: list[list] = [[root, 0, 0, not has_article, 0]]
     while work:
-        node, path, inside, i = work[-1]
+        node, number, path, inside, i = work[-1]
         if i == len(node.items):
-            flush()
+            flush(number)
             work.pop()
             continue
-        work[-1][3] += 1
+        work[-1][4] += 1
         item = node.items[i]
         if isinstance(item, str):
             if inside:
@@ -282,52 +300,92 @@ def main_text(page: str | None, removed: frozenset[int] | set[int] = frozenset()
             continue
         if item.prior == 0 and item.tag in _INLINE:
             continue
-        flush()
+        flush(number)
         if item.prior == 0 or not (inside and has_article) and id(item) in menus:
             continue
         below = _digest(str(path), item.sig)
-        if item.prior != 1 and below in removed:
-            continue
-        work.append([item, below, inside or item.prior == 1, 0])
-    return "\n".join(blocks)
+        parents.append(number)
+        paths.append(None if item.prior == 1 else below)
+        work.append([item, len(parents) - 1, below, inside or item.prior == 1, 0])
+    return parents, paths, owners, blocks
 
 
-def small_host_text(page: str | None, removed: set[int], repeated: set[int]) -> str:
-    """The main text without ``removed`` branches, and without ``repeated`` ones where these are less than half of it."""
-    text = main_text(page, removed)
-    if not repeated:
-        return text
-    less = main_text(page, removed | repeated)
-    return less if 2 * len(less) > len(text) else text
+def kept_text(parents: list[int], paths: list[int | None], owners: list[int], blocks: list[str], removed) -> str:
+    """The blocks outside the branches whose paths are ``removed``, joined by line breaks."""
+    if not removed:
+        return "\n".join(blocks)
+    gone = [False] * len(parents)
+    for i in range(1, len(parents)):
+        gone[i] = gone[parents[i]] or paths[i] in removed
+    return "\n".join(x for k, x in zip(owners, blocks, strict=True) if not gone[k])
 
 
-def style_tree(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``(host, path, pages, importance, same, size)`` of every unmarked node of every host's tree.
+_PARSED_NAMES = ("page", "total", "features", "parents", "paths", "owners", "blocks")
+_PARSED = "page long, total long, features array<struct<path: long, style: long, content: long, size: long>>, parents array<int>, paths array<long>, owners array<int>, blocks array<string>"
+
 
-    ``same``: whether all pages have the same text there; ``size``: the bytes of the longest.
+def parsed_pages(pages: DataFrame, url_col: str = "url", html_col: str = "html", *more: str) -> DataFrame:
+    """``(host, *more, page, total, features, parents, paths, owners, blocks)`` per row: what one parse gives.
 
-    Pages with the same content digest at a node and the same page digest count once, so that copies of a page are one page.
+    ``page`` is a digest of the node features: rows that agree in them are one page of the tree.
     """
+    rows = pages.select(host_of(F.col(url_col)).alias("host"), *more, F.col(html_col).alias("html"))
+    kept = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]]
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def parse_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        feature = pa.struct([(x, pa.int64()) for x in ("path", "style", "content", "size")])
+        types = [pa.int64(), pa.int64(), pa.list_(feature), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.string())]
         for batch in batches:
-            for part in (batch.slice(i, 500) for i in range(0, batch.num_rows, 500)):
-                out = [(h, _digest(*map(str, sum(f, ()))), *x) for h, p in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True) if (f := node_features(p)) for x in f]
-                columns = list(zip(*out, strict=True)) or [[]] * 6
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.string()] + [pa.int64()] * 5, strict=True)], names=["host", "page", "path", "style", "content", "size"])
+            for part in row_slices(batch, batch.num_columns - 1):
+                out = []
+                for html_ in part.column(part.num_columns - 1).to_pylist():
+                    root = parse(html_)
+                    features, total = _features(root)
+                    out.append((_digest(*map(str, sum(features, ()))), total, [dict(zip(("path", "style", "content", "size"), x, strict=True)) for x in features], *page_blocks(root)))
+                columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)]
+                names = [*(x.split()[0] for x in kept), *_PARSED_NAMES]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *columns], names=names)
+
+    return rows.mapInArrow(parse_all, ", ".join((*kept, _PARSED)))
 
-    nodes = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html")).mapInArrow(rows, "host string, page long, path long, style long, content long, size long")
-    nodes = stored(nodes.distinct(), "nodes")
+
+def tree_of(nodes: DataFrame) -> DataFrame:
+    """:func:`style_tree` of ``(host, page, total, path, style, content, size)``, one row per distinct page and path."""
 
     def entropy(column: str) -> DataFrame:
         # Counts first: whatever many pages share is one row before it meets its host.
-        counts = nodes.groupBy("host", "path", column).agg(F.count("*").alias("c"), F.max("size").alias("size"))
-        sums = counts.groupBy("host", "path").agg(F.sum("c").alias("pages"), F.sum(F.col("c") * F.log2("c")).alias("s"), F.count("*").alias("kinds"), F.max("size").alias("size"))
+        counts = nodes.groupBy("host", "path", column).agg(F.count("*").alias("c"), F.max("size").alias("size"), F.sum("size").alias("bytes"), F.sum("total").alias("all"))
+        sums = counts.groupBy("host", "path").agg(
+            F.sum("c").alias("pages"), F.sum(F.col("c") * F.log2("c")).alias("s"), F.max("size").alias("size"), (F.sum("bytes") / F.sum("all")).alias("share")
+        )
         bits = F.log2("pages") - F.col("s") / F.col("pages")
-        return sums.select("host", "path", "pages", (F.col("kinds") == 1).alias("same"), "size", F.when(F.col("pages") > 1, bits / F.log2("pages")).otherwise(1.0).alias(column))
+        return sums.select("host", "path", "pages", "size", "share", F.when(F.col("pages") > 1, bits / F.log2("pages")).otherwise(1.0).alias(column))
+
+    both = entropy("style").drop("pages", "size", "share").join(entropy("content"), ["host", "path"])
+    both = both.withColumn("importance", F.greatest("style", "content"))
+    doubt = evidence(F.col("size"), F.col("share"))
+    judged = (F.col("importance") * F.col("pages") + doubt) / (F.col("pages") + doubt)
+    return both.select("host", "path", "pages", "size", "share", "importance", judged.alias("judged"))
+
+
+def evidence(size, share):
+    """The weight ``k`` of the doubt: less for long texts, more where much of a page is at stake."""
+    left = F.greatest(F.lit(1.0) - F.coalesce(share, F.lit(0.0)), F.lit(1e-3))
+    return F.lit(STRENGTH) / (F.greatest(F.lit(8), size) * left * left)
+
 
-    both = entropy("style").drop("pages", "same", "size").join(entropy("content"), ["host", "path"])
-    return both.select("host", "path", "pages", F.greatest("style", "content").alias("importance"), "same", "size")
+def page_nodes(parsed: DataFrame) -> DataFrame:
+    """``(host, page, total, path, style, content, size)`` of the distinct pages: copies of a page are one."""
+    nodes = parsed.select("host", "page", "total", F.explode("features").alias("f"))
+    return nodes.select("host", "page", "total", "f.*").distinct()
+
+
+def style_tree(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """``(host, path, pages, size, share, importance, judged)`` of every unmarked node of every host's tree.
+
+    ``importance`` is the larger entropy, ``judged`` the same drawn towards 1 by the doubt. ``size``: the bytes of its longest text; ``share``: its part of all unmarked text of the pages that have it.
+    """
+    return tree_of(stored(page_nodes(parsed_pages(pages, url_col, html_col)), "nodes"))
 
 
 def host_of(url) -> F.Column:
@@ -335,25 +393,27 @@ def host_of(url) -> F.Column:
 
 
 def extract_text(
-    pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", threshold: float = THRESHOLD, min_pages: int = MIN_PAGES,
+    pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", threshold: float = THRESHOLD,
 ) -> DataFrame:
     """``(page_id, url, text, n_chars)`` per row of ``pages``.
 
     A null or empty html has the empty text; a url without a host belongs to the host ''; equal rows all come back.
+    The removed paths of a host meet its pages as rows, so what a row holds is bounded by the page itself.
     """
-    few = F.col("pages") < min_pages
-    repeated = F.col("same") & ((F.col("pages") - 1) * F.col("size") >= REPEATED_BYTES)
-    low = style_tree(pages, url_col, html_col).where(F.when(few, repeated).otherwise(F.col("importance") < threshold))
-    # Paths that are removed on a host; their number grows with its templates, not with its pages.
-    removed = stored(low.groupBy("host").agg(F.collect_list(F.when(~few, F.col("path"))).alias("removed"), F.collect_list(F.when(few, F.col("path"))).alias("repeated")), "removed")
-    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    rows = rows.withColumn("host", host_of(F.col("url"))).join(broadcast_if_small(removed), "host", "left").select("page_id", "url", "html", "removed", "repeated")
-    types = rows.schema
+    types = pages.schema
+    named = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
+    parsed = stored(parsed_pages(named, "url", "html", "page_id", "url"), "parsed")
+    nodes = stored(page_nodes(parsed), "nodes")
+    low = stored(tree_of(nodes).where(F.col("judged") < threshold).select("host", "path"), "low")
+    removed = nodes.join(broadcast_if_small(low, size=F.length("host") + 24), ["host", "path"]).groupBy("host", "page").agg(F.collect_list("path").alias("removed"))
+    removed = stored(removed, "removed")
+    rows = parsed.join(broadcast_if_small(removed, size=F.length("host") + 8 * F.size("removed") + 48), ["host", "page"], "left")
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in (batch.slice(i, 500) for i in range(0, batch.num_rows, 500)):
-                out = [small_host_text(p, set(r or ()), set(few or ())) for p, r, few in zip(*(part.column(k).to_pylist() for k in (2, 3, 4)), strict=True)]
+                out = [kept_text(*x, set(gone or ())) for *x, gone in zip(*(part.column(k).to_pylist() for k in range(2, 7)), strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(out, pa.string()), pa.array([len(x) for x in out], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    return rows.mapInArrow(texts, f"page_id {types['page_id'].dataType.simpleString()}, url {types['url'].dataType.simpleString()}, text string, n_chars long")
+    rows = rows.select("page_id", "url", "parents", "paths", "owners", "blocks", "removed")
+    return rows.mapInArrow(texts, f"page_id {types[id_col].dataType.simpleString()}, url {types[url_col].dataType.simpleString()}, text string, n_chars long")
