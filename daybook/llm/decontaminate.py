@@ -34,6 +34,8 @@ LEAST_WORDS = 8
 #: A benchmark of up to this many words goes to the tasks whole (8 bytes a word, plus its
 #: window hashes); a larger one is joined by its hashes.
 BENCHMARK_WORDS = 2_000_000
+#: Bits of a seed hash that the filter of a larger benchmark looks at (2 ** 27 bits are 16 MB).
+FILTER_BITS = 27
 
 _PLAIN = np.arange(256, dtype=np.uint8)
 for _c in range(128):
@@ -190,36 +192,68 @@ def _scan(bench: Benchmark, column: pa.Array) -> Iterator[tuple[int, int, int, i
                 yield first + t, *found
 
 
+def _seed_rows(rows: DataFrame, key: str, masks: tuple[str, ...], short: list[int], items: bool, filter_=None) -> DataFrame:
+    """``(key, mask, seed)``: the distinct seed hashes of the texts in ``rows(key, text)``.
+
+    Masks of short items fit them whole. ``filter_`` (a broadcast bit per value of a seed's first bits)
+    keeps the seeds whose bit is set.
+    """
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        every = every_mask(masks, short)
+        bits = filter_.value if filter_ is not None else None
+        for batch in batches:
+            for first, h, firsts in plain_words(batch.column(1)):
+                text_of = np.repeat(np.arange(len(firsts) - 1), np.diff(firsts))
+                room = firsts[text_of + 1] - np.arange(len(h))
+                size = np.diff(firsts)[text_of] if len(h) else room
+                for k, mask in enumerate(every):
+                    whole = items and k >= len(masks)
+                    ok = np.flatnonzero((room == len(mask)) & (size == len(mask)) if whole else room >= len(mask))
+                    seeds = seed_hashes(h, mask, k)[ok] if len(ok) else np.zeros(0, dtype=np.uint64)
+                    if bits is not None:
+                        at = seeds >> np.uint64(64 - FILTER_BITS)
+                        held = (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
+                        ok, seeds = ok[held], seeds[held]
+                    if len(ok):
+                        values = np.unique(np.stack([text_of[ok], seeds.view(np.int64)], axis=1), axis=0)
+                        yield pa.RecordBatch.from_arrays(
+                            [batch.column(0).take(pa.array(first + values[:, 0])), pa.array(np.full(len(values), k, np.int32)), pa.array(values[:, 1])], names=["key", "mask", "seed"]
+                        )
+
+    taken = rows.select(F.col(key).alias("key"), "text")
+    return taken.mapInArrow(emit, f"key {taken.schema['key'].dataType.simpleString()}, mask int, seed long")
+
+
+def _seed_filter(seeds: DataFrame):
+    """A broadcast bit for every value of the first ``FILTER_BITS`` bits of a seed: set where a benchmark seed has it.
+
+    Built as bitmaps by the executors; what the driver holds is ``2 ** FILTER_BITS`` bits, whatever the benchmark.
+    """
+    # Counted from 1, so that a bucket of Spark's bitmaps is a run of 32,768 values that starts a new byte.
+    at = F.shiftrightunsigned("seed", 64 - FILTER_BITS) + 1
+    rows = seeds.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
+    packed = np.zeros((1 << FILTER_BITS) // 8, dtype=np.uint8)
+    for r in rows.toLocalIterator():
+        packed[(r["bucket"] - 1) * 4096 : r["bucket"] * 4096] = np.frombuffer(r["bits"], dtype=np.uint8)
+    return seeds.sparkSession.sparkContext.broadcast(packed)
+
+
 def _joined(docs: DataFrame, bench: DataFrame, masks: tuple[str, ...] = MASKS) -> DataFrame:
-    """The same result for a benchmark of any size: seed hashes are joined, then the texts of the hits verified."""
+    """The same result for a benchmark of any size: seed hashes are joined, then the texts of the hits verified.
+
+    Items go by a digest until their texts are needed, once per hit; of the documents' seeds only those that
+    pass a filter of the benchmark's seeds are shuffled.
+    """
     id_type, item_type = docs.schema["doc_id"].dataType.simpleString(), bench.schema["item"].dataType.simpleString()
-    shortest = bench.sparkSession.sparkContext.broadcast(_short_sizes(bench, masks))
-
-    def seeds(whole_only: bool):
-        def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            every = every_mask(masks, shortest.value)
-            for batch in batches:
-                for first, h, firsts in plain_words(batch.column(1)):
-                    text_of = np.repeat(np.arange(len(firsts) - 1), np.diff(firsts))
-                    room = firsts[text_of + 1] - np.arange(len(h))
-                    size = np.diff(firsts)[text_of] if len(h) else room
-                    for k, mask in enumerate(every):
-                        exact = whole_only and k >= len(masks)
-                        ok = np.flatnonzero((room == len(mask)) & (size == len(mask)) if exact else room >= len(mask))
-                        if len(ok):
-                            values = np.unique(np.stack([text_of[ok], seed_hashes(h, mask, k)[ok].view(np.int64)], axis=1), axis=0)
-                            yield pa.RecordBatch.from_arrays(
-                                [batch.column(0).take(pa.array(first + values[:, 0])), batch.column(1).take(pa.array(first + values[:, 0])), pa.array(np.full(len(values), k, np.int32)), pa.array(values[:, 1])]
-                                if whole_only else [batch.column(0).take(pa.array(first + values[:, 0])), pa.array(np.full(len(values), k, np.int32)), pa.array(values[:, 1])],
-                                names=["item", "text", "mask", "seed"] if whole_only else ["doc_id", "mask", "seed"],
-                            )
-        return emit
-
-    own = docs.mapInArrow(seeds(False), f"doc_id {id_type}, mask int, seed long")
-    theirs = stored(bench.mapInArrow(seeds(True), f"item {item_type}, text string, mask int, seed long"), "seeds")
+    short = _short_sizes(bench, masks)
+    bench = bench.withColumn("b", F.xxhash64(F.struct("item"), F.coalesce("text", F.lit(""))))
+    theirs = stored(_seed_rows(bench.dropDuplicates(["b"]), "b", masks, short, True).withColumnRenamed("key", "b"), "seeds")
+    own = _seed_rows(docs, "doc_id", masks, short, False, _seed_filter(theirs)).withColumnRenamed("key", "doc_id")
     # A seed that many windows share is met once per document here; the items come after.
     hit = own.join(theirs.select("mask", "seed").distinct(), ["mask", "seed"], "left_semi").distinct()
-    pairs = stored(hit.join(theirs, ["mask", "seed"]).select(F.struct("doc_id").alias("k"), "item", F.col("text").alias("item_text")).distinct(), "hits")
+    pairs = stored(hit.join(theirs, ["mask", "seed"]).select(F.struct("doc_id").alias("k"), "b").distinct(), "hits")
+    pairs = pairs.join(bench.select("b", "item", F.col("text").alias("item_text")), "b").select("k", "item", "item_text")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -253,6 +253,17 @@ def test_substituted_passages_are_found(docs, spark):
     assert contamination(frame, bench.limit(0)).count() == 0 and contamination(docs([]), bench).count() == 0
 
 
+def test_the_seed_filter_holds_every_seed(spark):
+    from daybook.llm import decontaminate
+
+    bits = decontaminate.FILTER_BITS
+    firsts = [0, 1, 7, 32_767, 32_768, 32_769, 65_536, (1 << bits) - 1, 12_345_678]
+    seeds = [x << (64 - bits) for x in firsts]
+    df = spark.createDataFrame([(x - (1 << 64) if x >> 63 else x,) for x in seeds], "seed long")
+    held = np.unpackbits(decontaminate._seed_filter(df).value, bitorder="little")
+    assert np.flatnonzero(held).tolist() == sorted(firsts) and len(held) == 1 << bits
+
+
 def test_short_items_are_found_inside_longer_texts(docs, spark):
     bench = spark.createDataFrame([(1, "Who wrote the Iliad?"), (2, "one two three four five six seven"), (3, "yes")], "item_id long, text string")
     rows = [(1, "He asked: who wrote the ILIAD, and when?", "s"), (2, "who wrote the Iliad", "s"), (3, "who wrote an Iliad or so", "s"),
