@@ -200,8 +200,8 @@ def draw(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
     for s, parts in _SYLLABLES.items():
         made = F.initcap(F.array_join(F.transform(F.sequence(F.lit(0), attempt + 3), _syllable(parts, h)), ""))
         last = F.when(script == s, made).otherwise(last)
-    # The first names of the lists come first; after two attempts they are made like surnames.
-    first = F.when(attempt < 2, first).otherwise(last)
+    # The first names of the lists come first; where two fall together, the next one is made like a surname.
+    first = F.when(attempt < 1, first).otherwise(last)
     return (
         F.when(kind == "email", mail).when(kind == "ip", ip).when(kind == "card", F.concat(body, _luhn(body))).when(kind == "phone", phone)
         .when(kind == "ssn", ssn).when(kind == "iban", iban).when(kind == "first", first).otherwise(last)
@@ -243,7 +243,6 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
     now = entities.select("kind", "canon", F.lit(0).alias("attempt"))
     for _ in range(MOST_ATTEMPTS):
         drawn = now.withColumn("replacement", draw(F.col("kind"), F.col("canon"), F.col("attempt"), key)).withColumn("scope", scope)
-        drawn = stored(drawn, "drawn")
         nth = F.row_number().over(Window.partitionBy("kind", "scope", "replacement").orderBy("attempt", "canon"))
         checked = stored(drawn.withColumn("nth", nth).join(real, ["kind", "scope", "replacement"], "left"), "checked")
         again = (F.col("nth") > 1) | F.coalesce("real", F.lit(False))
